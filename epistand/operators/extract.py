@@ -16,11 +16,14 @@ DEATH_CODES = [f"cause_of_death_code_{i}" for i in range(10)]
 SOURCE_RANK = {"deaths": 0, "current": 1, "historic": 2}
 
 
-def select_codes(df: DataFrame, code_col: str, codes: CodeSet) -> DataFrame:
-    """Keep rows whose code matches. For prefix-only sets a redundant ``startswith`` predicate
-    is added so that the Parquet reader can skip row groups (``substring(..) IN`` is not pushed)."""
-    pre = code_prefilter(code_col, codes)
+def select_codes(df: DataFrame, code_col: str, codes: CodeSet, prefilter: bool = False) -> DataFrame:
+    """Keep rows whose code matches.
+
+    ``prefilter`` adds a redundant ``startswith`` disjunction for prefix-only sets, which the
+    Parquet reader can use to skip row groups (``substring(..) IN`` is not pushed down). It only
+    prunes when the table is clustered by code, so it is off by default."""
     out = df.where(code_match(code_col, codes))
+    pre = code_prefilter(code_col, codes) if prefilter else None
     return out.where(pre) if pre is not None else out
 
 
