@@ -146,3 +146,14 @@ class TopicParams:
     population_years: tuple[int, int] | None = None
     output_after_year: int | None = None
     lookback: LookbackParams = field(default_factory=LookbackParams)
+
+# Causes-of-death report. Age columns dropped for the under-75 table, causes that
+# are not shown (besides summary groups, whose names contain "."), the relabelled cause and the
+# cause whose count is subtracted from another.
+UNDER75_EXCLUDED_AGES = ("all_ages", "75-84", "85-89", "90+")
+ALL_AGES_COLUMN = "all_ages"
+TOTAL_CAUSE = "All causes"
+EXCLUDED_CAUSES = ("Codes for special purposes", "Malignant neoplasms")
+CAUSE_RELABEL = {"Poisonings": "Accidental poisonings including drug abuse"}
+CAUSE_SUBTRACTION = ("Accidents", "Accidental poisonings including drug abuse")
+TOP_CAUSES_N = 10

@@ -26,7 +26,7 @@ from epistand.operators.residency import resident_by_lookup, treated_in_board
 from epistand.operators.standardise import pooled_both_sexes, rates_within_bands, standardised_rates
 from epistand.params import (ASTHMA_BANDS, ASTHMA_STAY_CODES, COPD_BANDS, COPD_DEATH_CODES, COPD_STAY_CODES,
                              DIABETES_BANDS, DIABETES_CODES, EPILEPSY_BANDS, EPILEPSY_CODES, LookbackParams)
-from epistand.plans import allergy, asthma, copd, diabetes, epilepsy, ms
+from epistand.plans import allergy, asthma, causes, copd, diabetes, epilepsy, ms
 from epistand.plans.incidence_topics import stacked_stays
 from epistand.sources import testdata
 from epistand.sources.testdata import Sources
@@ -242,6 +242,34 @@ def q_two_level_aggregation(spark, d):
     return diabetes.admissions_by_age(_src(spark, d), T_DIABETES)
 
 
+# --- causes of death (published table) ---------------------------------------------------
+
+T_CAUSES = causes.CausesParams(section1=testdata.SECTION1, section2=testdata.SECTION2)
+
+
+def _lines(spark, d):
+    return testdata.vital_events_lines(spark, d)
+
+
+def q_locf_fill_down(spark, d):
+    from epistand.operators.reshape import fill_down
+    t = causes.table(_lines(spark, d), T_CAUSES)
+    filled = fill_down(t, [c for c in t.columns if c not in ("release", "line_no")], "release", "line_no")
+    return filled.select("release", "line_no", "ICD_10_code", "cause_of_death", "sex", "all_ages")
+
+
+def q_drop_empty_and_parse(spark, d):
+    return causes.clean(_lines(spark, d), T_CAUSES)
+
+
+def q_top_causes_under75(spark, d):
+    return rounded(causes.run(_lines(spark, d), T_CAUSES)["top10causes_chart2"])
+
+
+def q_top_causes_all_ages(spark, d):
+    return rounded(causes.run(_lines(spark, d), T_CAUSES)["top10causes_chart1"])
+
+
 # --- published charts -----------------------------------------------------------------------
 
 def _tagged(parts: dict) -> DataFrame:

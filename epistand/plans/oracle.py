@@ -626,5 +626,80 @@ def _ms_charts():
 SQL["ms_incidence_charts"] = build(COPD_NEEDS, MS_CTES, _ms_charts())
 
 
+# --- causes of death --------------------------------------------------------------------------
+
+from epistand.params import CAUSE_RELABEL, CAUSE_SUBTRACTION, EXCLUDED_CAUSES, TOTAL_CAUSE, UNDER75_EXCLUDED_AGES  # noqa: E402
+from epistand.sources.testdata import (AGE_COLUMNS, CAUSE_GROUPS, HEADER_LINES, SECTION1_GROUPS,  # noqa: E402
+                                       SECTION2)
+
+_AGE_NAMES = [a for a, _, _ in AGE_COLUMNS]
+_AGECOL = "(case " + " ".join(f"when age between {lo} and {hi} then {q(n)}" for n, lo, hi in AGE_COLUMNS
+                              if lo is not None) + " end)"
+_GROUPS = " union all ".join(f"select {i} g, {q(c)} icd, {q(n)} cause, {lst(st)} stems"
+                             for i, (c, n, st) in enumerate(CAUSE_GROUPS, start=1))
+_K, _FIRST, _S2 = SECTION1_GROUPS, HEADER_LINES + 1, SECTION2[0] + 1
+
+
+def _line(g: str, sx: str) -> str:
+    return (f"(case when {g} <= {_K} then {_FIRST} + ({g} - 1) * 4 + {sx} when {g} = {_K + 1} and {sx} = 0 "
+            f"then {_FIRST + _K * 4} when {g} = {_K + 1} then {_S2} + {sx} - 1 "
+            f"else {_S2} + 2 + ({g} - {_K} - 2) * 3 + {sx} end)")
+
+
+CAUSE_CTES = [
+    ("vt_groups", _GROUPS),
+    ("vt_members", "select g, unnest(stems) stem from vt_groups"),
+    ("vt_deaths", f"select year_of_registration release, substr(underlying_cause_of_death, 1, 3) stem, "
+                  f"case when sex = '1' then 'M' when sex = '2' then 'F' end sexrow, {_AGECOL} agecol from deaths"),
+    ("vt_events", "select d.release, m.g, x.sex_row, d.agecol from vt_deaths d join vt_members m on d.stem = m.stem "
+                  "cross join lateral (select 'All' sex_row union all select d.sexrow where d.sexrow is not null) x"),
+    ("vt_counts", f"select release, g, sex_row, count(*) all_ages, "
+                  f"{', '.join(f'count(*) filter (where agecol = {q(a)}) {chr(34)}{a}{chr(34)}' for a in _AGE_NAMES)} "
+                  f"from vt_events group by release, g, sex_row"),
+    ("vt_blocks", "select r.release, g.g, g.icd, g.cause, s.s, ['All', 'M', 'F'][s.s + 1] sex_row "
+                  "from (select distinct year_of_registration release from deaths) r cross join vt_groups g "
+                  "cross join (select range s from range(0, 3)) s"),
+    ("vt_rows", f"select b.release, cast({_line('b.g', 'b.s')} as integer) line_no, "
+                f"b.icd, b.cause, b.sex_row, coalesce(c.all_ages, 0) all_ages, "
+                f"{', '.join(f'coalesce(c.{chr(34)}{a}{chr(34)}, 0) {chr(34)}{a}{chr(34)}' for a in _AGE_NAMES)} "
+                f"from vt_blocks b left join vt_counts c on b.release = c.release and b.g = c.g and b.sex_row = c.sex_row"),
+]
+
+
+def _fmt(c: str) -> str:
+    return f"(case when {c} = 0 then '-' else format('{{:,}}', {c}) end)"
+
+
+SQL["locf_fill_down"] = build(["deaths"], CAUSE_CTES, f"""select release, line_no, icd {chr(34)}ICD_10_code{chr(34)},
+  cause cause_of_death, sex_row sex, {_fmt('all_ages')} all_ages from vt_rows""")
+SQL["drop_empty_and_parse"] = build(["deaths"], CAUSE_CTES, " union all ".join(
+    f"select release, line_no, icd {chr(34)}ICD_10_code{chr(34)}, cause cause_of_death, sex_row sex, {q(a)} age, "
+    f"cast({chr(34)}{a}{chr(34)} as double) num_deaths from vt_rows" for a in ["all_ages"] + _AGE_NAMES))
+
+
+def _top(age_where: str) -> str:
+    ages_all = ["all_ages"] + _AGE_NAMES
+    pick = [a for a in ages_all if eval(age_where)(a)]
+    total_expr = " + ".join(f'{chr(34)}{a}{chr(34)}' for a in pick)
+    (target, minus), (old, new) = CAUSE_SUBTRACTION, next(iter(CAUSE_RELABEL.items()))
+    return f"""select release, class1, measure, cast(row_number() over (partition by release
+  order by measure asc, icd asc, class1 asc) as integer) position from (
+  select *, row_number() over (partition by release order by measure desc, icd asc, class1 asc) rk from (
+    select release, icd, class1, round(n2 / total * 100, 1) measure from (
+      select *, case when class1 = {q(target)} then n - coalesce(max(case when class1 = {q(minus)} then n end)
+        over (partition by release), 0) else n end n2 from (
+        select release, icd, case when cause = {q(old)} then {q(new)} else cause end class1, n, total from (
+          select release, icd, cause, n, max(n) over (partition by release) total from (
+            select release, icd, cause, cast(sum({total_expr}) as double) n from vt_rows
+            where sex_row <> 'All' group by release, icd, cause))
+        where cause <> {q(TOTAL_CAUSE)} and cause not like '%.%'
+          and cause not in ({', '.join(q(c) for c in EXCLUDED_CAUSES)})))))
+  where rk <= 10"""
+
+
+SQL["top_causes_under75"] = build(["deaths"], CAUSE_CTES, _top(f"lambda a: a not in {UNDER75_EXCLUDED_AGES!r}"))
+SQL["top_causes_all_ages"] = build(["deaths"], CAUSE_CTES, _top("lambda a: a == 'all_ages'"))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

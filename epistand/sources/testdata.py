@@ -180,3 +180,122 @@ class Sources:
         if name in ADAPTERS:
             return ADAPTERS[name](self.spark, self.sf_dir)
         raise AttributeError(name)
+
+
+# ---------------------------------------------------------------------------------------------
+# Published causes-of-death table, one per registration year, as CSV text lines.
+# Fixed test values: cause groups (code range, name, member code stems) in table order. A death
+# counts in every group that lists its code stem, so summary groups double-count.
+CAUSE_GROUPS = [
+    ("A00-Y89", "All causes", CODE_STEMS + ["-49", "-34"]),
+    ("C00-D48", "II. Neoplasms", ["C34"]),
+    ("C00-C97", "Malignant neoplasms", ["C34"]),
+    ("C34", "Lung cancer", ["C34"]),
+    ("E10-E14", "Diabetes", ["E10", "E11", "E13", "E14"]),
+    ("G35", "Multiple sclerosis", ["G35", "340"]),
+    ("G40-G41", "Epilepsy", ["G40", "G41", "345"]),
+    ("H10", "Conjunctivitis", ["H10"]),
+    ("I21", "Heart attack", ["I21"]),
+    ("J00-J99", "X. Respiratory diseases", ["J45", "J46", "J44", "J43", "J41", "J40", "J30", "J31", "493", "490", "-49"]),
+    ("J30-J31", "Rhinitis", ["J30", "J31"]),
+    ("J40-J44", "Chronic lower respiratory disease", ["J44", "J43", "J41", "J40", "490", "-49"]),
+    ("J45-J46", "Asthma", ["J45", "J46", "493"]),
+    ("K52", "Gastroenteritis", ["K52"]),
+    ("L20-L50", "Skin conditions", ["L20", "L23", "L27", "L50"]),
+    ("T63-T88", "Accidents", ["T63", "T78", "T80", "T88"]),
+    ("T63", "Poisonings", ["T63"]),
+    ("U00-Z99", "Codes for special purposes", ["Z88"]),
+    ("-340", "Old neurological codes", ["-34"]),
+]
+# Fixed test values: age columns of the table and the ages (in years) each covers.
+AGE_COLUMNS = [("<4_weeks", 0, 0), ("4-52_weeks", None, None), ("1-4", 1, 4), ("5-9", 5, 9), ("10-14", 10, 14),
+               ("15-24", 15, 24), ("25-34", 25, 34), ("35-44", 35, 44), ("45-54", 45, 54), ("55-64", 55, 64),
+               ("65-74", 65, 74), ("75-84", 75, 84), ("85-89", 85, 89), ("90+", 90, 200)]
+SEX_ROWS = [("All", None), ("M", "1"), ("F", "2")]
+# Layout: 7 header lines; section 1 holds the first SECTION1_GROUPS blocks (3 rows + 1 blank
+# each) and the first row of the next block; 3 footnote lines; section 2 holds the rest of that
+# block and every later block (3 rows each); 2 footer lines.
+HEADER_LINES = 7
+SECTION1_GROUPS = 8
+FOOTNOTE_LINES = 3
+SECTION1 = (HEADER_LINES, SECTION1_GROUPS * 4 + 1)
+SECTION2 = (HEADER_LINES + SECTION1_GROUPS * 4 + 1 + FOOTNOTE_LINES,
+            2 + 3 * (len(CAUSE_GROUPS) - SECTION1_GROUPS - 1))
+
+
+def age_column(age: Column) -> Column:
+    expr = None
+    for name, lo, hi in AGE_COLUMNS:
+        if lo is None:
+            continue
+        cond = age.between(lo, hi)
+        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
+    return expr
+
+
+def block_line(g: Column, s: Column) -> Column:
+    """Line number of row s (0 All, 1 M, 2 F) of cause block g (1-based)."""
+    k, first = SECTION1_GROUPS, HEADER_LINES + 1
+    s2 = SECTION2[0] + 1
+    return (F.when(g <= k, first + (g - 1) * 4 + s)
+            .when((g == k + 1) & (s == 0), first + k * 4)
+            .when(g == k + 1, s2 + s - 1)
+            .otherwise(s2 + 2 + (g - k - 2) * 3 + s)).cast("int")
+
+
+def _csv_field(c: Column) -> Column:
+    return F.when(c.isNull(), F.lit("")).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
+
+
+def vital_events_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(release, line_no, value): the causes table of each registration year as text lines."""
+    # The stem -> group list is a fixed ~50-row table: joined as a broadcast of known size.
+    members = spark.createDataFrame([(st, gi) for gi, (_, _, stems) in enumerate(CAUSE_GROUPS, start=1)
+                                     for st in stems], "stem string, g int")
+    d = deaths(spark, sf_dir)
+    sex_rows = F.array(F.lit("All"), F.when(F.col("sex") == "1", "M").when(F.col("sex") == "2", "F"))
+    events = (d.select(F.col("year_of_registration").alias("release"),
+                       F.substring("underlying_cause_of_death", 1, 3).alias("stem"),
+                       F.explode(sex_rows).alias("sex_row"),
+                       age_column(F.col("age")).alias("agecol"))
+              .where(F.col("sex_row").isNotNull())
+              .join(F.broadcast(members), "stem"))
+    age_names = [a for a, _, _ in AGE_COLUMNS]
+    counts = (events.groupBy("release", "g", "sex_row")
+              .agg(F.count(F.lit(1)).alias("all_ages"),
+                   *[F.count_if(F.col("agecol") == a).alias(a) for a in age_names]))
+    # Every block exists in every release, also when nobody died of that cause.
+    blocks = (d.select(F.col("year_of_registration").alias("release")).distinct()
+              .withColumn("g", F.explode(F.sequence(F.lit(1), F.lit(len(CAUSE_GROUPS)))))
+              .withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(2)))))
+    sex_name = F.element_at(F.array(*[F.lit(n) for n, _ in SEX_ROWS]), F.col("s") + 1)
+    codes = F.array(*[F.lit(c) for c, _, _ in CAUSE_GROUPS])
+    names = F.array(*[F.lit(n) for _, n, _ in CAUSE_GROUPS])
+    rows = blocks.withColumn("sex_row", sex_name).join(counts, ["release", "g", "sex_row"], "left")
+
+    def fmt(c):
+        n = F.coalesce(F.col(c), F.lit(0))
+        return F.when(n == 0, F.lit("-")).otherwise(F.format_number(n, 0))
+
+    first = F.col("s") == 0
+    fields = [F.when(first, F.element_at(codes, F.col("g"))), F.when(first, F.element_at(names, F.col("g"))),
+              F.when(first, F.lit("All")).otherwise(F.col("sex_row")),
+              fmt("all_ages"), *[fmt(a) for a in age_names]]
+    data = rows.select("release", block_line(F.col("g"), F.col("s")).alias("line_no"),
+                       F.concat_ws(",", *[_csv_field(f) for f in fields]).alias("value"))
+    # Header, blank separators after each section-1 block, footnotes and footer.
+    k = SECTION1_GROUPS
+    blank_lines = [HEADER_LINES + 1 + (g - 1) * 4 + 3 for g in range(1, k + 1)]
+    notes = ([(i, f"Table 6.02 line {i}, deaths by cause, sex and age") for i in range(1, HEADER_LINES + 1)]
+             + [(ln, ",,,,,,,,,,,,,,,,,") for ln in blank_lines]
+             + [(SECTION1[0] + SECTION1[1] + i, f"Footnote {i}: codes, ranges") for i in range(1, FOOTNOTE_LINES + 1)]
+             + [(SECTION2[0] + SECTION2[1] + i, f"Footer {i}") for i in range(1, 3)])
+    extra = (d.select(F.col("year_of_registration").alias("release")).distinct()
+             .withColumn("t", F.explode(F.array(*[F.struct(F.lit(ln).alias("line_no"), F.lit(v).alias("value"))
+                                                  for ln, v in notes])))
+             .select("release", "t.line_no", "t.value"))
+    # Lines of one release stay together, as when each published file is read by one task.
+    return data.unionByName(extra).repartition("release")
+
+
+ADAPTERS["vital_events_lines"] = vital_events_lines
