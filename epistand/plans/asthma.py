@@ -57,14 +57,18 @@ def band_rates(cells_df: DataFrame, bands) -> DataFrame:
     return standardised_rates(inside, band_epop_total("age_grp", bands), cats=["age_grp"])
 
 
+def band_charts(cells_df: DataFrame, bands) -> list[DataFrame]:
+    """One chart per coarse band: cells collapsed into the band, standardised with its total."""
+    collapsed = collapse_bands(cells_df)
+    return [chart_data(collapsed.where(F.col("age_grp") == F.lit(b.label)), b.epop_total) for b in bands]
+
+
 def run(src, p: AsthmaParams = AsthmaParams()) -> dict[str, DataFrame]:
     c = cells(src, p)
-    collapsed = collapse_bands(c)
     out = {
         "deaths_chart": death_counts(src, p),
         "sex_chart": chart_data(c, 100000),
         "all_chart": chart_data(c, 200000, by_sex=False),
     }
-    for b, name in zip(p.bands, ("underten_chart", "tenplus_chart")):
-        out[name] = chart_data(collapsed.where(F.col("age_grp") == F.lit(b.label)), b.epop_total)
+    out.update(zip(("underten_chart", "tenplus_chart"), band_charts(c, p.bands)))
     return out

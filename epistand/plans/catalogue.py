@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from epistand.functions.ages import age_band, coarse_band, coarse_band_from_grp, epop_weight
 from epistand.functions.codes import any_position_match, match_flag
 from epistand.functions.dates import fiscal_year, year_label
+from epistand.operators.charts import chart_data
 from epistand.operators.extract import (OTHER_CONDITIONS, death_events, first_per_patient_year, select_codes,
                                         select_window, stay_rollup, valid_sex)
 from epistand.operators.incidence import incident_events
@@ -281,16 +282,16 @@ def _tagged(parts: dict) -> DataFrame:
 
 
 def q_asthma_sex_chart(spark, d):
-    return rounded(asthma.run(_src(spark, d), T_ASTHMA)["sex_chart"])
+    return rounded(chart_data(asthma.cells(_src(spark, d), T_ASTHMA), 100000))
 
 
 def q_asthma_all_chart(spark, d):
-    return rounded(asthma.run(_src(spark, d), T_ASTHMA)["all_chart"])
+    return rounded(chart_data(asthma.cells(_src(spark, d), T_ASTHMA), 200000, by_sex=False))
 
 
 def q_asthma_band_charts(spark, d):
-    r = asthma.run(_src(spark, d), T_ASTHMA)
-    return rounded(_tagged({k: r[k] for k in ("underten_chart", "tenplus_chart")}))
+    charts = asthma.band_charts(asthma.cells(_src(spark, d), T_ASTHMA), T_ASTHMA.bands)
+    return rounded(_tagged(dict(zip(("underten_chart", "tenplus_chart"), charts))))
 
 
 def q_diabetes_secondarycare_chart2(spark, d):
@@ -303,23 +304,19 @@ def q_diabetes_mortality_chart(spark, d):
 
 
 def q_allergy_chart(spark, d):
-    return rounded(allergy.run(_src(spark, d), T_ALLERGY)["scotland_chart"])
+    return rounded(allergy.chart(allergy.rates(allergy.cells(_src(spark, d), T_ALLERGY))))
 
 
 def q_copd_deaths_chart(spark, d):
-    return rounded(copd.run(_src(spark, d), T_COPD)["deaths_scotland"])
+    return rounded(chart_data(copd.mortality_cells(_src(spark, d), T_COPD), 100000, year_type="calendar"))
 
 
 def q_copd_incidence_charts(spark, d):
-    r = copd.run(_src(spark, d), T_COPD)
-    keys = ("all_copd_scotland_chart", "copd_undersixtyfive_chart", "copd_sixtyfive_eightyfour_chart",
-            "copd_eightyfiveplus_chart")
-    return rounded(_tagged({k: r[k] for k in keys}))
+    return rounded(_tagged(copd.incidence_charts(copd.incidence(_src(spark, d), T_COPD), T_COPD)))
 
 
 def q_copd_deprivation_charts(spark, d):
-    r = copd.run(_src(spark, d), T_COPD)
-    return rounded(_tagged({k: r[k] for k in ("copd_deprivation_chart1", "copd_deprivation_chart2")}))
+    return rounded(_tagged(copd.deprivation_charts(copd.deprivation_cells(_src(spark, d), T_COPD))))
 
 
 def q_epilepsy_deaths_chart(spark, d):

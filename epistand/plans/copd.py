@@ -86,16 +86,24 @@ def deprivation_chart(cells: DataFrame) -> DataFrame:
                         year_label("year").alias("year_label"))
 
 
-def run(src, p: CopdParams = CopdParams()) -> dict[str, DataFrame]:
-    inc = incidence(src, p)
+def incidence_charts(inc: DataFrame, p: CopdParams) -> dict[str, DataFrame]:
     collapsed = collapse_bands(inc)
-    out = {"deaths_scotland": chart_data(mortality_cells(src, p), 100000, year_type="calendar"),
-           "all_copd_scotland_chart": chart_data(inc, 100000)}
+    out = {"all_copd_scotland_chart": chart_data(inc, 100000)}
     for b, name in zip(p.bands, ("copd_undersixtyfive_chart", "copd_sixtyfive_eightyfour_chart",
                                  "copd_eightyfiveplus_chart")):
         out[name] = chart_data(collapsed.where(F.col("age_grp") == F.lit(b.label)), b.epop_total)
-    dep = deprivation_chart(deprivation_cells(src, p))
+    return out
+
+
+def deprivation_charts(cells: DataFrame) -> dict[str, DataFrame]:
+    dep = deprivation_chart(cells)
     cols = {"class1": "sc_quin", "measure": "rate", "class2": "age_sex"}
-    out["copd_deprivation_chart1"] = project_chart(dep, cols, F.col("age_sex").isin("Male 65-84", "Male +85"))
-    out["copd_deprivation_chart2"] = project_chart(dep, cols, F.col("age_sex").isin("Female 65-84", "Female +85"))
+    return {"copd_deprivation_chart1": project_chart(dep, cols, F.col("age_sex").isin("Male 65-84", "Male +85")),
+            "copd_deprivation_chart2": project_chart(dep, cols, F.col("age_sex").isin("Female 65-84", "Female +85"))}
+
+
+def run(src, p: CopdParams = CopdParams()) -> dict[str, DataFrame]:
+    out = {"deaths_scotland": chart_data(mortality_cells(src, p), 100000, year_type="calendar")}
+    out.update(incidence_charts(incidence(src, p), p))
+    out.update(deprivation_charts(deprivation_cells(src, p)))
     return out
