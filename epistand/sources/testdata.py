@@ -286,7 +286,7 @@ def vital_events_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Header, blank separators after each section-1 block, footnotes and footer.
     k = SECTION1_GROUPS
     blank_lines = [HEADER_LINES + 1 + (g - 1) * 4 + 3 for g in range(1, k + 1)]
-    notes = ([(i, f"Table 6.02 line {i}, deaths by cause, sex and age") for i in range(1, HEADER_LINES + 1)]
+    notes = ([(i, f"Deaths by cause, sex and age: header line {i}") for i in range(1, HEADER_LINES + 1)]
              + [(ln, ",,,,,,,,,,,,,,,,,") for ln in blank_lines]
              + [(SECTION1[0] + SECTION1[1] + i, f"Footnote {i}: codes, ranges") for i in range(1, FOOTNOTE_LINES + 1)]
              + [(SECTION2[0] + SECTION2[1] + i, f"Footer {i}") for i in range(1, 3)])

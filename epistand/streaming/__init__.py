@@ -1,0 +1,7 @@
+"""Streaming.
+
+The method processes bounded extracts only: it has no stream, watermark, window of event time or
+state, so this package defines no operator. The stateless operators of ``epistand.operators``
+(code selection, residency semi-join against a static lookup, cell counting) are ordinary
+DataFrame code and can be applied to a streaming DataFrame unchanged.
+"""
