@@ -19,9 +19,6 @@ from pyspark.sql import functions as F
 
 from epistand.functions.dates import years_between
 
-# Slice id given to records without an admission date: after every dated slice (NULL dates sort
-# last, as in the method) and never NULL, so it can be a plain equi-join key.
-_UNDATED_SLICE = 1 << 40
 _NULL_PATIENT = "\u0000"
 
 
@@ -31,12 +28,16 @@ def incident_events(events: DataFrame, gap_from: str = "dodis", min_gap_years: f
                     tie_breakers=("source_rank", "cis")) -> DataFrame:
     """Keep the incident events (see module docstring); returns the input columns."""
     cols = events.columns
-    order = [F.col(admitted).asc_nulls_last()] + [F.col(c).asc_nulls_first() for c in tie_breakers]
+    # Undated records sort after every dated one (NULL dates last): they are never the previous
+    # record of a dated one, and their own gap is NULL, so they are kept without a window.
+    undated = events.where(F.col(admitted).isNull())
+    dated = events.where(F.col(admitted).isNotNull())
+    order = [F.col(admitted).asc()] + [F.col(c).asc_nulls_first() for c in tie_breakers]
     day = F.datediff(F.col(admitted), F.lit("1970-01-01").cast("date"))
-    keyed = events.select(
+    keyed = dated.select(
         "*",
         F.coalesce(F.col(patient).cast("string"), F.lit(_NULL_PATIENT)).alias("_pk"),
-        F.coalesce(F.floor(day / F.lit(bucket_days)), F.lit(_UNDATED_SLICE)).alias("_slice"),
+        F.floor(day / F.lit(bucket_days)).alias("_slice"),
     )
     w = Window.partitionBy("_pk", "_slice").orderBy(*order)
     lagged = keyed.select(
@@ -53,7 +54,8 @@ def incident_events(events: DataFrame, gap_from: str = "dodis", min_gap_years: f
     joined = lagged.join(carry, on=["_pk", "_slice"], how="left")
     prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev_in"))
     gap = years_between(admitted, prev, days_per_year)
-    return joined.where(gap.isNull() | (gap >= F.lit(float(min_gap_years)))).select(*cols)
+    kept = joined.where(gap.isNull() | (gap >= F.lit(float(min_gap_years)))).select(*cols)
+    return kept.unionByName(undated)
 
 
 def incident_events_simple(events: DataFrame, gap_from: str = "dodis", min_gap_years: float = 10.0,

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epistand.functions.ages import band_epop_total, coarse_band_from_grp
 
@@ -44,6 +45,12 @@ def standardised_rates(cells: DataFrame, epop_total, by_sex: bool = True, cats=(
             .drop("easr_first"))
 
 
+def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
+    """Names of the numeric columns of a frame, in order, without ``exclude``."""
+    return [f.name for f in df.schema.fields
+            if isinstance(f.dataType, T.NumericType) and f.name not in set(exclude)]
+
+
 def collapse_bands(cells: DataFrame, band_col: str = "age_grp2",
                    sum_cols=("numerator", "denominator", "epop"), bands=None) -> DataFrame:
     """Sum numerator, denominator and epop into coarse bands, then call the band ``age_grp``.
@@ -54,6 +61,8 @@ def collapse_bands(cells: DataFrame, band_col: str = "age_grp2",
     ``bands`` to derive the band from ``age_grp`` on every cell instead."""
     if bands is not None:
         cells = cells.withColumn(band_col, coarse_band_from_grp("age_grp", bands))
+    if sum_cols is None:
+        sum_cols = numeric_columns(cells, exclude=("year", band_col, "sex", "age_grp"))
     return (cells.groupBy("year", band_col, "sex")
             .agg(*[_sum0(c) for c in sum_cols])
             .withColumnRenamed(band_col, "age_grp"))

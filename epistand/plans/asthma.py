@@ -63,6 +63,15 @@ def band_charts(cells_df: DataFrame, bands) -> list[DataFrame]:
     return [chart_data(collapsed.where(F.col("age_grp") == F.lit(b.label)), b.epop_total) for b in bands]
 
 
+def summary_chart(spark, path: str) -> DataFrame:
+    """An earlier chart file (class1, class2, measure) with '', ' ' and 'NA' as missing, measure
+    rounded to one decimal: the data behind the publication summary chart."""
+    from epistand.sources.readers import read_csv_na
+    from epistand.sources.schemas import CHART_CSV
+    chart = read_csv_na(spark, path, CHART_CSV)
+    return chart.select("class1", "class2", F.round("measure", 1).alias("measure"))
+
+
 def run(src, p: AsthmaParams = AsthmaParams()) -> dict[str, DataFrame]:
     c = cells(src, p)
     out = {

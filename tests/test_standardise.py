@@ -71,3 +71,9 @@ def test_rate_invariant_to_scaling_and_partitioning(spark):
     assert all(base[k] == pytest.approx(again[k]) for k in base)
     per_sex = sum(r.numerator for r in standardised_rates(c, 100000).collect())
     assert per_sex == _rate(standardised_rates(c, 200000, by_sex=False)).numerator
+
+
+def test_collapse_sums_numeric_columns_by_type(spark):
+    c = spark.createDataFrame([(2020, 1, 1, "1", 10, 1000, 5000.0), (2020, 2, 1, "1", 5, 250, 5500.0)], CELLS)
+    out = collapse_bands(c, sum_cols=None).collect()[0]
+    assert (out.numerator, out.denominator, out.epop) == (15, 1250, 10500.0)
