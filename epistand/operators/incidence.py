@@ -18,26 +18,36 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from epistand.functions.dates import years_between
+from epistand.session import ensure_checkpoint_dir
 
 _NULL_PATIENT = "\u0000"
+UNDATED_SPREAD = 1024
 
 
 def incident_events(events: DataFrame, gap_from: str = "dodis", min_gap_years: float = 10.0,
                     days_per_year: float = 365.0, bucket_days: int = 30,
                     patient: str = "linkno", admitted: str = "doadm",
-                    tie_breakers=("source_rank", "cis")) -> DataFrame:
-    """Keep the incident events (see module docstring); returns the input columns."""
+                    tie_breakers=("source_rank", "cis"), materialize: bool = True) -> DataFrame:
+    """Keep the incident events (see module docstring); returns the input columns.
+
+    With ``materialize`` the lagged records are checkpointed (reliably, in the shared checkpoint
+    folder) before the per-slice summary is taken from them. Otherwise the summary branch, which
+    needs fewer columns, plans a different exchange and the whole upstream (scans, roll-ups)
+    would run twice. Both branches then read the checkpoint; the summary (one row per
+    patient-slice) is the only new shuffle besides re-partitioning the checkpoint for the join.
+    Checkpointing runs the upstream job when this is called."""
     cols = events.columns
-    # Undated records sort after every dated one (NULL dates last): they are never the previous
-    # record of a dated one, and their own gap is NULL, so they are kept without a window.
-    undated = events.where(F.col(admitted).isNull())
-    dated = events.where(F.col(admitted).isNotNull())
-    order = [F.col(admitted).asc()] + [F.col(c).asc_nulls_first() for c in tie_breakers]
+    order = [F.col(admitted).asc_nulls_last()] + [F.col(c).asc_nulls_first() for c in tie_breakers]
     day = F.datediff(F.col(admitted), F.lit("1970-01-01").cast("date"))
-    keyed = dated.select(
+    # Undated records sort after every dated one (NULL dates last): they are never the previous
+    # record of a dated one and their own gap is NULL, so they are always kept. They get negative
+    # slice ids spread by a row hash (so many of them never meet in one task) and are left out of
+    # the carried summary.
+    undated_slice = F.lit(-1) - F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(UNDATED_SPREAD))
+    keyed = events.select(
         "*",
         F.coalesce(F.col(patient).cast("string"), F.lit(_NULL_PATIENT)).alias("_pk"),
-        F.floor(day / F.lit(bucket_days)).alias("_slice"),
+        F.when(F.col(admitted).isNull(), undated_slice).otherwise(F.floor(day / F.lit(bucket_days))).alias("_slice"),
     )
     w = Window.partitionBy("_pk", "_slice").orderBy(*order)
     lagged = keyed.select(
@@ -46,16 +56,18 @@ def incident_events(events: DataFrame, gap_from: str = "dodis", min_gap_years: f
         F.lag(F.lit(1)).over(w).isNull().alias("_first"),
         F.lead(F.lit(1)).over(w).isNull().alias("_last"),
     )
+    if materialize:
+        ensure_checkpoint_dir(lagged.sparkSession)
+        lagged = lagged.checkpoint(eager=True)
     # Last record of each slice, carried to the next non-empty slice of the same patient.
-    carry = (lagged.where("_last")
+    carry = (lagged.where(F.col("_last") & (F.col("_slice") >= 0))
              .select("_pk", "_slice", F.col(gap_from).alias("_ref"))
              .withColumn("_carry", F.lag("_ref").over(Window.partitionBy("_pk").orderBy("_slice")))
              .select("_pk", "_slice", "_carry"))
     joined = lagged.join(carry, on=["_pk", "_slice"], how="left")
     prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev_in"))
     gap = years_between(admitted, prev, days_per_year)
-    kept = joined.where(gap.isNull() | (gap >= F.lit(float(min_gap_years)))).select(*cols)
-    return kept.unionByName(undated)
+    return joined.where(gap.isNull() | (gap >= F.lit(float(min_gap_years)))).select(*cols)
 
 
 def incident_events_simple(events: DataFrame, gap_from: str = "dodis", min_gap_years: float = 10.0,
