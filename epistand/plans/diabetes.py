@@ -138,7 +138,10 @@ def mortality_chart(cells: DataFrame) -> DataFrame:
                        "numerator", "rate")
 
 
-def run(src, p: DiabetesParams = DiabetesParams()) -> dict[str, DataFrame]:
-    adm = admission_cells(src, p)
+def run(src, p: DiabetesParams = DiabetesParams(), base_path: str | None = None) -> dict[str, DataFrame]:
+    """The admissions base table is materialised once (Parquet at ``base_path`` in the shared
+    folder, or a reliable checkpoint) and feeds both admission charts."""
+    from epistand.sources.readers import lineage_cut
+    adm = lineage_cut(admission_cells(src, p), base_path)
     return {"secondarycare_chart1": chart1(adm), "secondarycare_chart2": chart2(adm, p),
             "mortality_chart1": mortality_chart(death_cells(src, p))}

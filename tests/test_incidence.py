@@ -76,3 +76,21 @@ def test_plan_has_no_global_window(spark):
     plan = incident_events(ev)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan
     assert F is not None
+
+
+def test_hot_patient_rows_spread_over_tasks(spark):
+    # A third of all rows belong to one patient; after the look-back exchange they must not sit in
+    # one partition (a plain partitionBy(patient) window would put them all in one task).
+    hot = [("HOT", f"h{i}", 1, D(2000, 1, 1) + dt.timedelta(days=i % 3000), D(2000, 1, 2) + dt.timedelta(days=i % 3000))
+           for i in range(3000)]
+    rest = [(f"p{i}", f"x{i}", 1, D(2000, 1, 1) + dt.timedelta(days=i % 3000), D(2000, 1, 2) + dt.timedelta(days=i % 3000))
+            for i in range(6000)]
+    ev = spark.createDataFrame(hot + rest, SCHEMA)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # at this size AQE would merge every partition into one
+    try:
+        out = incident_events(ev, min_gap_years=0.0, bucket_days=30, materialize=False)
+        parts = out.where(F.col("linkno") == "HOT").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set(key, "true")
+    assert parts >= 4
