@@ -7,9 +7,10 @@ then stay id.
 
 Scale: a plain ``lag`` over ``partitionBy(patient)`` puts all of a patient's records into one
 task, so a placeholder id holding a large share of the rows would serialise the job. Here each
-patient's history is cut into time slices of ``bucket_days``; the lag runs per (patient, slice)
-and the first record of each slice takes the last record of the previous non-empty slice from a
-small per-slice summary (one row per patient-slice). The result is exactly the whole-history lag.
+patient's history is cut into slices whose order is the record order (by default: admission day,
+source rank, stay-id prefix); the lag runs per (patient, slice) and the first record of each
+slice takes the last record of the previous non-empty slice from a per-slice summary (one row
+per patient-slice). The result is exactly the whole-history lag.
 """
 
 from __future__ import annotations
@@ -25,11 +26,16 @@ UNDATED_SPREAD = 1024
 
 
 def incident_events(events: DataFrame, gap_from: str = "dodis", min_gap_years: float = 10.0,
-                    days_per_year: float = 365.0, bucket_days: int = 30,
-                    patient: str = "linkno", admitted: str = "doadm",
-                    tie_breakers=("source_rank", "cis"), materialize: bool = True) -> DataFrame:
+                    days_per_year: float = 365.0, bucket_days: int = 1, split_chars: int = 2,
+                    patient: str = "linkno", admitted: str = "doadm", rank: str = "source_rank",
+                    stay: str = "cis", materialize: bool = True) -> DataFrame:
     """Keep the incident events (see module docstring); returns the input columns.
 
+    Slices: with ``bucket_days == 1`` a slice is (day, source rank, first ``split_chars``
+    characters of the stay id), which orders exactly like the records (admission date, source
+    rank, stay id), so even one patient-day with a large share of the rows is split by stay-id
+    prefix. With ``bucket_days > 1`` a slice is a run of whole days.
+
     With ``materialize`` the lagged records are checkpointed (reliably, in the shared checkpoint
     folder) before the per-slice summary is taken from them. Otherwise the summary branch, which
     needs fewer columns, plans a different exchange and the whole upstream (scans, roll-ups)
@@ -37,8 +43,9 @@ def incident_events(events: DataFrame, gap_from: str = "dodis", min_gap_years: f
     patient-slice) is the only new shuffle besides re-partitioning the checkpoint for the join.
     Checkpointing runs the upstream job when this is called."""
     cols = events.columns
-    order = [F.col(admitted).asc_nulls_last()] + [F.col(c).asc_nulls_first() for c in tie_breakers]
+    order = [F.col(admitted).asc_nulls_last(), F.col(rank).asc_nulls_first(), F.col(stay).asc_nulls_first()]
     day = F.datediff(F.col(admitted), F.lit("1970-01-01").cast("date"))
+    fine = bucket_days == 1
     # Undated records sort after every dated one (NULL dates last): they are never the previous
     # record of a dated one and their own gap is NULL, so they are always kept. They get negative
     # slice ids spread by a row hash (so many of them never meet in one task) and are left out of
@@ -48,8 +55,13 @@ def incident_events(events: DataFrame, gap_from: str = "dodis", min_gap_years: f
         "*",
         F.coalesce(F.col(patient).cast("string"), F.lit(_NULL_PATIENT)).alias("_pk"),
         F.when(F.col(admitted).isNull(), undated_slice).otherwise(F.floor(day / F.lit(bucket_days))).alias("_slice"),
+        # NULL sorts first in the record order, like the empty prefix here.
+        (F.coalesce(F.col(rank), F.lit(-(1 << 30))) if fine else F.lit(0)).alias("_srank"),
+        (F.substring(F.coalesce(F.col(stay).cast("string"), F.lit("")), 1, split_chars) if fine
+         else F.lit("")).alias("_spre"),
     )
-    w = Window.partitionBy("_pk", "_slice").orderBy(*order)
+    slice_keys = ["_pk", "_slice", "_srank", "_spre"]
+    w = Window.partitionBy(*slice_keys).orderBy(*order)
     lagged = keyed.select(
         "*",
         F.lag(gap_from).over(w).alias("_prev_in"),
@@ -61,10 +73,10 @@ def incident_events(events: DataFrame, gap_from: str = "dodis", min_gap_years: f
         lagged = lagged.checkpoint(eager=True)
     # Last record of each slice, carried to the next non-empty slice of the same patient.
     carry = (lagged.where(F.col("_last") & (F.col("_slice") >= 0))
-             .select("_pk", "_slice", F.col(gap_from).alias("_ref"))
-             .withColumn("_carry", F.lag("_ref").over(Window.partitionBy("_pk").orderBy("_slice")))
-             .select("_pk", "_slice", "_carry"))
-    joined = lagged.join(carry, on=["_pk", "_slice"], how="left")
+             .select(*slice_keys, F.col(gap_from).alias("_ref"))
+             .withColumn("_carry", F.lag("_ref").over(Window.partitionBy("_pk").orderBy("_slice", "_srank", "_spre")))
+             .select(*slice_keys, "_carry"))
+    joined = lagged.join(carry, on=slice_keys, how="left")
     prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev_in"))
     gap = years_between(admitted, prev, days_per_year)
     return joined.where(gap.isNull() | (gap >= F.lit(float(min_gap_years)))).select(*cols)

@@ -133,7 +133,7 @@ class LookbackParams:
     gap_from: str = "dodis"          # 'dodis' (previous discharge) or 'doadm' (previous admission)
     min_gap_years: float = 10.0
     days_per_year: float = 365.0
-    bucket_days: int = 365           # time slice used to split one patient's history over tasks
+    bucket_days: int = 1             # days per slice of a patient's history (1: day + stay-id prefix)
 
 
 @dataclass(frozen=True)

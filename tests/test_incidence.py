@@ -94,3 +94,27 @@ def test_hot_patient_rows_spread_over_tasks(spark):
     finally:
         spark.conf.set(key, "true")
     assert parts >= 4
+
+
+def test_hot_patient_day_split_by_stay_prefix(spark):
+    # One patient and one admission day hold a third of the rows: the slice key (day, source rank,
+    # stay-id prefix) still splits them, and the result equals the whole-history window.
+    day = D(2005, 3, 1)
+    hot = [("HOT", f"{i:04d}", 1 + i % 2, day, day + dt.timedelta(days=(i * 13) % 400)) for i in range(1500)]
+    hot += [("HOT", None, 0, day, day), ("HOT", "9999", 1, D(2007, 1, 1), D(2007, 1, 2))]
+    rest = [(f"p{i}", f"x{i}", 1, D(2000, 1, 1) + dt.timedelta(days=i), D(2000, 1, 2) + dt.timedelta(days=i))
+            for i in range(3000)]
+    ev = spark.createDataFrame(hot + rest, SCHEMA)
+    for gap_from, years in (("dodis", 0.5), ("doadm", 1.0)):
+        want = _kept_all(incident_events_simple(ev, gap_from=gap_from, min_gap_years=years))
+        got = _kept_all(incident_events(ev, gap_from=gap_from, min_gap_years=years))
+        assert got == want
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        out = incident_events(ev, gap_from="dodis", min_gap_years=-1000.0, materialize=False)
+        parts = out.where((F.col("linkno") == "HOT") & (F.col("doadm") == F.lit(day))) \
+            .select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.set(key, "true")
+    assert parts >= 4

@@ -25,6 +25,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+TYPE_MAP = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+            "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def norm(v):
     if v is None:
         return None
@@ -87,11 +91,13 @@ def main():
             bad += 1
             continue
         cols_ok = sorted(s_cols) == sorted(d_cols)
+        type_bad = {c: (s_types[c], d_types[c]) for c in s_cols
+                    if c in d_types and TYPE_MAP.get(s_types[c]) != d_types[c]}
         vals_ok = cols_ok and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
         ok = cols_ok and vals_ok and len(s_rows) == len(d_rows)
         bad += not ok
         print(f"{name:32s} {'OK ' if ok else 'BAD'} spark={len(s_rows)} duck={len(d_rows)} cols={cols_ok} "
-              f"vals={vals_ok} {t1 - t0:.1f}s")
+              f"vals={vals_ok} types={'ok' if not type_bad else type_bad} {t1 - t0:.1f}s")
         if not cols_ok:
             print("   spark cols", s_cols, "\n   duck cols ", d_cols)
         elif not vals_ok:
