@@ -73,7 +73,9 @@ def summary_chart(spark, path: str) -> DataFrame:
 
 
 def run(src, p: AsthmaParams = AsthmaParams()) -> dict[str, DataFrame]:
-    c = cells(src, p)
+    """The cells (a few hundred rows) feed four charts: materialised once."""
+    from epistand.sources.readers import lineage_cut
+    c = lineage_cut(cells(src, p))
     out = {
         "deaths_chart": death_counts(src, p),
         "sex_chart": chart_data(c, 100000),

@@ -20,6 +20,7 @@ from epistand.operators.standardise import collapse_bands, rates_within_bands
 from epistand.params import (COPD_BANDS, COPD_DEATH_CODES, COPD_DEPRIVATION_BANDS, COPD_STAY_CODES,
                              LookbackParams)
 from epistand.plans.incidence_topics import incidence_cells, stacked_stays, topic_deaths
+from epistand.sources.readers import lineage_cut
 
 
 @dataclass(frozen=True)
@@ -49,17 +50,22 @@ def mortality_cells(src, p: CopdParams) -> DataFrame:
     return with_denominators(counted, population(src, p), how="full")
 
 
-def incidence(src, p: CopdParams) -> DataFrame:
-    stays = stacked_stays(src, COPD_STAY_CODES, p.stay_window)
-    return incidence_cells(stays, deaths(src, p), src.postcode_lookup, population(src, p), p.bands,
+def stays(src, p: CopdParams) -> DataFrame:
+    """Stays from the current and historic tables, before the residency filter."""
+    return stacked_stays(src, COPD_STAY_CODES, p.stay_window)
+
+
+def incidence(src, p: CopdParams, stays_df: DataFrame | None = None) -> DataFrame:
+    stays_df = stays(src, p) if stays_df is None else stays_df
+    return incidence_cells(stays_df, deaths(src, p), src.postcode_lookup, population(src, p), p.bands,
                            p.lookback, p.output_after_year, how="left")
 
 
-def deprivation_cells(src, p: CopdParams) -> DataFrame:
+def deprivation_cells(src, p: CopdParams, stays_df: DataFrame | None = None) -> DataFrame:
     """Area populations (65+) with quintiles, joined to admission counts with the population on
     the left so that areas without admissions keep their population."""
-    stays = stacked_stays(src, COPD_STAY_CODES, p.stay_window)
-    adm = (stays.where(F.col("age") > p.deprivation_first_age - 1)
+    stays_df = stays(src, p) if stays_df is None else stays_df
+    adm = (stays_df.where(F.col("age") > p.deprivation_first_age - 1)
            .withColumn("age_grp", age_band("age"))
            .where(F.col("year") == p.event_year)
            .select(F.lit(p.population_year).alias("year"), "age_grp", "sex", "pc7"))
@@ -103,7 +109,11 @@ def deprivation_charts(cells: DataFrame) -> dict[str, DataFrame]:
 
 
 def run(src, p: CopdParams = CopdParams()) -> dict[str, DataFrame]:
+    """The stacked stays feed incidence and deprivation, and the incidence cells feed four charts:
+    both are materialised once (reliable checkpoint) instead of recomputed per written output."""
+    shared = lineage_cut(stays(src, p))
+    inc = lineage_cut(incidence(src, p, shared))
     out = {"deaths_scotland": chart_data(mortality_cells(src, p), 100000, year_type="calendar")}
-    out.update(incidence_charts(incidence(src, p), p))
-    out.update(deprivation_charts(deprivation_cells(src, p)))
+    out.update(incidence_charts(inc, p))
+    out.update(deprivation_charts(deprivation_cells(src, p, shared)))
     return out

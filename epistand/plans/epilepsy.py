@@ -70,5 +70,6 @@ def incidence_chart(inc: DataFrame, p: EpilepsyParams) -> DataFrame:
 
 
 def run(src, p: EpilepsyParams = EpilepsyParams()) -> dict[str, DataFrame]:
+    from epistand.sources.readers import lineage_cut
     return {"incidence_deaths_chart_1": death_chart(src, p),
-            "incidence_agesex_chart_1": incidence_chart(incidence(src, p), p)}
+            "incidence_agesex_chart_1": incidence_chart(lineage_cut(incidence(src, p)), p)}

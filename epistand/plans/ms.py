@@ -68,6 +68,8 @@ def chart2(inc: DataFrame, p: MsParams) -> DataFrame:
 
 
 def run(src, p: MsParams = MsParams()) -> dict[str, DataFrame]:
-    inc = incidence(src, p)
+    """The incidence cells feed both charts: materialised once."""
+    from epistand.sources.readers import lineage_cut
+    inc = lineage_cut(incidence(src, p))
     return {"mortality_chart1": death_chart(src, p), "seccare_chart1_pra": chart1(inc, p),
             "seccare_chart2_pra": chart2(inc, p)}
