@@ -185,6 +185,16 @@ def q_rates_coarse_collapsed(spark, d):
     return rounded(asthma.band_rates(asthma.cells(_src(spark, d), T_ASTHMA), ASTHMA_BANDS))
 
 
+def q_rates_coarse_all_cells(spark, d):
+    """Collapsed bands where every cell takes its band from its five-year band (also the cells
+    with no events), instead of the band of the event side only."""
+    from epistand.functions.ages import band_epop_total
+    from epistand.operators.standardise import collapse_bands
+    c = collapse_bands(asthma.cells(_src(spark, d), T_ASTHMA), bands=ASTHMA_BANDS)
+    c = c.where(F.col("age_grp").isin([b.label for b in ASTHMA_BANDS]))
+    return rounded(standardised_rates(c, band_epop_total("age_grp", ASTHMA_BANDS), cats=["age_grp"]))
+
+
 def q_rates_coarse_standardised(spark, d):
     adm = diabetes.admission_cells(_src(spark, d), T_DIABETES)
     return rounded(rates_within_bands(adm.where(F.col("type") == "diab_keto"), DIABETES_BANDS))

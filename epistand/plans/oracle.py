@@ -497,6 +497,11 @@ _AB = ", ".join(lit(b.label) for b in T_ASTHMA.bands)
 SQL["rates_coarse_collapsed"] = build(ASTHMA_NEEDS, ASTHMA_CTES + [("a_bands", collapse("a_cells"))],
                                       f"select age_grp, year, sex, numerator, {r4('rate')} rate from "
                                       f"({rates('a_bands', band_total('age_grp', T_ASTHMA.bands), cats=['age_grp'], where=f'age_grp in ({_AB})')})")
+_ALLCELLS = collapse("a_cells").replace("age_grp2 age_grp", f"{cband_grp('age_grp', T_ASTHMA.bands)} AS age_grp") \
+    .replace("group by year, age_grp2, sex", f"group by year, {cband_grp('age_grp', T_ASTHMA.bands)}, sex")
+SQL["rates_coarse_all_cells"] = build(ASTHMA_NEEDS, ASTHMA_CTES + [("a_allbands", _ALLCELLS)],
+                                      f"select age_grp, year, sex, numerator, {r4('rate')} rate from "
+                                      f"({rates('a_allbands', band_total('age_grp', T_ASTHMA.bands), cats=['age_grp'], where=f'age_grp in ({_AB})')})")
 _DB = ", ".join(lit(b.label) for b in D.bands)
 SQL["rates_coarse_standardised"] = build(DIAB_NEEDS, DIAB_ADM_CTES,
                                          f"select age_grp2, year, sex, numerator, {r4('rate')} rate from "
