@@ -7,7 +7,6 @@ is only set when the cluster has not already named one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -51,7 +50,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
-        current = tempfile.mkdtemp(prefix="epistand-ckpt-", dir=os.environ.get("EPISTAND_SCRATCH", "/tmp"))
+        current = tempfile.mkdtemp(prefix="epistand-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
