@@ -15,7 +15,11 @@ def unpivot_all_but(df: DataFrame, ids, var: str, value: str, value_type: str |
 
 
 def drop_empty_rows(df: DataFrame, cols) -> DataFrame:
-    """Drop rows where every listed column is NULL or blank."""
+    """Drop rows where every listed column is NULL or blank.
+
+    For text read line by line prefer a test on the raw line (see ``read_sections``): a predicate
+    over many derived columns below a window can make the optimizer's constraint inference very
+    expensive."""
     blank = [F.when(F.trim(F.col(c)) == "", None).otherwise(F.col(c)).alias(c) for c in cols]
     keep = [c for c in df.columns if c not in cols]
     return df.select(*keep, *blank).dropna(how="all", subset=list(cols)).select(*df.columns)

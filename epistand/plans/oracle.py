@@ -114,6 +114,11 @@ def r4(c: str) -> str:
     return f"round({c}, 4)"
 
 
+def ident(name: str) -> str:
+    """A quoted SQL identifier (for column names such as ``<4_weeks`` or ``1-4``)."""
+    return '"' + name.replace('"', '""') + '"'
+
+
 # --- adapters -------------------------------------------------------------------------------
 
 def _pick(items, idx):
@@ -497,8 +502,10 @@ _AB = ", ".join(lit(b.label) for b in T_ASTHMA.bands)
 SQL["rates_coarse_collapsed"] = build(ASTHMA_NEEDS, ASTHMA_CTES + [("a_bands", collapse("a_cells"))],
                                       f"select age_grp, year, sex, numerator, {r4('rate')} rate from "
                                       f"({rates('a_bands', band_total('age_grp', T_ASTHMA.bands), cats=['age_grp'], where=f'age_grp in ({_AB})')})")
-_ALLCELLS = collapse("a_cells").replace("age_grp2 age_grp", f"{cband_grp('age_grp', T_ASTHMA.bands)} AS age_grp") \
-    .replace("group by year, age_grp2, sex", f"group by year, {cband_grp('age_grp', T_ASTHMA.bands)}, sex")
+_ALLCELLS = (f"select year, {cband_grp('age_grp', T_ASTHMA.bands)} AS age_grp, sex, "
+             "cast(coalesce(sum(numerator), 0) as bigint) numerator, "
+             "cast(coalesce(sum(denominator), 0) as bigint) denominator, coalesce(sum(epop), 0) epop "
+             f"from a_cells group by year, {cband_grp('age_grp', T_ASTHMA.bands)}, sex")
 SQL["rates_coarse_all_cells"] = build(ASTHMA_NEEDS, ASTHMA_CTES + [("a_allbands", _ALLCELLS)],
                                       f"select age_grp, year, sex, numerator, {r4('rate')} rate from "
                                       f"({rates('a_allbands', band_total('age_grp', T_ASTHMA.bands), cats=['age_grp'], where=f'age_grp in ({_AB})')})")
@@ -659,14 +666,14 @@ CAUSE_CTES = [
     ("vt_events", "select d.release, m.g, x.sex_row, d.agecol from vt_deaths d join vt_members m on d.stem = m.stem "
                   "cross join lateral (select 'All' sex_row union all select d.sexrow where d.sexrow is not null) x"),
     ("vt_counts", f"select release, g, sex_row, count(*) all_ages, "
-                  f"{', '.join(f'count(*) filter (where agecol = {q(a)}) {chr(34)}{a}{chr(34)}' for a in _AGE_NAMES)} "
+                  f"{', '.join(f'count(*) filter (where agecol = {q(a)}) {ident(a)}' for a in _AGE_NAMES)} "
                   f"from vt_events group by release, g, sex_row"),
     ("vt_blocks", "select r.release, g.g, g.icd, g.cause, s.s, ['All', 'M', 'F'][s.s + 1] sex_row "
                   "from (select distinct year_of_registration release from deaths) r cross join vt_groups g "
                   "cross join (select range s from range(0, 3)) s"),
     ("vt_rows", f"select b.release, cast({_line('b.g', 'b.s')} as integer) line_no, "
                 f"b.icd, b.cause, b.sex_row, coalesce(c.all_ages, 0) all_ages, "
-                f"{', '.join(f'coalesce(c.{chr(34)}{a}{chr(34)}, 0) {chr(34)}{a}{chr(34)}' for a in _AGE_NAMES)} "
+                f"{', '.join(f'coalesce(c.{ident(a)}, 0) {ident(a)}' for a in _AGE_NAMES)} "
                 f"from vt_blocks b left join vt_counts c on b.release = c.release and b.g = c.g and b.sex_row = c.sex_row"),
 ]
 
@@ -675,17 +682,16 @@ def _fmt(c: str) -> str:
     return f"(case when {c} = 0 then '-' else format('{{:,}}', {c}) end)"
 
 
-SQL["locf_fill_down"] = build(["deaths"], CAUSE_CTES, f"""select release, line_no, icd {chr(34)}ICD_10_code{chr(34)},
+SQL["locf_fill_down"] = build(["deaths"], CAUSE_CTES, f"""select release, line_no, icd {ident('ICD_10_code')},
   cause cause_of_death, sex_row sex, {_fmt('all_ages')} all_ages from vt_rows""")
 SQL["drop_empty_and_parse"] = build(["deaths"], CAUSE_CTES, " union all ".join(
-    f"select release, line_no, icd {chr(34)}ICD_10_code{chr(34)}, cause cause_of_death, sex_row sex, {q(a)} age, "
-    f"cast({chr(34)}{a}{chr(34)} as double) num_deaths from vt_rows" for a in ["all_ages"] + _AGE_NAMES))
+    f"select release, line_no, icd {ident('ICD_10_code')}, cause cause_of_death, sex_row sex, {q(a)} age, "
+    f"cast({ident(a)} as double) num_deaths from vt_rows" for a in ["all_ages"] + _AGE_NAMES))
 
 
-def _top(age_where: str) -> str:
-    ages_all = ["all_ages"] + _AGE_NAMES
-    pick = [a for a in ages_all if eval(age_where)(a)]
-    total_expr = " + ".join(f'{chr(34)}{a}{chr(34)}' for a in pick)
+def _top(ages) -> str:
+    """Top causes over the given age columns (sum over both sexes), as the Spark operator."""
+    total_expr = " + ".join(ident(a) for a in ages)
     (target, minus), (old, new) = CAUSE_SUBTRACTION, next(iter(CAUSE_RELABEL.items()))
     return f"""select release, class1, measure, cast(row_number() over (partition by release
   order by measure asc, icd asc, class1 asc) as integer) position from (
@@ -702,8 +708,9 @@ def _top(age_where: str) -> str:
   where rk <= 10"""
 
 
-SQL["top_causes_under75"] = build(["deaths"], CAUSE_CTES, _top(f"lambda a: a not in {UNDER75_EXCLUDED_AGES!r}"))
-SQL["top_causes_all_ages"] = build(["deaths"], CAUSE_CTES, _top("lambda a: a == 'all_ages'"))
+SQL["top_causes_under75"] = build(["deaths"], CAUSE_CTES,
+                                  _top([a for a in ["all_ages"] + _AGE_NAMES if a not in UNDER75_EXCLUDED_AGES]))
+SQL["top_causes_all_ages"] = build(["deaths"], CAUSE_CTES, _top(["all_ages"]))
 
 
 def oracle_sql() -> dict[str, str]:
