@@ -53,7 +53,7 @@ def text_lines(spark: SparkSession, path: str) -> DataFrame:
 
     Each published file is small (one table), so it is read whole and split; many releases are
     read in parallel, one file per task."""
-    files = spark.read.text(path, wholetext=True).withColumn("release", F.input_file_name())
+    files = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("release"))
     return (files.select("release", F.posexplode(F.split("value", r"\r?\n")).alias("pos", "value"))
             .select("release", (F.col("pos") + 1).alias("line_no"), "value"))
 
