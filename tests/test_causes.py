@@ -47,3 +47,10 @@ def test_subtraction_with_missing_poisonings(spark, missing):
                                         "age string, num_deaths double")
     got = {r.class1: r.measure for r in top_causes(clean, ages=["all_ages"]).collect()}
     assert got["Accidents"] == (30.0 if missing else 20.0)
+
+
+def test_unpivot_all_but_keeps_nulls(spark):
+    from epistand.operators.reshape import unpivot_all_but
+    df = spark.createDataFrame([(2001, "1", 3, None), (2001, "2", 0, 5)], "year int, sex string, a int, b int")
+    rows = sorted(tuple(r) for r in unpivot_all_but(df, ["year", "sex"], "type", "numerator", "long").collect())
+    assert rows == [(2001, "1", "a", 3), (2001, "1", "b", None), (2001, "2", "a", 0), (2001, "2", "b", 5)]
