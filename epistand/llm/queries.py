@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epistand.llm import exact_dedup, langid, pii, toxicity, warc
-from epistand.llm.common import fold_of, shared_table, table
+from epistand.llm import exact_dedup, jaccard_join, langid, lm_score, pii, sentencepiece_ffbs, toxicity, vector_join, warc
+from epistand.llm.common import fold_of, table
 from epistand.session import ensure_checkpoint_dir
 
 
@@ -20,6 +20,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), words=3, num=90)
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
     strict = lambda kind: F.size(F.filter("spans", lambda s: s["strict"] & (s["kind"] == kind))).cast("long")
@@ -30,8 +34,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-warc-{uuid.uuid4().hex}"
     return warc.roundtrip(table(spark, sf_dir, "pages"), path).select(
-        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "ts",
-        "capture_part", "capture_pos")
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score_texts(table(spark, sf_dir, "documents"), fold_of("doc_id", 10) != 0)
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +49,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"), "cross_entropy", "lang_accepted")
 
 
+def op8_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_join.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = fold_of("doc_id", 3) == 1
@@ -50,12 +61,21 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", F.col("toxicity").alias("score"), F.col("toxic_predicted").alias("predicted"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_ffbs.encode(docs).select("doc_id", "n_pieces", "piece_ids", "lossless")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_pii": op3_pii,
     "op5_warc": op5_warc,
+    "op6_lm_score": op6_lm_score,
     "op7_language_id": op7_language_id,
+    "op8_vector_join": op8_vector_join,
     "op9_toxicity": op9_toxicity,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
 _SHA = "sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"
@@ -66,4 +86,11 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM (SELECT doc_id, {_SHA} AS text_sha256 FROM documents)
         WINDOW w AS (PARTITION BY text_sha256)""",
+    "op5_warc": """
+        WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest,
+                          octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages),
+             f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM p)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to FROM f""",
 }

@@ -25,21 +25,37 @@ from epistand.llm.langid import text_parts
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = 0x2581  # stands for a space inside pieces
-_BLOCK = 1_000_000
+_BLOCK = 2_000_000
+_SLOT_BITS = 20
 
 
 @dataclass
 class Pieces:
+    slots: np.ndarray  # leading bits of a hash -> number of a piece plus 1, or 0
     hashes: np.ndarray  # sorted hashes of the ordinary pieces' code points (spaces as such)
     ids: np.ndarray
-    logw: np.ndarray
+    logw: np.ndarray  # of each piece, then of a character spelled in bytes
+    lengths: np.ndarray  # in characters, likewise
     longest: int
     joined: np.ndarray  # code point -> some piece of several characters holds it
     byte_ids: np.ndarray  # byte -> piece id
-    byte_logw: float
     out: np.ndarray  # bytes of all pieces, by id
     out_at: np.ndarray
 
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are pieces', and the numbers of these pieces.
+
+        A slot names the first of its pieces in hash order; the few others follow it there."""
+        at = np.flatnonzero(self.slots[(h >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)])
+        j = self.slots[(h[at] >> np.uint64(64 - _SLOT_BITS)).astype(np.int64)] - 1
+        while True:
+            below = np.flatnonzero((self.hashes[j] < h[at]) & (j + 1 < len(self.hashes)))
+            if not len(below):
+                break
+            j[below] += 1
+        hit = self.hashes[j] == h[at]
+        return at[hit], j[hit]
+
 
 def load_pieces(model_file: str = DEFAULT_MODEL, sharpness: float = 1.0) -> Pieces:
     """Vocabulary of a SentencePiece model with byte fallback (the public file at ``model_file``)."""
@@ -68,10 +84,16 @@ def load_pieces(model_file: str = DEFAULT_MODEL, sharpness: float = 1.0) -> Piec
     joined = np.zeros(0x110000, bool)
     joined[cps[np.repeat(lengths > 1, lengths)]] = True
     order = np.argsort(h)
+    slots = np.zeros(1 << _SLOT_BITS, np.int32)
+    slot, first = np.unique(h[order] >> np.uint64(64 - _SLOT_BITS), return_index=True)
+    slots[slot.astype(np.int64)] = first + 1
     rank = np.arange(len(words))
     logw = -sharpness * np.log(rank + 10.0)
-    return Pieces(h[order], np.array(ids, np.int32)[order], logw[order], int(lengths.max()), joined, byte_ids,
-                  float(-sharpness * np.log(len(words) + 10.0)), np.frombuffer(b"".join(out), np.uint8),
+    if len(words) >= 1 << 16:
+        raise ValueError("more than 65535 pieces")
+    spelled = -2 * sharpness * np.log(len(words) + 10.0)
+    return Pieces(slots, h[order], np.array(ids, np.int32)[order], np.append(logw[order], spelled),
+                  np.append(lengths[order], 1), int(lengths.max()), joined, byte_ids, np.frombuffer(b"".join(out), np.uint8),
                   np.concatenate([[0], np.cumsum([len(x) for x in out])]))
 
 
@@ -87,14 +109,15 @@ def span_hash(sums: np.ndarray, start: np.ndarray, length) -> np.ndarray:
     """Hash of the code points start .. start + length - 1."""
     _, down = _powers(len(sums))
     with np.errstate(over="ignore"):
-        return mix64((sums[start + length] - sums[start]) * down[start] + np.asarray(length).astype(np.uint64) * _M2)
+        return mix64((sums[start + length] - sums[start]) * down[start] + np.asarray(length, np.uint64) * _M2)
 
 
 def _lattice(cps: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pieces: Pieces):
     """Edges of the units laid end to end. Nodes are numbered so that unit k has lengths[k] + 1.
 
-    Returns each unit's first node and, sorted by (end node): cumulated probability plus node
-    number, the node before, and the edge's piece id (or -1 minus the code point for bytes)."""
+    Returns each unit's first node, each node's first edge, and of the edges in the order of their
+    end node: cumulated probability within the node and the piece number. The number after the
+    last piece stands for the bytes of one character."""
     total = int(lengths.sum())
     unit = np.repeat(np.arange(len(lengths)), lengths)
     inner = np.arange(total) - np.repeat(np.cumsum(lengths) - lengths, lengths)
@@ -102,51 +125,52 @@ def _lattice(cps: np.ndarray, starts: np.ndarray, lengths: np.ndarray, pieces: P
     left = lengths[unit] - inner  # characters to the unit's end
     sums = prefix_sums(flat)
     node = np.arange(total) + unit  # node before each character
+    uncovered = np.ones(total, bool)
     parts = []
-    covered = np.zeros(total, bool)
+    at = np.arange(total)
     for n in range(1, pieces.longest + 1):
-        at = np.flatnonzero(left >= n)
+        at = at[left[at] >= n]
         if not len(at):
             break
-        h = span_hash(sums, at, np.full(len(at), n, np.int64))
-        j = np.searchsorted(pieces.hashes, h)
-        j[j == len(pieces.hashes)] = 0
-        hit = pieces.hashes[j] == h
-        at, j = at[hit], j[hit]
+        hit, j = pieces.find(span_hash(sums, at, n))
+        found = at[hit]
         if n == 1:
-            covered[at] = True
-        parts.append((node[at], node[at] + n, pieces.ids[j], pieces.logw[j], inner[at] + n))
-    at = np.flatnonzero(~covered)
-    code = flat[at].astype(np.int64)
-    width = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
-    parts.append((node[at], node[at] + 1, -1 - code, pieces.byte_logw * width, inner[at] + 1))
-    src, dst, ids, logw, depth = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((src, dst))
-    src, dst, ids, logw, depth = src[order], dst[order], ids[order], logw[order], depth[order]
+            uncovered[found] = False
+        parts.append(((node[found] + n) << 16) + j)
+    parts.append(((node[uncovered] + 1) << 16) + len(pieces.ids))
+    key = np.sort(np.concatenate(parts))
+    dst, piece = key >> 16, (key & 0xFFFF).astype(np.uint16)
+    src = dst - pieces.lengths[piece]
+    logw = pieces.logw[piece]
+    start = np.empty(len(dst), bool)  # first edge of its end node
+    if len(dst):
+        start[0] = True
+        np.not_equal(dst[1:], dst[:-1], out=start[1:])
+    first = np.flatnonzero(start)
+    edge_at = np.zeros(total + len(lengths), np.int64)
+    edge_at[dst[first]] = first
+    # every node but the units' first ones has edges: group g ends at the node after character g
+    size = np.diff(np.append(first, len(dst)))
+    deepest = int(lengths.max(initial=0))
+    small = np.uint16 if deepest < 65536 else np.int64
+    by_depth = np.argsort(np.repeat(inner.astype(small), size), kind="stable")
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(inner, weights=size, minlength=deepest))]).astype(np.int64)
     alpha = np.zeros(total + len(lengths))
-    weight = np.empty(len(src))  # share of each edge among those that end with it
-    by_depth = np.argsort(depth, kind="stable")
-    cuts = np.searchsorted(depth[by_depth], np.arange(1, int(lengths.max(initial=0)) + 2))
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+    weight = np.empty(len(dst))  # share of each edge among those that end with it
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         e = by_depth[a:b]
-        if not len(e):
-            continue
         value = alpha[src[e]] + logw[e]
-        first = np.flatnonzero(np.concatenate([[True], dst[e][1:] != dst[e][:-1]]))
-        top = np.maximum.reduceat(value, first)
-        run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(e))))
+        group = np.flatnonzero(start[e])
+        run = np.cumsum(start[e]) - 1
+        top = np.maximum.reduceat(value, group)
         x = np.exp(value - top[run])
-        s = np.add.reduceat(x, first)
-        alpha[dst[e][first]] = top + np.log(s)
+        s = np.add.reduceat(x, group)
+        alpha[dst[e[group]]] = top + np.log(s)
         weight[e] = x / s[run]
-    last = np.concatenate([dst[1:] != dst[:-1], [True]]) if len(dst) else np.zeros(0, bool)
-    # running sum within a node, from a running sum over all
     cum = np.cumsum(weight)
-    first = np.flatnonzero(np.concatenate([[True], last[:-1]])) if len(dst) else np.zeros(0, np.int64)
-    run = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(dst))))
-    cum -= (cum[first] - weight[first])[run]
-    cum[last] = 1.0
-    return np.cumsum(lengths + 1) - (lengths + 1), dst + np.minimum(cum, 1.0), src, ids
+    cum -= np.repeat(cum[first] - weight[first], size)
+    cum[first + size - 1] = 1.0
+    return np.cumsum(lengths + 1) - (lengths + 1), edge_at, cum, piece
 
 
 def encode_block(texts: list[str | None], keys: np.ndarray, pieces: Pieces, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -172,42 +196,53 @@ def encode_block(texts: list[str | None], keys: np.ndarray, pieces: Pieces, seed
     doc = np.flatnonzero(size > 0)[doc]
     h = span_hash(prefix_sums(cps), start, length)
     _, where, which = np.unique(h, return_index=True, return_inverse=True)
-    base, keyed, before, edge_id = _lattice(cps, start[where], length[where], pieces)
+    base, edge_at, cum, piece = _lattice(cps, start[where], length[where], pieces)
     first = base[which]
     cur = first + length
     per = np.bincount(doc, minlength=len(texts))
     ordinal = np.arange(len(start)) - (np.cumsum(per) - per)[doc]
     with np.errstate(over="ignore"):
         state = mix64(mix64(keys.astype(np.int64).view(np.uint64)[doc] + np.uint64(seed) * _BASE) + ordinal.astype(np.uint64) * _M2)
-    occ = np.arange(len(start))
+    occ, node, stop = np.arange(len(start)), cur, first
     drawn = []
     step = 0
     while len(occ):
         with np.errstate(over="ignore"):
-            u = (mix64(state[occ] + np.uint64(step) * _BASE) >> np.uint64(40)).astype(np.float64) / (1 << 24)
-        e = np.searchsorted(keyed, cur[occ] + u, side="right")
-        drawn.append((occ, e))
-        cur[occ] = before[e]
-        occ = occ[cur[occ] != first[occ]]
+            u = (mix64(state + np.uint64(step) * _BASE) >> np.uint64(40)).astype(np.float64) / (1 << 24)
+        e = edge_at[node]
+        later = np.flatnonzero(cum[e] <= u)  # a node's last edge has 1
+        while len(later):
+            e[later] += 1
+            later = later[cum[e[later]] <= u[later]]
+        p = piece[e]
+        drawn.append((occ, p, node))
+        node = node - pieces.lengths[p]
+        more = node != stop
+        occ, node, stop, state = occ[more], node[more], stop[more], state[more]
         step += 1
     steps = np.zeros(len(start), np.int64)
-    for occ, _ in drawn:
+    for occ, _, _ in drawn:
         steps[occ] += 1
     end = np.cumsum(steps)
-    edges = np.empty(end[-1], np.int64)
-    for k, (occ, e) in enumerate(drawn):
-        edges[end[occ] - 1 - k] = e
-    ids = edge_id[edges]
-    raw = ids < 0
-    count = np.bincount(np.repeat(doc, steps), minlength=len(texts))
-    if not raw.any():
-        return ids.astype(np.int32), count
-    spelled = [pieces.byte_ids[np.frombuffer(chr(-1 - c).encode(), np.uint8)] for c in ids[raw].tolist()]
+    drawn_piece, place = np.empty(end[-1], np.uint16), np.empty(end[-1], np.int64)
+    for k, (occ, p, node) in enumerate(drawn):
+        at = end[occ] - 1 - k
+        drawn_piece[at] = p
+        raw = p == len(pieces.ids)
+        place[at[raw]] = start[occ[raw]] + node[raw] - first[occ[raw]] - 1
+    per_text = np.bincount(doc, weights=steps, minlength=len(texts)).astype(np.int64)
+    raw = np.flatnonzero(drawn_piece == len(pieces.ids))
+    ids = np.append(pieces.ids, np.int32(-1))[drawn_piece]
+    if not len(raw):
+        return ids, per_text
+    # spell out the characters that no piece covers
+    spelled = [chr(c).encode() for c in cps[place[raw]].tolist()]
     width = np.ones(len(ids), np.int64)
     width[raw] = [len(x) for x in spelled]
-    count = np.bincount(np.repeat(doc, steps), weights=width, minlength=len(texts)).astype(np.int64)
-    out = np.repeat(ids, width).astype(np.int32)
-    out[np.repeat(raw, width)] = np.concatenate(spelled)
+    text_of = np.repeat(np.arange(len(texts)), per_text)
+    count = np.bincount(text_of, weights=width, minlength=len(texts)).astype(np.int64)
+    out = np.repeat(ids, width)
+    out[out < 0] = pieces.byte_ids[np.frombuffer(b"".join(spelled), np.uint8)]
     return out, count
 
 
