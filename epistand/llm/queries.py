@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epistand.llm import exact_dedup, jaccard_join, langid, lm_score, pii, sentencepiece_ffbs, toxicity, vector_join, warc
+from epistand.llm import exact_dedup, jaccard_join, langid, lm_score, mixing, pii, sentencepiece_ffbs, toxicity, vector_join, warc
 from epistand.llm.common import fold_of, table
 from epistand.session import ensure_checkpoint_dir
 
@@ -31,6 +31,20 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[strict(k).alias(f"n_{k}") for k in pii.KINDS], "base_sha256", text.alias("spans"))
 
 
+def label_domain():
+    """Domain of a labelled document: toxic, low (quality 0) or good; NULL without labels."""
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 0, "low").when(F.col("quality") == 1, "good")
+
+
+# share of the mix's tokens by domain
+MIX_TARGET = {"good": 0.90, "low": 0.07, "toxic": 0.03}
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = mixing.mix(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label_domain(), MIX_TARGET)
+    return rows
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-warc-{uuid.uuid4().hex}"
     return warc.roundtrip(table(spark, sf_dir, "pages"), path).select(
@@ -70,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_pii": op3_pii,
+    "op4_mixing": op4_mixing,
     "op5_warc": op5_warc,
     "op6_lm_score": op6_lm_score,
     "op7_language_id": op7_language_id,
