@@ -5,13 +5,14 @@ their n-grams (common ones last, then by hash); two sets can only link if their
 n - ceil(t n) + 1 share an n-gram, so the index lists hold prefix n-grams with position and size.
 
 * Index skipping: a list is cut into blocks by set size, lists with one entry are dropped before
-  any shuffle of postings, and a pair is skipped when sizes, positions, or the n-grams missing
-  within the common part of both prefixes leave too little for the threshold.
+  any shuffle of postings, and a pair is skipped when sizes, positions, parity sketches, or the
+  n-grams missing within the common part of both prefixes leave too little for the threshold.
 * Answer skipping: first every block compares its members with one leader only (linear in the
   postings). A member linked with the leader has the leader's answers: members of one component
-  are never compared. For pairs that remain, the overlap follows from both sets' differences to
-  their common leader, where these are known, without touching the sets; all others are compared
-  in full. So a group of near copies costs about one comparison per member.
+  are never compared. Then members outside a list's main component are tried against another of
+  its members, and at last all pairs that are still open are decided; in both steps the overlap
+  follows from the sets' differences to their common leader where these are known, without
+  touching the sets. So a group of near copies costs a few comparisons per member.
 
 All remaining pairs of different components that pass the filters are decided exactly, so no link
 between components is missed and none below the threshold is made.
@@ -29,13 +30,17 @@ from pyspark.sql import functions as F
 from epistand.llm.common import connected_components, mix64, ngram_hashes, shared_table, text_blocks, word_hashes
 
 _CHUNK_BITS = 16  # a bit set is dealt in chunks of 8 KB
+HASH_BITS = 60  # of an n-gram; its frequency class stands above them
+SKETCH_WORDS = 4  # 64-bit words of a set's parity sketch
+MINHASHES = 4
+LEADERS = 4  # of each block: the members that come first in as many fixed random orders
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
 def shingle_sets(column: pa.Array, n: int):
     """For blocks of rows: (first row, end row, n-gram hashes of the rows' sets, set sizes).
 
-    A row's hashes are distinct and ascending, 62 bits each. A text with fewer than n words has its
+    A row's hashes are distinct and ascending, HASH_BITS bits each. A text with fewer than n words has its
     whole word sequence as one; without words the set is empty."""
     for lo, hi, data, offsets in text_blocks(column):
         words, before = word_hashes(data, offsets)
@@ -52,7 +57,7 @@ def shingle_sets(column: pa.Array, n: int):
                 more = count[short] > i
                 seq[more] = mix64(seq[more] * _SALT + words[before[:-1][short[more]] + i])
             g, r = np.concatenate([g, seq]), np.concatenate([r, short])
-        g = g >> np.uint64(2)
+        g = g >> np.uint64(64 - HASH_BITS)
         order = np.lexsort((g, r))
         g, r = g[order], r[order]
         keep = np.ones(len(g), bool)
@@ -66,11 +71,11 @@ def prefix_lengths(size: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def bit_set(values: DataFrame, column: str, bits: int):
-    """Broadcast bit set of a column of 62-bit hashes: 2**bits bits (a fixed size), by leading bits.
+    """Bit set of a column of hashes: 2**bits bits (a fixed size), by leading bits.
 
     Membership tests may say yes wrongly, never no. Rows reach the driver as at most
     2**(bits - 16) chunks of 8 KB."""
-    at = F.shiftrightunsigned(column, 62 - bits)
+    at = F.shiftrightunsigned(column, HASH_BITS - bits)
     dealt = values.select(F.shiftright(at, _CHUNK_BITS).cast("int").alias("chunk"), at.bitwiseAND((1 << _CHUNK_BITS) - 1).cast("int").alias("bit"))
 
     def fill(batches):
@@ -89,32 +94,61 @@ def bit_set(values: DataFrame, column: str, bits: int):
     chunks = dealt.distinct().repartition(n, "chunk").mapInArrow(fill, "chunk int, bits binary")
     for r in chunks.toLocalIterator():
         whole[r["chunk"] * width:(r["chunk"] + 1) * width] |= np.frombuffer(r["bits"], np.uint8)
-    return values.sparkSession.sparkContext.broadcast(whole)
+    return whole
 
 
 def in_bit_set(whole: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
-    at = (h >> np.uint64(62 - bits)).astype(np.int64)
+    at = (h >> np.uint64(HASH_BITS - bits)).astype(np.int64)
     return ((whole[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
 
 
-def ordered(g: np.ndarray, sizes: np.ndarray, common: np.ndarray, bits: int):
-    """The rows' sets in the global order (common n-grams have bit 62 set) and each entry's row."""
-    g = g | (in_bit_set(common, g, bits).astype(np.uint64) << np.uint64(62))
+def ordered(g: np.ndarray, sizes: np.ndarray, common: list[np.ndarray], bits: int):
+    """The rows' sets in the global order (frequency class above the hash) and each entry's row."""
+    level = np.zeros(len(g), np.uint64)
+    for whole in common:
+        level += in_bit_set(whole, g, bits)
+    g = g | (level << np.uint64(HASH_BITS))
     row = np.repeat(np.arange(len(sizes)), sizes)
     return g[np.lexsort((g, row))], row
 
 
+def min_hashes(g: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """MINHASHES smallest mixed members per row; two sets share each with probability Jaccard."""
+    out = np.zeros((len(sizes), MINHASHES), np.uint64)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        at = (np.cumsum(sizes) - sizes)[some]
+        for i in range(MINHASHES):
+            out[some, i] = np.minimum.reduceat(mix64(g ^ (_SALT >> np.uint64(i + 1))), at)
+    return out.view(np.int64)
+
+
+def parity_sketch(g: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """SKETCH_WORDS words per row whose bits are the parities of the members in each of 256 bins:
+    two sets' sketches differ in at most as many bits as the sets differ in members."""
+    out = np.zeros((len(sizes), SKETCH_WORDS), np.uint64)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        at = (np.cumsum(sizes) - sizes)[some]
+        bit = np.uint64(1) << (g & np.uint64(63))
+        word = (g >> np.uint64(6)) & np.uint64(SKETCH_WORDS - 1)
+        for w in range(SKETCH_WORDS):
+            out[some, w] = np.bitwise_xor.reduceat(np.where(word == w, bit, np.uint64(0)), at)
+    return out.view(np.int64)
+
+
 class JaccardJoin:
     """Links documents whose n-gram sets have den * |intersection| >= num * |union|."""
 
-    def __init__(self, docs: DataFrame, key: str, text: str, n: int, num: int, den: int, common: int, bits: int):
+    def __init__(self, docs: DataFrame, key: str, text: str, n: int, num: int, den: int, common: tuple[int, ...], bits: int):
         self.docs = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
         self.n, self.num, self.den, self.common, self.bits = n, num, den, common, bits
         self.spark = docs.sparkSession
 
     def common_grams(self):
-        """Bit set of n-grams that are in more than ``common`` prefixes by hash order (about a
-        tenth to a fifth of each set). Where the fixed-size set would fill up, the limit doubles."""
+        """Broadcast bit sets, one per frequency class: n-grams in more than so many prefixes by
+        hash order (these hold about a tenth to a fifth of each set). Where a fixed-size set would
+        fill up, its limit doubles."""
         n, num, den = self.n, self.num, self.den
 
         def count(batches):
@@ -136,41 +170,45 @@ class JaccardJoin:
                                                  ["h", "k"])
 
         counts = self.docs.select("text").mapInArrow(count, "h long, k long").groupBy("h").agg(F.sum("k").alias("k"))
-        counts = shared_table(counts.where(F.col("k") > self.common), "common")
+        counts = shared_table(counts.where(F.col("k") > self.common[0]), "common")
         sizes = {r["level"]: r["n"] for r in counts.groupBy(F.floor(F.log2("k")).alias("level")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        limit = self.common
-        while sum(c for level, c in sizes.items() if 2 ** (level + 1) > limit) > (1 << self.bits) // 8:
-            limit *= 2
-        return bit_set(counts.where(F.col("k") > limit), "h", self.bits)
+        sets = []
+        for limit in self.common:
+            while sum(c for level, c in sizes.items() if 2 ** (level + 1) > limit + 1) > (1 << self.bits) // 8:
+                limit *= 2
+            sets.append(bit_set(counts.where(F.col("k") > limit), "h", self.bits))
+        return self.spark.sparkContext.broadcast(sets)
 
     def prefixes(self, common) -> DataFrame:
-        """(doc_id, n, d1, d2, prefix) of every document; d1 and d2 identify the set."""
+        """(doc_id, n, d1, d2, sketch, hashes, prefix) of every document; d1 and d2 identify the set."""
         n, num, den, bits = self.n, self.num, self.den, self.bits
 
         def run(batches):
             for batch in batches:
                 for lo, hi, g, sizes in shingle_sets(batch["text"], n):
                     d1, d2 = set_digests(g, sizes)
+                    rows = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.int64()))
+                    sketch, hashes = rows(parity_sketch(g, sizes)), rows(min_hashes(g, sizes))
                     g, row = ordered(g, sizes, common.value, bits)
                     take = prefix_lengths(sizes, num, den)
                     rank = np.arange(len(g)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(take)]).astype(np.int32)),
                                                      pa.array(g[rank < take[row]].view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), pa.array(sizes), pa.array(d1), pa.array(d2), lists],
-                                                     ["doc_id", "n", "d1", "d2", "prefix"])
+                    yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), pa.array(sizes), pa.array(d1), pa.array(d2), sketch, hashes, lists],
+                                                     ["doc_id", "n", "d1", "d2", "sketch", "hashes", "prefix"])
 
-        return self.docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, prefix array<long>")
+        return self.docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sketch array<long>, hashes array<long>, prefix array<long>")
 
     def sets(self, needed: DataFrame, common) -> DataFrame:
         """(cid, s): the whole sets of the classes in ``needed`` (cid, d1, d2), from the texts."""
         n, bits = self.n, self.bits
-        wanted = bit_set(needed.select(F.shiftrightunsigned("d1", 2).alias("h")), "h", bits)
+        wanted = self.spark.sparkContext.broadcast(bit_set(needed.select(F.shiftrightunsigned("d1", 64 - HASH_BITS).alias("h")), "h", bits))
 
         def run(batches):
             for batch in batches:
                 for _, _, g, sizes in shingle_sets(batch["text"], n):
                     d1, d2 = set_digests(g, sizes)
-                    want = in_bit_set(wanted.value, d1.view(np.uint64) >> np.uint64(2), bits) & (sizes > 0)
+                    want = in_bit_set(wanted.value, d1.view(np.uint64) >> np.uint64(64 - HASH_BITS), bits) & (sizes > 0)
                     _, first = np.unique(np.stack([d1, d2]), axis=1, return_index=True)
                     one = np.zeros(len(sizes), bool)
                     one[first] = True
@@ -220,8 +258,9 @@ class JaccardJoin:
         common = self.common_grams()
         per_doc = shared_table(self.prefixes(common), "prefixes")
         some = per_doc.where("n > 0")
-        classes = some.groupBy("n", "d1", "d2").agg(F.any_value("prefix").alias("prefix"), F.min("doc_id").alias("low"))
-        classes = shared_table(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+        classes = some.groupBy("n", "d1", "d2").agg(F.any_value(F.struct("sketch", "hashes", "prefix")).alias("v"), F.min("doc_id").alias("low"))
+        classes = classes.select("n", "d1", "d2", "v.sketch", "v.hashes", "v.prefix", "low", F.monotonically_increasing_id().alias("cid"))
+        classes = shared_table(classes, "classes")
         links = self.links(classes, common)
         component = connected_components(links, "x", "y")
         lowest = (classes.select(F.col("cid").alias("id"), "low").join(component, "id").groupBy("component_id")
@@ -236,8 +275,8 @@ class JaccardJoin:
     def links(self, classes: DataFrame, common) -> DataFrame:
         ratio, bits = math.log(self.den / self.num), self.bits
         counts = (classes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
-        low = (1 << 62) - 1
-        shared = bit_set(counts.select(F.col("t").bitwiseAND(low).alias("h")), "h", bits)
+        low = (1 << HASH_BITS) - 1
+        shared = self.spark.sparkContext.broadcast(bit_set(counts.select(F.col("t").bitwiseAND(low).alias("h")), "h", bits))
 
         def postings(batches):
             for batch in batches:
@@ -251,60 +290,95 @@ class JaccardJoin:
                     a = at[lo:lo + 50_000]
                     take = pa.array(row[a])
                     yield pa.RecordBatch.from_arrays([pa.array(t[a].view(np.int64)), pa.array(pos[a].astype(np.int32)),
-                                                      batch["cid"].take(take), batch["n"].take(take)], ["t", "pos", "cid", "n"])
+                                                      *(batch[c].take(take) for c in ("cid", "n", "sketch"))], ["t", "pos", "cid", "n", "sketch"])
 
-        lists = classes.select("cid", "n", "prefix").mapInArrow(postings, "t long, pos int, cid long, n long")
+        lists = classes.select("cid", "n", "sketch", "prefix").mapInArrow(postings, "t long, pos int, cid long, n long, sketch array<long>")
         lists = shared_table(lists.withColumn("block", F.floor(F.log("n") / ratio).cast("int")), "lists")
 
-        # 1. every member against its block's leader
-        lead = lists.groupBy("t", "block").agg(F.min(F.struct("cid", "n", "pos")).alias("lead"))
-        star = (lists.join(lead, ["t", "block"]).where("cid <> lead.cid")
-                .where(self.positions_fit("lead.pos", "lead.n", "pos", "n"))
-                .select(F.col("lead.cid").alias("x"), F.col("cid").alias("y")).distinct())
-        star = shared_table(self.prefix_filter(star, classes), "star")
+        # 1. every member against its block's leaders
+        entry = F.struct("cid", "n", "pos", "sketch")
+        first_of = [F.min_by(entry, F.struct(F.xxhash64(F.lit(i), "cid"), "cid")) for i in range(LEADERS)]
+        lead = shared_table(lists.groupBy("t", "block").agg(F.count(F.lit(1)).alias("k"), F.array_distinct(F.array(*first_of)).alias("leads"))
+                            .where("k > 1").drop("k"), "leaders")
+        star = (lists.join(lead.select("t", "block", F.explode("leads").alias("lead")), ["t", "block"]).where("cid <> lead.cid")
+                .where(self.may_link("lead.pos", "lead.n", "lead.sketch", "pos", "n", "sketch"))
+                .select(F.least("lead.cid", "cid").alias("x"), F.greatest("lead.cid", "cid").alias("y")).distinct())
+        # and of the blocks of sets with a min-hash in common, where highly similar sets meet at once
+        alike = classes.select(F.posexplode("hashes").alias("i", "t"), "cid", "n", "sketch", F.lit(0).alias("pos"))
+        heads = (alike.groupBy("i", "t").agg(F.count(F.lit(1)).alias("k"), F.min_by(entry, "cid").alias("lead")).where("k > 1"))
+        alike = (alike.join(heads, ["i", "t"]).where("cid <> lead.cid")
+                 .where(self.may_link("lead.pos", "lead.n", "lead.sketch", "pos", "n", "sketch"))
+                 .select(F.least("lead.cid", "cid").alias("x"), F.greatest("lead.cid", "cid").alias("y")))
+        star = shared_table(self.prefix_filter(star.union(alike).distinct(), classes), "star")
         first = shared_table(self.compare(star, classes, common), "compared")
         linked = first.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y")
-
-        # 2. pairs of different components that no leader decided
-        label = connected_components(linked, "x", "y")
-        tagged = (lists.join(lead.select("t", "block", F.col("lead.cid").alias("leader")), ["t", "block"])
-                  .join(label.withColumnRenamed("id", "cid"), "cid", "left")
-                  .withColumn("comp", F.coalesce("component_id", "cid")).drop("component_id"))
-        tagged = shared_table(tagged, "tagged")
-        main = (tagged.groupBy("t", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("t")
-                .agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1"))
-        mixed = tagged.join(main, "t")
-        a = mixed.where("comp <> main").select("t", *[F.col(c).alias(f"a_{c}") for c in ("cid", "n", "pos", "block", "leader", "comp")])
-        b = mixed.select("t", "main", *[F.col(c).alias(f"b_{c}") for c in ("cid", "n", "pos", "block", "leader", "comp")])
+        # each member's differences to one leader: the smaller end of its compared pairs
+        none = F.array().cast("array<long>")
+        own = first.select("x", F.col("x").alias("cid"), none.alias("lost"), none.alias("new"), F.col("nx").alias("n_leader")).distinct()
+        known = (first.select("x", F.col("y").alias("cid"), F.col("dx").alias("lost"), F.col("dy").alias("new"), F.col("nx").alias("n_leader"))
+                 .union(own).groupBy("cid").agg(F.min_by(F.struct(F.col("x").alias("leader"), "lost", "new", "n_leader"), "x").alias("v"))
+                 .select("cid", "v.*"))
+
+        # 2. members outside their list's main component against another member of that, by both
+        # sets' differences to a common leader; each list has a member of its own for this
+        mixed = shared_table(self.mixed_lists(lists, lead, linked, known), "mixed")
+        other = (mixed.where("comp = main and lost is not null").groupBy("t", "leader")
+                 .agg(F.min_by(F.struct("cid", "n", "lost", "new"), F.xxhash64("t", "cid")).alias("o")))
+        near = (mixed.where("comp <> main and lost is not null").join(other, ["t", "leader"])
+                .where(self.enough(self.derived("o.lost", "o.new", "lost", "new"), F.col("o.n"), F.col("n")))
+                .select(F.col("o.cid").alias("x"), F.col("cid").alias("y")).distinct())
+        linked = shared_table(linked.union(near), "linked")
+
+        # 3. all pairs of different components that are still open
+        mixed = shared_table(self.mixed_lists(lists, lead, linked, known), "mixed")
+        side = ("cid", "n", "pos", "sketch", "block", "leader", "comp", "lost", "new", "leads")
+        a = mixed.where("comp <> main").select("t", *[F.col(c).alias(f"a_{c}") for c in (*side, "n_leader")])
+        b = mixed.select("t", F.col("block").alias("at"), "main", *[F.col(c).alias(f"b_{c}") for c in side])
+        # sets that can link stand in the same block or in neighbouring ones
+        a = a.withColumn("at", F.explode(F.array(*[F.col("a_block") + i for i in (-1, 0, 1)])))
+        known_both = ((F.col("a_leader") == F.col("b_leader")) & F.col("a_lost").isNotNull() & F.col("b_lost").isNotNull())
+        derived = F.col("a_n_leader") - F.size(F.array_union("a_lost", "b_lost")) + F.size(F.array_intersect("a_new", "b_new"))
         apart = ((F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("main")) | (F.col("a_cid") < F.col("b_cid")))
-                 & ~((F.col("a_block") == F.col("b_block")) & ((F.col("a_cid") == F.col("b_leader")) | (F.col("b_cid") == F.col("a_leader"))))
-                 & self.sizes_fit(F.col("a_n"), F.col("b_n")) & self.positions_fit("a_pos", "a_n", "b_pos", "b_n"))
-        rest = (a.join(b, "t").where(apart)
+                 & ~((F.col("a_block") == F.col("b_block")) & (F.array_contains("a_leads", F.col("a_cid")) | F.array_contains("a_leads", F.col("b_cid"))))
+                 & self.sizes_fit(F.col("a_n"), F.col("b_n")) & self.may_link("a_pos", "a_n", "a_sketch", "b_pos", "b_n", "b_sketch"))
+        known_both = F.coalesce(known_both, F.lit(False))
+        decided = F.when(known_both, self.enough(derived, F.col("a_n"), F.col("b_n"))).otherwise(F.lit(True))
+        rest = (a.join(b, ["t", "at"]).where(apart & decided)
                 .select(F.least("a_cid", "b_cid").alias("x"), F.greatest("a_cid", "b_cid").alias("y"),
-                        F.when(F.col("a_leader") == F.col("b_leader"), F.col("a_leader")).alias("leader"))
-                .groupBy("x", "y").agg(F.max("leader").alias("leader")))
-        rest = shared_table(self.prefix_filter(rest, classes), "rest")
-
-        # answers that follow from both sets' differences to a common leader
-        known = first.select(F.col("x").alias("leader"), "y", "dx", "dy", F.col("nx").alias("n_leader"))
-        of_x = known.select("leader", F.col("y").alias("x"), F.col("dx").alias("lost_x"), F.col("dy").alias("new_x"), "n_leader")
-        of_y = known.select("leader", "y", F.col("dx").alias("lost_y"), F.col("dy").alias("new_y"))
-        via = rest.join(of_x, ["leader", "x"], "left").join(of_y, ["leader", "y"], "left")
-        derived = F.col("n_leader") - F.size(F.array_union("lost_x", "lost_y")) + F.size(F.array_intersect("new_x", "new_y"))
-        via = shared_table(via.select("x", "y", "nx", "ny", F.when(F.col("lost_x").isNotNull() & F.col("lost_y").isNotNull(), derived)
-                                      .alias("overlap")), "derived")
-        more = via.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y")
-        open_ = via.where("overlap is null").drop("overlap")
+                        known_both.alias("decided"))
+                .groupBy("x", "y").agg(F.max("decided").alias("decided")))
+        rest = shared_table(rest, "rest")
+        linked = linked.union(rest.where("decided").select("x", "y"))
+        open_ = shared_table(self.prefix_filter(rest.where("not decided").select("x", "y"), classes), "open")
         if not open_.isEmpty():
             second = self.compare(open_, classes, common)
-            more = more.union(second.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y"))
-        return shared_table(linked.union(more), "joined")
+            linked = linked.union(second.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y"))
+        return shared_table(linked, "joined")
+
+    def mixed_lists(self, lists: DataFrame, lead: DataFrame, linked: DataFrame, known: DataFrame) -> DataFrame:
+        """Postings of the lists with several components: each with its component, the list's main
+        (most frequent) one, its block's leaders, and its differences to a leader where known."""
+        label = connected_components(linked, "x", "y").withColumnRenamed("id", "cid")
+        tagged = lists.join(label, "cid", "left").withColumn("comp", F.coalesce("component_id", "cid")).drop("component_id")
+        main = (tagged.groupBy("t", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("t")
+                .agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1"))
+        leaders = lead.select("t", "block", F.transform("leads", lambda x: x["cid"]).alias("leads"))
+        return (tagged.join(main, "t").join(leaders, ["t", "block"], "left").join(known, "cid", "left").drop("parts")
+                .withColumn("leads", F.coalesce("leads", F.array().cast("array<long>"))))
+
+    def derived(self, lost_a: str, new_a: str, lost_b: str, new_b: str):
+        """Overlap of two sets from their differences to one leader."""
+        return F.col("n_leader") - F.size(F.array_union(lost_a, lost_b)) + F.size(F.array_intersect(new_a, new_b))
 
-    def positions_fit(self, pos_a: str, n_a: str, pos_b: str, n_b: str):
+    def may_link(self, pos_a: str, n_a: str, sketch_a: str, pos_b: str, n_b: str, sketch_b: str):
         """Whether the rest of both sets, from this n-gram on, could be enough if it is their first
-        common one."""
+        common one, and the sketches allow the threshold."""
         best = F.least(F.col(n_a) - F.col(pos_a), F.col(n_b) - F.col(pos_b))
-        return self.enough(best, F.col(n_a), F.col(n_b))
+        words = [F.bit_count(F.get(sketch_a, F.lit(w)).bitwiseXOR(F.get(sketch_b, F.lit(w)))) for w in range(SKETCH_WORDS)]
+        differ = sum(words[1:], words[0])
+        # members in only one of the sets: at most (n_a + n_b) (den - num) / (den + num)
+        return (self.enough(best, F.col(n_a), F.col(n_b))
+                & (differ * (self.den + self.num) <= (F.col(n_a) + F.col(n_b)) * (self.den - self.num)))
 
 
 def set_digests(g: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,7 +393,7 @@ def set_digests(g: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, num: int = 80, den: int = 100,
-                       common: int = 16, bits: int = 26) -> DataFrame:
+                       common: tuple[int, ...] = (1, 8, 64), bits: int = 26) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id``.
 
     Words are ``[^\\\\x20\\\\x09-\\\\x0D]+`` after lower-casing A-Z; a set holds the distinct runs of
@@ -327,8 +401,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     den * intersection >= num * union; component_id is the smallest key reachable. NULL, empty and
     wordless texts have an empty set and link with nothing; equal texts and repeated rows share a
     component; NULL keys are ignored in the smallest (component_id is NULL if all are). Extra
-    columns are ignored; an empty table gives no rows. ``common`` and ``bits`` (size of the bit
-    sets, 8 MB) steer only the work."""
+    columns are ignored; an empty table gives no rows. ``common`` (limits of the frequency
+    classes, at most three) and ``bits`` (size of each bit set, 8 MB) steer only the work."""
     return JaccardJoin(docs, key, text, words, num, den, common, bits).run()
 
 
