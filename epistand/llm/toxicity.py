@@ -103,7 +103,7 @@ class ToxicityModel:
                 (cancelled.append((end - length + 1, end)) if weight is None else found.append((end - length + 1, end, weight)))
         if cancelled:
             found = [(a, b, w) for a, b, w in found if not any(c <= a and b <= d for c, d in cancelled)]
-        total = sum(w for _, _, w in found)
+        total = float(sum(w for _, _, w in found))
         words = max(folded.count(" ") - 1, 1)
         return total, total / math.sqrt(words), max([0.0, *(w for _, _, w in found)])
 
@@ -213,7 +213,7 @@ def _feature_rows(rows: DataFrame, table, model: ToxicityModel) -> tuple[np.ndar
         for batch in batches:
             f = [shared.value.features(t) for part in text_parts(batch["text"]) for t in fold_texts(part, table.value)]
             if f:
-                a, b, c = (pa.array(x) for x in zip(*f, strict=True))
+                a, b, c = (pa.array(x, pa.float64()) for x in zip(*f, strict=True))
                 yield pa.RecordBatch.from_arrays([a, b, c, batch["y"]], ["a", "b", "c", "y"])
 
     out = rows.select("text", "y").mapInArrow(run, "a double, b double, c double, y int").toPandas()
