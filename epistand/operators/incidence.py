@@ -3,81 +3,62 @@
 An event is incident when the patient has no previous record, or when the gap from the
 immediately previous record (its discharge, or its admission) is at least ``min_gap_years``
 (days / 365). Records are ordered per patient by admission date, then source (deaths first),
-then stay id.
+then stay id, then a hash of
+the whole record, so that ties have one order everywhere.
 
 Scale: a plain ``lag`` over ``partitionBy(patient)`` puts all of a patient's records into one
-task, so a placeholder id holding a large share of the rows would serialise the job. Here each
-patient's history is cut into slices whose order is the record order (by default: admission day,
-source rank, stay-id prefix); the lag runs per (patient, slice) and the first record of each
-slice takes the last record of the previous non-empty slice from a per-slice summary (one row
-per patient-slice). The result is exactly the whole-history lag.
+task. Here the records are cut into ranges of the full order, so that even one patient-day with a
+large share of the rows spreads over ranges, and are written once with their range number (range
+bounds may differ between runs of one plan, so they must not be computed twice). The lag runs
+within (range, patient); only the first record of a range's first patient looks further back, to
+the last record of the range before it, which is one row per range. The result is exactly the
+whole-history lag, for any date and any type of stay id.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from epistand.functions.dates import years_between
 from epistand.session import ensure_checkpoint_dir
 
-_NULL_PATIENT = "\u0000"
-UNDATED_SPREAD = 1024
+
+def _record_order(columns, patient: str, admitted: str, tie_breakers) -> list:
+    """Total order: patient, date (NULL last), tie breakers (NULL first), hash of the record."""
+    return [F.col(patient).asc_nulls_first(), F.col(admitted).asc_nulls_last(),
+            *[F.col(c).asc_nulls_first() for c in tie_breakers], F.xxhash64(*[F.col(c) for c in columns]).asc()]
 
 
 def incident_events(events: DataFrame, gap_from: str = "dodis", min_gap_years: float = 10.0,
-                    days_per_year: float = 365.0, bucket_days: int = 1, split_chars: int = 2,
-                    patient: str = "linkno", admitted: str = "doadm", rank: str = "source_rank",
-                    stay: str = "cis", materialize: bool = True) -> DataFrame:
+                    days_per_year: float = 365.0, patient: str = "linkno", admitted: str = "doadm",
+                    rank: str = "source_rank", stay: str = "cis", ranges: int | None = None) -> DataFrame:
     """Keep the incident events (see module docstring); returns the input columns.
 
-    Slices: with ``bucket_days == 1`` a slice is (day, source rank, first ``split_chars``
-    characters of the stay id), which orders exactly like the records (admission date, source
-    rank, stay id), so even one patient-day with a large share of the rows is split by stay-id
-    prefix. With ``bucket_days > 1`` a slice is a run of whole days.
-
-    With ``materialize`` the lagged records are checkpointed (reliably, in the shared checkpoint
-    folder) before the per-slice summary is taken from them. Otherwise the summary branch, which
-    needs fewer columns, plans a different exchange and the whole upstream (scans, roll-ups)
-    would run twice. Both branches then read the checkpoint; the summary (one row per
-    patient-slice) is the only new shuffle besides re-partitioning the checkpoint for the join.
-    Checkpointing runs the upstream job when this is called."""
+    Runs the upstream once when called: the records, as they come in, are written as Parquet to
+    the shared checkpoint folder in ``ranges`` ranges (default: four for each
+    shuffle partition)."""
+    spark = events.sparkSession
     cols = events.columns
-    order = [F.col(admitted).asc_nulls_last(), F.col(rank).asc_nulls_first(), F.col(stay).asc_nulls_first()]
-    day = F.datediff(F.col(admitted), F.lit("1970-01-01").cast("date"))
-    fine = bucket_days == 1
-    # Undated records sort after every dated one (NULL dates last): they are never the previous
-    # record of a dated one and their own gap is NULL, so they are always kept. They get negative
-    # slice ids spread by a row hash (so many of them never meet in one task) and are left out of
-    # the carried summary.
-    undated_slice = F.lit(-1) - F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(UNDATED_SPREAD))
-    keyed = events.select(
-        "*",
-        F.coalesce(F.col(patient).cast("string"), F.lit(_NULL_PATIENT)).alias("_pk"),
-        F.when(F.col(admitted).isNull(), undated_slice).otherwise(F.floor(day / F.lit(bucket_days))).alias("_slice"),
-        # NULL sorts first in the record order, like the empty prefix here.
-        (F.coalesce(F.col(rank), F.lit(-(1 << 30))) if fine else F.lit(0)).alias("_srank"),
-        (F.substring(F.coalesce(F.col(stay).cast("string"), F.lit("")), 1, split_chars) if fine
-         else F.lit("")).alias("_spre"),
-    )
-    slice_keys = ["_pk", "_slice", "_srank", "_spre"]
-    w = Window.partitionBy(*slice_keys).orderBy(*order)
-    lagged = keyed.select(
-        "*",
-        F.lag(gap_from).over(w).alias("_prev_in"),
-        F.lag(F.lit(1)).over(w).isNull().alias("_first"),
-        F.lead(F.lit(1)).over(w).isNull().alias("_last"),
-    )
-    if materialize:
-        ensure_checkpoint_dir(lagged.sparkSession)
-        lagged = lagged.checkpoint(eager=True)
-    # Last record of each slice, carried to the next non-empty slice of the same patient.
-    carry = (lagged.where(F.col("_last") & (F.col("_slice") >= 0))
-             .select(*slice_keys, F.col(gap_from).alias("_ref"))
-             .withColumn("_carry", F.lag("_ref").over(Window.partitionBy("_pk").orderBy("_slice", "_srank", "_spre")))
-             .select(*slice_keys, "_carry"))
-    joined = lagged.join(carry, on=slice_keys, how="left")
-    prev = F.when(F.col("_first"), F.col("_carry")).otherwise(F.col("_prev_in"))
+    order = _record_order(cols, patient, admitted, (rank, stay))
+    n = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lookback-{uuid.uuid4().hex}"
+    cut = events.repartitionByRange(n, *order).withColumn("_range", F.spark_partition_id())
+    cut.write.parquet(path)
+    cut = spark.read.schema(cut.schema).parquet(path)
+
+    w = Window.partitionBy("_range", patient).orderBy(*order[1:])
+    lagged = cut.select("*", F.lag(gap_from).over(w).alias("_prev_in"), F.lag(F.lit(1)).over(w).isNull().alias("_first"))
+    # the last record of each range in the order above, as a struct that compares like it
+    key = F.struct(F.col(patient).isNotNull(), F.col(patient), F.col(admitted).isNull(), F.col(admitted),
+                   *[x for c in (rank, stay) for x in (F.col(c).isNotNull(), F.col(c))], F.xxhash64(*[F.col(c) for c in cols]))
+    last = cut.groupBy("_range").agg(F.max_by(F.struct(F.col(patient).alias("who"), F.col(gap_from).alias("ref")), key).alias("last"))
+    carry = (last.select("_range", F.lag("last").over(Window.orderBy("_range")).alias("_last"))  # one row per range
+             .where("_last is not null").select("_range", F.col("_last.who").alias("_who"), F.col("_last.ref").alias("_carry")))
+    joined = lagged.join(carry, "_range", "left")
+    prev = F.when(~F.col("_first"), F.col("_prev_in")).when(F.col("_who").eqNullSafe(F.col(patient)), F.col("_carry"))
     gap = years_between(admitted, prev, days_per_year)
     return joined.where(gap.isNull() | (gap >= F.lit(float(min_gap_years)))).select(*cols)
 
@@ -86,8 +67,7 @@ def incident_events_simple(events: DataFrame, gap_from: str = "dodis", min_gap_y
                            days_per_year: float = 365.0, patient: str = "linkno",
                            admitted: str = "doadm", tie_breakers=("source_rank", "cis")) -> DataFrame:
     """Reference form: one window over each patient's whole history (used to test the above)."""
-    order = [F.col(admitted).asc_nulls_last()] + [F.col(c).asc_nulls_first() for c in tie_breakers]
-    w = Window.partitionBy(patient).orderBy(*order)
+    w = Window.partitionBy(patient).orderBy(*_record_order(events.columns, patient, admitted, tie_breakers)[1:])
     gap = years_between(admitted, F.lag(gap_from).over(w), days_per_year)
     return (events.withColumn("_gap", gap)
             .where(F.col("_gap").isNull() | (F.col("_gap") >= F.lit(float(min_gap_years))))

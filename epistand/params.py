@@ -124,7 +124,6 @@ class LookbackParams:
     gap_from: str = "dodis"          # 'dodis' (previous discharge) or 'doadm' (previous admission)
     min_gap_years: float = 10.0
     days_per_year: float = 365.0
-    bucket_days: int = 1             # days per slice of a patient's history (1: day + stay-id prefix)
 
 
 # Causes-of-death report. Age columns dropped for the under-75 table, causes that

@@ -38,7 +38,7 @@ def incidence_cells(stays: DataFrame, deaths: DataFrame, lookup: DataFrame, popu
     events = death_events(deaths).unionByName(resident, allowMissingColumns=True)
     events = events.withColumns({"age_grp": age_band("age"), "age_grp2": coarse_band("age", bands)})
     incident = incident_events(events, gap_from=lookback.gap_from, min_gap_years=lookback.min_gap_years,
-                               days_per_year=lookback.days_per_year, bucket_days=lookback.bucket_days)
+                               days_per_year=lookback.days_per_year)
     incident = incident.where(F.col("year") > output_after_year)
     counted = count_cells(incident, ["age_grp", "age_grp2", "sex", "year"])
     return with_denominators(counted, population, how=how)

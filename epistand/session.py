@@ -44,12 +44,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only when none is configured.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is; a local scratch
-    folder is only created for local runs such as the tests.
+    folder is only created for local runs such as the tests; any other master without one is an
+    error, as its executors would write to their own disks.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir()
     if not current:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder shared by the cluster (master {master})")
         current = tempfile.mkdtemp(prefix="epistand-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)

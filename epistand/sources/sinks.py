@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_chart_csv(df: DataFrame, path: str, order_by=None) -> None:
+def write_chart_csv(df: DataFrame, path: str, order_by=None, columns=None, split_by=()) -> None:
     """One CSV with a header, NULL written as NA, overwriting an earlier output of the same name.
 
-    Chart tables have tens of rows (bands x sexes x years), so they are written as one file."""
-    out = df.orderBy(*order_by) if order_by else df
-    (out.coalesce(1).write.mode("overwrite").option("header", True).option("nullValue", "NA")
-     .csv(path))
+    Chart tables have tens of rows (bands x sexes x years), so they are written as one file.
+    Rows are in the order of ``order_by``, ``columns`` are the written ones (which may leave out
+    sort keys), and ``split_by`` makes one folder for each of its values."""
+    out = df.repartition(1)
+    if order_by or split_by:
+        out = out.sortWithinPartitions(*split_by, *(order_by or ()))
+    if columns:
+        out = out.select(*split_by, *columns)
+    write = out.write.mode("overwrite").option("header", True).option("nullValue", "NA")
+    (write.partitionBy(*split_by) if split_by else write).csv(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by=None) -> None:

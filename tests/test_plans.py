@@ -56,3 +56,14 @@ def test_causes_run_and_publish(spark):
     folder = tempfile.mkdtemp(prefix="epistand-publish-", dir="/tmp")
     paths = publish(out, folder)
     assert all(os.path.isdir(p) for p in paths)
+
+
+def test_written_chart_has_declared_columns_and_order(spark):
+    rows = [("1995", "Asthma", 7.5, 2), ("1995", "Burns", 2.5, 3), ("1995", "Cancer", 16.4, 1), ("1996", "Asthma", 1.0, 1)]
+    df = spark.createDataFrame(rows, "release string, class1 string, measure double, position int")
+    folder = tempfile.mkdtemp(prefix="epistand-publish-", dir="/tmp")
+    (path,) = publish({"top10causes_chart1": df}, folder)
+    written = os.path.join(path, "release=1995")
+    (name,) = [f for f in os.listdir(written) if f.endswith(".csv")]
+    with open(os.path.join(written, name)) as f:
+        assert f.read().splitlines() == ["class1,measure", "Burns,2.5", "Asthma,7.5", "Cancer,16.4"]
