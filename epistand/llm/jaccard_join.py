@@ -245,14 +245,18 @@ class JaccardJoin:
         return p.where(self.sizes_fit(F.col("nx"), F.col("ny")) & good).drop("px", "py", "reach")
 
     def compare(self, pairs: DataFrame, classes: DataFrame, common) -> DataFrame:
-        """Pairs (x, y, nx, ny) with their overlap and both differences, from the whole sets."""
+        """Pairs (x, y, nx, ny) with their overlap, from the whole sets, and both differences (dx, dy)
+        of highly similar ones."""
         needed = pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct()
         needed = shared_table(needed.join(classes.select("cid", "d1", "d2"), "cid"), "needed")
         sets = shared_table(self.sets(needed, common), "sets")
         p = (pairs.join(sets.select(F.col("cid").alias("x"), F.col("s").alias("sx")), "x")
              .join(sets.select(F.col("cid").alias("y"), F.col("s").alias("sy")), "y"))
         p = p.withColumns({"dx": F.array_except("sx", "sy"), "dy": F.array_except("sy", "sx")}).drop("sx", "sy")
-        return p.withColumn("overlap", F.col("nx") - F.size("dx"))
+        p = p.withColumn("overlap", F.col("nx") - F.size("dx"))
+        # differences of sets that aren't highly similar are long and of no use to others
+        close = F.col("overlap") * self.den >= F.greatest("nx", "ny") * (2 * self.num - self.den)
+        return p.select("x", "y", "nx", "ny", "overlap", F.when(close, F.col("dx")).alias("dx"), F.when(close, F.col("dy")).alias("dy"))
 
     def run(self) -> DataFrame:
         common = self.common_grams()
@@ -312,44 +316,43 @@ class JaccardJoin:
         star = shared_table(self.prefix_filter(star.union(alike).distinct(), classes), "star")
         first = shared_table(self.compare(star, classes, common), "compared")
         linked = first.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y")
-        # each member's differences to one leader: the smaller end of its compared pairs
+        # each member's differences to one leader: the smaller end of its highly similar pairs
         none = F.array().cast("array<long>")
-        own = first.select("x", F.col("x").alias("cid"), none.alias("lost"), none.alias("new"), F.col("nx").alias("n_leader")).distinct()
-        known = (first.select("x", F.col("y").alias("cid"), F.col("dx").alias("lost"), F.col("dy").alias("new"), F.col("nx").alias("n_leader"))
+        close = first.where("dx is not null")
+        own = close.select("x", F.col("x").alias("cid"), none.alias("lost"), none.alias("new"), F.col("nx").alias("n_leader")).distinct()
+        known = (close.select("x", F.col("y").alias("cid"), F.col("dx").alias("lost"), F.col("dy").alias("new"), F.col("nx").alias("n_leader"))
                  .union(own).groupBy("cid").agg(F.min_by(F.struct(F.col("x").alias("leader"), "lost", "new", "n_leader"), "x").alias("v"))
                  .select("cid", "v.*"))
+        known = shared_table(known, "known")
 
         # 2. members outside their list's main component against another member of that, by both
         # sets' differences to a common leader; each list has a member of its own for this
         mixed = shared_table(self.mixed_lists(lists, lead, linked, known), "mixed")
-        other = (mixed.where("comp = main and lost is not null").groupBy("t", "leader")
-                 .agg(F.min_by(F.struct("cid", "n", "lost", "new"), F.xxhash64("t", "cid")).alias("o")))
-        near = (mixed.where("comp <> main and lost is not null").join(other, ["t", "leader"])
-                .where(self.enough(self.derived("o.lost", "o.new", "lost", "new"), F.col("o.n"), F.col("n")))
-                .select(F.col("o.cid").alias("x"), F.col("cid").alias("y")).distinct())
+        other = (mixed.where("comp = main and leader is not null").groupBy("t", "leader")
+                 .agg(F.min_by(F.struct("cid", "n"), F.xxhash64("t", "cid")).alias("o")))
+        near = (mixed.where("comp <> main and leader is not null").join(other, ["t", "leader"]).where(self.sizes_fit(F.col("n"), F.col("o.n")))
+                .select(F.col("o.cid").alias("x"), F.col("cid").alias("y"), F.col("o.n").alias("nx"), F.col("n").alias("ny")).distinct())
+        near = self.derive(near, known).where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y")
         linked = shared_table(linked.union(near), "linked")
 
         # 3. all pairs of different components that are still open
         mixed = shared_table(self.mixed_lists(lists, lead, linked, known), "mixed")
-        side = ("cid", "n", "pos", "sketch", "block", "leader", "comp", "lost", "new", "leads")
-        a = mixed.where("comp <> main").select("t", *[F.col(c).alias(f"a_{c}") for c in (*side, "n_leader")])
+        side = ("cid", "n", "pos", "sketch", "block", "comp", "leads")
+        a = mixed.where("comp <> main").select("t", *[F.col(c).alias(f"a_{c}") for c in side])
         b = mixed.select("t", F.col("block").alias("at"), "main", *[F.col(c).alias(f"b_{c}") for c in side])
         # sets that can link stand in the same block or in neighbouring ones
         a = a.withColumn("at", F.explode(F.array(*[F.col("a_block") + i for i in (-1, 0, 1)])))
-        known_both = ((F.col("a_leader") == F.col("b_leader")) & F.col("a_lost").isNotNull() & F.col("b_lost").isNotNull())
-        derived = F.col("a_n_leader") - F.size(F.array_union("a_lost", "b_lost")) + F.size(F.array_intersect("a_new", "b_new"))
         apart = ((F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("main")) | (F.col("a_cid") < F.col("b_cid")))
                  & ~((F.col("a_block") == F.col("b_block")) & (F.array_contains("a_leads", F.col("a_cid")) | F.array_contains("a_leads", F.col("b_cid"))))
                  & self.sizes_fit(F.col("a_n"), F.col("b_n")) & self.may_link("a_pos", "a_n", "a_sketch", "b_pos", "b_n", "b_sketch"))
-        known_both = F.coalesce(known_both, F.lit(False))
-        decided = F.when(known_both, self.enough(derived, F.col("a_n"), F.col("b_n"))).otherwise(F.lit(True))
-        rest = (a.join(b, ["t", "at"]).where(apart & decided)
+        first_is_a = F.col("a_cid") < F.col("b_cid")
+        rest = (a.join(b, ["t", "at"]).where(apart)
                 .select(F.least("a_cid", "b_cid").alias("x"), F.greatest("a_cid", "b_cid").alias("y"),
-                        known_both.alias("decided"))
-                .groupBy("x", "y").agg(F.max("decided").alias("decided")))
-        rest = shared_table(rest, "rest")
-        linked = linked.union(rest.where("decided").select("x", "y"))
-        open_ = shared_table(self.prefix_filter(rest.where("not decided").select("x", "y"), classes), "open")
+                        F.when(first_is_a, F.col("a_n")).otherwise(F.col("b_n")).alias("nx"),
+                        F.when(first_is_a, F.col("b_n")).otherwise(F.col("a_n")).alias("ny")).distinct())
+        rest = shared_table(self.derive(rest, known), "rest")
+        linked = linked.union(rest.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y"))
+        open_ = shared_table(self.prefix_filter(rest.where("overlap is null").select("x", "y"), classes), "open")
         if not open_.isEmpty():
             second = self.compare(open_, classes, common)
             linked = linked.union(second.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y"))
@@ -357,18 +360,22 @@ class JaccardJoin:
 
     def mixed_lists(self, lists: DataFrame, lead: DataFrame, linked: DataFrame, known: DataFrame) -> DataFrame:
         """Postings of the lists with several components: each with its component, the list's main
-        (most frequent) one, its block's leaders, and its differences to a leader where known."""
+        (most frequent) one, its block's leaders, and the leader to which its differences are known."""
         label = connected_components(linked, "x", "y").withColumnRenamed("id", "cid")
         tagged = lists.join(label, "cid", "left").withColumn("comp", F.coalesce("component_id", "cid")).drop("component_id")
         main = (tagged.groupBy("t", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("t")
                 .agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1"))
         leaders = lead.select("t", "block", F.transform("leads", lambda x: x["cid"]).alias("leads"))
-        return (tagged.join(main, "t").join(leaders, ["t", "block"], "left").join(known, "cid", "left").drop("parts")
+        return (tagged.join(main, "t").join(leaders, ["t", "block"], "left").join(known.select("cid", "leader"), "cid", "left").drop("parts")
                 .withColumn("leads", F.coalesce("leads", F.array().cast("array<long>"))))
 
-    def derived(self, lost_a: str, new_a: str, lost_b: str, new_b: str):
-        """Overlap of two sets from their differences to one leader."""
-        return F.col("n_leader") - F.size(F.array_union(lost_a, lost_b)) + F.size(F.array_intersect(new_a, new_b))
+    def derive(self, pairs: DataFrame, known: DataFrame) -> DataFrame:
+        """Pairs (x, y, nx, ny) with the overlap that follows from both sets' differences to a
+        common leader, NULL where there is none."""
+        of = lambda c: known.select(*[F.col(k).alias(f"{c}_{k}") for k in ("cid", "leader", "lost", "new", "n_leader")])
+        p = (pairs.join(of("x"), F.col("x") == F.col("x_cid"), "left").join(of("y"), F.col("y") == F.col("y_cid"), "left"))
+        overlap = (F.col("x_n_leader") - F.size(F.array_union("x_lost", "y_lost")) + F.size(F.array_intersect("x_new", "y_new")))
+        return p.select("x", "y", "nx", "ny", F.when(F.col("x_leader") == F.col("y_leader"), overlap).alias("overlap"))
 
     def may_link(self, pos_a: str, n_a: str, sketch_a: str, pos_b: str, n_b: str, sketch_b: str):
         """Whether the rest of both sets, from this n-gram on, could be enough if it is their first
