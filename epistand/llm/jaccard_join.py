@@ -327,7 +327,7 @@ class JaccardJoin:
 
         # 2. members outside their list's main component against another member of that, by both
         # sets' differences to a common leader; each list has a member of its own for this
-        mixed = shared_table(self.mixed_lists(lists, lead, linked, known), "mixed")
+        mixed = shared_table(self.mixed_lists(lists.select("t", "cid", "n"), linked).join(known.select("cid", "leader"), "cid"), "mixed")
         other = (mixed.where("comp = main and leader is not null").groupBy("t", "leader")
                  .agg(F.min_by(F.struct("cid", "n"), F.xxhash64("t", "cid")).alias("o")))
         near = (mixed.where("comp <> main and leader is not null").join(other, ["t", "leader"]).where(self.sizes_fit(F.col("n"), F.col("o.n")))
@@ -336,7 +336,9 @@ class JaccardJoin:
         linked = shared_table(linked.union(near), "linked")
 
         # 3. all pairs of different components that are still open
-        mixed = shared_table(self.mixed_lists(lists, lead, linked, known), "mixed")
+        leaders = lead.select("t", "block", F.transform("leads", lambda x: x["cid"]).alias("leads"))
+        mixed = self.mixed_lists(lists, linked).join(leaders, ["t", "block"], "left")
+        mixed = shared_table(mixed.withColumn("leads", F.coalesce("leads", F.array().cast("array<long>"))), "mixed")
         side = ("cid", "n", "pos", "sketch", "block", "comp", "leads")
         a = mixed.where("comp <> main").select("t", *[F.col(c).alias(f"a_{c}") for c in side])
         b = mixed.select("t", F.col("block").alias("at"), "main", *[F.col(c).alias(f"b_{c}") for c in side])
@@ -358,16 +360,14 @@ class JaccardJoin:
             linked = linked.union(second.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y"))
         return shared_table(linked, "joined")
 
-    def mixed_lists(self, lists: DataFrame, lead: DataFrame, linked: DataFrame, known: DataFrame) -> DataFrame:
-        """Postings of the lists with several components: each with its component, the list's main
-        (most frequent) one, its block's leaders, and the leader to which its differences are known."""
+    def mixed_lists(self, lists: DataFrame, linked: DataFrame) -> DataFrame:
+        """Postings of the lists with several components, with component and the list's main (most
+        frequent) one."""
         label = connected_components(linked, "x", "y").withColumnRenamed("id", "cid")
-        tagged = lists.join(label, "cid", "left").withColumn("comp", F.coalesce("component_id", "cid")).drop("component_id")
-        main = (tagged.groupBy("t", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("t")
+        comp = lambda df: df.join(label, "cid", "left").withColumn("comp", F.coalesce("component_id", "cid")).drop("component_id")
+        main = (comp(lists.select("t", "cid")).groupBy("t", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("t")
                 .agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1"))
-        leaders = lead.select("t", "block", F.transform("leads", lambda x: x["cid"]).alias("leads"))
-        return (tagged.join(main, "t").join(leaders, ["t", "block"], "left").join(known.select("cid", "leader"), "cid", "left").drop("parts")
-                .withColumn("leads", F.coalesce("leads", F.array().cast("array<long>"))))
+        return comp(lists).join(main.drop("parts"), "t")
 
     def derive(self, pairs: DataFrame, known: DataFrame) -> DataFrame:
         """Pairs (x, y, nx, ny) with the overlap that follows from both sets' differences to a
@@ -418,9 +418,12 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     component_id. Rows with a NULL key stay only if their component has no other key; of rows that
     repeat the key of a staying row all but the first by the other columns go."""
     found = jaccard_components(docs, key, text, **options)
-    stay = (found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct())
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.join(stay, docs[key].cast("long").eqNullSafe(F.col("__id")))
+    keys = found.groupBy("doc_id").agg(F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("stay"), F.count(F.lit(1)).alias("n"))
+    keys = shared_table(keys.where("not stay or n > 1").withColumnRenamed("doc_id", "__id"), "keys")
+    same = docs[key].cast("long").eqNullSafe(F.col("__id"))
+    # few keys go, so Spark may broadcast them by its own size limit; texts are moved only for repeated keys
+    kept = docs.join(keys.where("not stay"), same, "left_anti")
+    repeated = keys.where("stay").select("__id")
     w = Window.partitionBy("__id").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c not in (key, text)], F.col(f"`{text}`"))
-    repeated = joined.withColumn("__nr", F.row_number().over(w))
-    return repeated.where(F.col("__nr") == 1).select(*columns)
+    first = kept.join(repeated, same).withColumn("__nr", F.row_number().over(w)).where(F.col("__nr") == 1)
+    return kept.join(repeated, same, "left_anti").union(first.select(*[F.col(f"`{c}`") for c in docs.columns]))
