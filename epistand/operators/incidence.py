@@ -21,6 +21,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epistand.functions.dates import years_between
 from epistand.session import ensure_checkpoint_dir
@@ -55,8 +56,10 @@ def incident_events(events: DataFrame, gap_from: str = "dodis", min_gap_years: f
     key = F.struct(F.col(patient).isNotNull(), F.col(patient), F.col(admitted).isNull(), F.col(admitted),
                    *[x for c in (rank, stay) for x in (F.col(c).isNotNull(), F.col(c))], F.xxhash64(*[F.col(c) for c in cols]))
     last = cut.groupBy("_range").agg(F.max_by(F.struct(F.col(patient).alias("who"), F.col(gap_from).alias("ref")), key).alias("last"))
-    carry = (last.select("_range", F.lag("last").over(Window.orderBy("_range")).alias("_last"))  # one row per range
-             .where("_last is not null").select("_range", F.col("_last.who").alias("_who"), F.col("_last.ref").alias("_carry")))
+    ends = sorted(last.collect(), key=lambda r: r["_range"])  # one row per range
+    kinds = {f.name: f.dataType for f in last.schema["last"].dataType.fields}
+    schema = T.StructType([T.StructField("_range", T.IntegerType()), T.StructField("_who", kinds["who"]), T.StructField("_carry", kinds["ref"])])
+    carry = spark.createDataFrame([(b["_range"], a["last"]["who"], a["last"]["ref"]) for a, b in zip(ends, ends[1:])], schema)
     joined = lagged.join(carry, "_range", "left")
     prev = F.when(~F.col("_first"), F.col("_prev_in")).when(F.col("_who").eqNullSafe(F.col(patient)), F.col("_carry"))
     gap = years_between(admitted, prev, days_per_year)
