@@ -30,17 +30,6 @@ def code_match(code, codes: CodeSet) -> Column:
     return reduce(lambda a, b: a | b, parts)
 
 
-def code_prefilter(code, codes: CodeSet) -> Column | None:
-    """A redundant ``startswith`` disjunction that Parquet can evaluate for prefix-only code sets.
-
-    Returns None when the set has a regex (no prefix can be derived safely)."""
-    if codes.regex:
-        return None
-    c = _col(code)
-    prefixes = list(codes.prefix3) + list(codes.prefix4)
-    return reduce(lambda a, b: a | b, [c.startswith(p) for p in prefixes])
-
-
 def any_position_match(cols, codes: CodeSet) -> Column:
     """Match over the concatenation of several code columns, NULLs skipped (``'a' || NULL`` = 'a').
 

@@ -29,6 +29,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFra
     return joined.select(*key_cols, *rest)
 
 
+def without_denominator(cells: DataFrame, keys=("year",)) -> DataFrame:
+    """Per key: the cells (and their events) that have no usable denominator, which a rate leaves out."""
+    missing = F.col("denominator").isNull() | (F.col("denominator") == 0)
+    return (cells.where(missing).groupBy(*keys)
+            .agg(F.count(F.lit(1)).alias("cells"), F.coalesce(F.sum("numerator"), F.lit(0)).alias("events")))
+
+
 def with_denominators(cells: DataFrame, population: DataFrame, keys=CELL_KEYS, how: str = "full",
                       zero_fill: bool = True, add_epop: bool = True) -> DataFrame:
     """Join counts (``n``) to populations (``pop``) and name them numerator / denominator.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epistand.functions.codes import code_match, code_prefilter
+from epistand.functions.codes import code_match
 from epistand.functions.dates import fiscal_year
 from epistand.params import CodeSet, VALID_SEXES
 
@@ -16,15 +16,9 @@ DEATH_CODES = [f"cause_of_death_code_{i}" for i in range(10)]
 SOURCE_RANK = {"deaths": 0, "current": 1, "historic": 2}
 
 
-def select_codes(df: DataFrame, code_col: str, codes: CodeSet, prefilter: bool = False) -> DataFrame:
-    """Keep rows whose code matches.
-
-    ``prefilter`` adds a redundant ``startswith`` disjunction for prefix-only sets, which the
-    Parquet reader can use to skip row groups (``substring(..) IN`` is not pushed down). It only
-    prunes when the table is clustered by code, so it is off by default."""
-    out = df.where(code_match(code_col, codes))
-    pre = code_prefilter(code_col, codes) if prefilter else None
-    return out.where(pre) if pre is not None else out
+def select_codes(df: DataFrame, code_col: str, codes: CodeSet) -> DataFrame:
+    """Keep rows whose code matches."""
+    return df.where(code_match(code_col, codes))
 
 
 def select_window(df: DataFrame, date_col: str, start, end) -> DataFrame:
@@ -36,14 +30,15 @@ def valid_sex(df: DataFrame, col: str = "sex") -> DataFrame:
     return df.where(F.col(col).isin(list(VALID_SEXES)))
 
 
-def stay_rollup(episodes: DataFrame, year_from: str = "admission_date") -> DataFrame:
+def stay_rollup(episodes: DataFrame, year_from: str = "admission_date", by=()) -> DataFrame:
     """One row per continuous inpatient stay (link_no, cis_marker): oldest age, first admission,
-    last discharge, max sex, min postcode and max fiscal year.
+    last discharge, max sex, min postcode and max fiscal year. ``by`` names further keys, such as the
+    source of stacked tables.
 
     Grouping on both keys spreads a patient's stays over tasks; partial aggregation runs before
     the shuffle, so one very long stay does not concentrate rows either."""
     return (
-        episodes.groupBy(F.col("link_no").alias("linkno"), F.col("cis_marker").alias("cis"))
+        episodes.groupBy(F.col("link_no").alias("linkno"), F.col("cis_marker").alias("cis"), *by)
         .agg(
             F.max("age_in_years").alias("age"),
             F.min("admission_date").alias("doadm"),
@@ -57,10 +52,13 @@ def stay_rollup(episodes: DataFrame, year_from: str = "admission_date") -> DataF
 
 def stay_flags(episodes: DataFrame, flags: dict[str, Column], year_from: str = "discharge_date",
                keep_stay_dates: bool = False) -> DataFrame:
-    """One row per stay with ``max(case when <predicate> then 1 else 0 end)`` per named flag."""
+    """One row per stay with ``max(case when <predicate> then 1 else 0 end)`` per named flag.
+
+    The sex must be a one-digit code (see ``valid_sex``): it is aggregated as a number, so that Spark
+    can hash-aggregate instead of sorting."""
     aggs = [
         F.max("age_in_years").alias("age"),
-        F.max("sex").alias("sex"),
+        F.max(F.col("sex").cast("tinyint")).cast("string").alias("sex"),
         F.max(fiscal_year(year_from)).alias("year"),
     ]
     if keep_stay_dates:
@@ -78,9 +76,9 @@ def first_per_patient_year(episodes: DataFrame, date_col: str = "admission_date"
     )
 
 
-def stack_stays(current: DataFrame, historic: DataFrame) -> DataFrame:
-    """Stays rolled up separately in the current and historic tables, stacked (duplicates kept)
-    with a source rank used to break same-day ties later."""
+def stack_episodes(current: DataFrame, historic: DataFrame) -> DataFrame:
+    """Selected episodes of the current and historic tables, stacked (duplicates kept) with a
+    source rank used to break same-day ties later."""
     return (current.withColumn("source_rank", F.lit(SOURCE_RANK["current"]))
             .unionByName(historic.withColumn("source_rank", F.lit(SOURCE_RANK["historic"]))))
 

@@ -14,17 +14,6 @@ def unpivot_all_but(df: DataFrame, ids, var: str, value: str, value_type: str |
     return df.unpivot(list(ids), values, var, value)
 
 
-def drop_empty_rows(df: DataFrame, cols) -> DataFrame:
-    """Drop rows where every listed column is NULL or blank.
-
-    For text read line by line prefer a test on the raw line (see ``read_sections``): a predicate
-    over many derived columns below a window can make the optimizer's constraint inference very
-    expensive."""
-    blank = [F.when(F.trim(F.col(c)) == "", None).otherwise(F.col(c)).alias(c) for c in cols]
-    keep = [c for c in df.columns if c not in cols]
-    return df.select(*keep, *blank).dropna(how="all", subset=list(cols)).select(*df.columns)
-
-
 def fill_down(df: DataFrame, cols, partition: str, order: str) -> DataFrame:
     """Last observation carried forward, per partition (one published file) in line order."""
     w = Window.partitionBy(partition).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
@@ -32,30 +21,32 @@ def fill_down(df: DataFrame, cols, partition: str, order: str) -> DataFrame:
                        for c in df.columns])
 
 
-# A line whose fields are all empty: only separators, quotes and blanks.
-EMPTY_LINE = r'^[\s,"]*$'
+def empty_line(columns: int) -> str:
+    """Regex of a CSV line whose first ``columns`` fields are all blank or NA."""
+    f = r'\s*"?\s*(?:NA)?\s*"?\s*'
+    return rf"^{f}(?:(?:,{f}){{0,{columns - 1}}}|(?:,{f}){{{columns - 1}}},.*)$"
 
 
 def read_sections(lines: DataFrame, sections, names, release: str = "release") -> DataFrame:
     """Parse line ranges of text lines (release, line_no, value) as CSV rows with ``names``.
 
     ``sections`` is a list of (skip, n_max, drop_empty): lines skip+1 .. skip+n_max are parsed;
-    with drop_empty, lines whose fields are all empty are removed (tested on the raw text, which
+    with drop_empty, lines whose read fields are all empty are removed (tested on the raw text, which
     keeps the optimizer from reasoning over a predicate on every parsed column). Rows keep
     (release, line_no) so that later steps can restore file order without a global sort.
-    Blank fields are NULL."""
+    Blank and NA fields are NULL; fields beyond ``names`` are not read."""
     ddl = ", ".join(f"c{i} string" for i in range(len(names)))
     keep = None
     for skip, n_max, drop_empty in sections:
         cond = F.col("line_no").between(skip + 1, skip + n_max)
         if drop_empty:
-            cond = cond & ~F.col("value").rlike(EMPTY_LINE)
+            cond = cond & ~F.col("value").rlike(empty_line(len(names)))
         keep = cond if keep is None else keep | cond
     # One parse per line: inline(array(struct)) yields every field; selecting r.c0 .. r.cN instead
     # lets the optimizer split the parse into one single-field parser per column.
     return (lines.where(keep)
             .select(release, "line_no", F.inline(F.array(F.from_csv("value", ddl))))
-            .select(release, "line_no", *[F.when(F.trim(F.col(f"c{i}")) != "", F.col(f"c{i}")).alias(n)
+            .select(release, "line_no", *[F.when(~F.trim(F.col(f"c{i}")).isin("", "NA"), F.col(f"c{i}")).alias(n)
                                           for i, n in enumerate(names)]))
 
 

@@ -14,11 +14,14 @@ def resident_by_lookup(df: DataFrame, lookup: DataFrame, key: str = "pc7",
     """Keep records whose postcode maps to an area (left join + IS NOT NULL == semi/inner join).
 
     Without ``keep_zone`` this is a left-semi join: a postcode listed twice can never duplicate
+    records. With ``keep_zone`` a postcode listed with an area more than once stops the job, as it would duplicate
     records. The lookup is not hinted: AQE measures it at run time and broadcasts it only when it
     is under the broadcast bound, otherwise both sides are shuffled on the postcode."""
     resident = lookup.where(F.col(zone).isNotNull()).select(key, zone)
     if keep_zone:
-        out = df.join(resident, on=key, how="inner")
+        once = resident.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.any_value(zone).alias(zone))
+        repeated = F.raise_error(F.concat(F.lit(f"{key} listed more than once: "), F.col(key).cast("string")))
+        out = df.join(once.select(key, F.when(F.col("n") > 1, repeated).otherwise(F.col(zone)).alias(zone)), on=key, how="inner")
     else:
         out = df.join(resident.select(key), on=key, how="left_semi")
     return out.drop(key) if drop_key else out

@@ -68,6 +68,14 @@ def collapse_bands(cells: DataFrame, band_col: str = "age_grp2",
             .withColumnRenamed(band_col, "age_grp"))
 
 
+def band_rates(cells: DataFrame, bands) -> DataFrame:
+    """Every coarse band collapsed and standardised with its own EPOP total (crude rate of the
+    band), all bands in one grouped pass."""
+    collapsed = collapse_bands(cells)
+    inside = collapsed.where(F.col("age_grp").isin([b.label for b in bands]))
+    return standardised_rates(inside, band_epop_total("age_grp", bands), cats=["age_grp"])
+
+
 def pooled_both_sexes(cells: DataFrame, keys=("year", "age_grp", "age_grp2", "type"),
                       sum_cols=("numerator", "denominator", "epop"), label: str = "All") -> DataFrame:
     """Add the sexes together cell by cell (numerator, denominator and epop) and label the result

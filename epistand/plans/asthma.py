@@ -9,16 +9,18 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epistand.functions.ages import age_band, band_epop_total, coarse_band
+from epistand.functions.ages import age_band, coarse_band
 from epistand.operators.cells import count_cells, with_denominators
-from epistand.operators.charts import chart_data
+from epistand.operators.charts import band_chart, chart_data, split_charts
 from epistand.operators.counts import counts_with_total
 from epistand.operators.extract import first_per_patient_year, select_codes, select_window, valid_sex
 from epistand.operators.population import population_cells
 from epistand.operators.residency import resident_by_lookup
-from epistand.operators.standardise import collapse_bands, standardised_rates
 from epistand.params import ASTHMA_BANDS, ASTHMA_DEATH_CODES, ASTHMA_STAY_CODES
 
+# Names of the charts of the coarse bands.
+BAND_CHARTS = ("underten_chart", "tenplus_chart")
+
 
 @dataclass(frozen=True)
 class AsthmaParams:
@@ -49,18 +51,9 @@ def cells(src, p: AsthmaParams) -> DataFrame:
     return with_denominators(counted, pop, how="full")
 
 
-def band_rates(cells_df: DataFrame, bands) -> DataFrame:
-    """Each coarse band collapsed and standardised with its EPOP total (crude rate of the band)."""
-    collapsed = collapse_bands(cells_df)
-    labels = [b.label for b in bands]
-    inside = collapsed.where(F.col("age_grp").isin(labels))
-    return standardised_rates(inside, band_epop_total("age_grp", bands), cats=["age_grp"])
-
-
-def band_charts(cells_df: DataFrame, bands) -> list[DataFrame]:
-    """One chart per coarse band: cells collapsed into the band, standardised with its total."""
-    collapsed = collapse_bands(cells_df)
-    return [chart_data(collapsed.where(F.col("age_grp") == F.lit(b.label)), b.epop_total) for b in bands]
+def band_charts(cells_df: DataFrame, bands) -> DataFrame:
+    """The charts of both coarse bands in one frame; ``chart`` names the chart of each row."""
+    return band_chart(cells_df, bands, BAND_CHARTS).withColumnRenamed("band", "chart")
 
 
 def summary_chart(spark, path: str) -> DataFrame:
@@ -81,5 +74,5 @@ def run(src, p: AsthmaParams = AsthmaParams()) -> dict[str, DataFrame]:
         "sex_chart": chart_data(c, 100000),
         "all_chart": chart_data(c, 200000, by_sex=False),
     }
-    out.update(zip(("underten_chart", "tenplus_chart"), band_charts(c, p.bands)))
+    out.update(split_charts(lineage_cut(band_charts(c, p.bands)), BAND_CHARTS))
     return out

@@ -24,7 +24,7 @@ from epistand.operators.extract import (OTHER_CONDITIONS, death_events, first_pe
 from epistand.operators.incidence import incident_events
 from epistand.operators.population import area_population_long, population_cells
 from epistand.operators.residency import resident_by_lookup, treated_in_board
-from epistand.operators.standardise import pooled_both_sexes, rates_within_bands, standardised_rates
+from epistand.operators.standardise import band_rates, pooled_both_sexes, rates_within_bands, standardised_rates
 from epistand.params import (ASTHMA_BANDS, ASTHMA_STAY_CODES, COPD_BANDS, COPD_DEATH_CODES, COPD_STAY_CODES,
                              DIABETES_BANDS, DIABETES_CODES, EPILEPSY_BANDS, EPILEPSY_CODES, LookbackParams)
 from epistand.plans import allergy, asthma, causes, copd, diabetes, epilepsy, ms
@@ -182,7 +182,7 @@ def q_rates_both_sex_pooled(spark, d):
 
 
 def q_rates_coarse_collapsed(spark, d):
-    return rounded(asthma.band_rates(asthma.cells(_src(spark, d), T_ASTHMA), ASTHMA_BANDS))
+    return rounded(band_rates(asthma.cells(_src(spark, d), T_ASTHMA), ASTHMA_BANDS))
 
 
 def q_rates_coarse_all_cells(spark, d):
@@ -300,8 +300,7 @@ def q_asthma_all_chart(spark, d):
 
 
 def q_asthma_band_charts(spark, d):
-    charts = asthma.band_charts(asthma.cells(_src(spark, d), T_ASTHMA), T_ASTHMA.bands)
-    return rounded(_tagged(dict(zip(("underten_chart", "tenplus_chart"), charts))))
+    return rounded(asthma.band_charts(asthma.cells(_src(spark, d), T_ASTHMA), T_ASTHMA.bands))
 
 
 def q_diabetes_secondarycare_chart2(spark, d):
@@ -322,7 +321,7 @@ def q_copd_deaths_chart(spark, d):
 
 
 def q_copd_incidence_charts(spark, d):
-    return rounded(_tagged(copd.incidence_charts(copd.incidence(_src(spark, d), T_COPD), T_COPD)))
+    return rounded(copd.incidence_charts(copd.incidence(_src(spark, d), T_COPD), T_COPD))
 
 
 def q_copd_deprivation_charts(spark, d):

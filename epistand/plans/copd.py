@@ -13,15 +13,18 @@ from epistand.functions.ages import age_band, coarse_band_from_grp, epop_weight
 from epistand.functions.dates import year_label
 from epistand.functions.labels import sex_label
 from epistand.operators.cells import count_cells, with_denominators
-from epistand.operators.charts import chart_data, project_chart
+from epistand.operators.charts import band_chart, chart_data, project_chart, split_charts
 from epistand.operators.population import area_population_long, population_cells
 from epistand.operators.residency import resident_by_country, resident_by_lookup
-from epistand.operators.standardise import collapse_bands, rates_within_bands
+from epistand.operators.standardise import rates_within_bands
 from epistand.params import (COPD_BANDS, COPD_DEATH_CODES, COPD_DEPRIVATION_BANDS, COPD_STAY_CODES,
                              LookbackParams)
 from epistand.plans.incidence_topics import incidence_cells, stacked_stays, topic_deaths
 from epistand.sources.readers import lineage_cut
 
+# Names of the charts of the coarse bands.
+BAND_CHARTS = ("copd_undersixtyfive_chart", "copd_sixtyfive_eightyfour_chart", "copd_eightyfiveplus_chart")
+
 
 @dataclass(frozen=True)
 class CopdParams:
@@ -92,13 +95,10 @@ def deprivation_chart(cells: DataFrame) -> DataFrame:
                         year_label("year").alias("year_label"))
 
 
-def incidence_charts(inc: DataFrame, p: CopdParams) -> dict[str, DataFrame]:
-    collapsed = collapse_bands(inc)
-    out = {"all_copd_scotland_chart": chart_data(inc, 100000)}
-    for b, name in zip(p.bands, ("copd_undersixtyfive_chart", "copd_sixtyfive_eightyfour_chart",
-                                 "copd_eightyfiveplus_chart")):
-        out[name] = chart_data(collapsed.where(F.col("age_grp") == F.lit(b.label)), b.epop_total)
-    return out
+def incidence_charts(inc: DataFrame, p: CopdParams) -> DataFrame:
+    """The all-ages chart and the charts of the coarse bands (one pass); ``chart`` names them."""
+    whole = chart_data(inc, 100000).withColumn("chart", F.lit("all_copd_scotland_chart"))
+    return whole.unionByName(band_chart(inc, p.bands, BAND_CHARTS).withColumnRenamed("band", "chart"))
 
 
 def deprivation_charts(cells: DataFrame) -> dict[str, DataFrame]:
@@ -114,6 +114,6 @@ def run(src, p: CopdParams = CopdParams()) -> dict[str, DataFrame]:
     shared = lineage_cut(stays(src, p))
     inc = lineage_cut(incidence(src, p, shared))
     out = {"deaths_scotland": chart_data(mortality_cells(src, p), 100000, year_type="calendar")}
-    out.update(incidence_charts(inc, p))
+    out.update(split_charts(lineage_cut(incidence_charts(inc, p)), ("all_copd_scotland_chart", *BAND_CHARTS)))
     out.update(deprivation_charts(deprivation_cells(src, p, shared)))
     return out

@@ -9,11 +9,10 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epistand.operators.charts import chart_data
+from epistand.operators.charts import band_chart, chart_data
 from epistand.operators.counts import counts_with_total
 from epistand.operators.population import population_cells
 from epistand.operators.residency import resident_by_country
-from epistand.operators.standardise import collapse_bands
 from epistand.params import EPILEPSY_BANDS, EPILEPSY_CODES, LookbackParams
 from epistand.plans.incidence_topics import incidence_cells, stacked_stays, topic_deaths
 
@@ -53,18 +52,11 @@ def incidence(src, p: EpilepsyParams) -> DataFrame:
 
 def incidence_chart(inc: DataFrame, p: EpilepsyParams) -> DataFrame:
     """Rates by sex (all ages) and by sex and age group, rounded to one decimal."""
-    parts = [chart_data(inc, 100000).select(
-        "year", "sex", F.lit("All ages").alias("agegrp"),
-        F.concat_ws(" - ", "sex", F.lit("All ages")).alias("sex_agegrp"), "rate")]
-    collapsed = collapse_bands(inc)
-    for b in p.bands:
-        name = BAND_NAMES[b.label]
-        part = chart_data(collapsed.where(F.col("age_grp") == F.lit(b.label)), b.epop_total)
-        parts.append(part.select("year", "sex", F.lit(name).alias("agegrp"),
-                                 F.concat_ws(" ", "sex", F.lit(name)).alias("sex_agegrp"), "rate"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    whole = chart_data(inc, 100000).select("year", "sex", F.lit("All ages").alias("agegrp"),
+                                          F.concat_ws(" - ", "sex", F.lit("All ages")).alias("sex_agegrp"), "rate")
+    bands = band_chart(inc, p.bands, [BAND_NAMES[b.label] for b in p.bands]).select(
+        "year", "sex", F.col("band").alias("agegrp"), F.concat_ws(" ", "sex", "band").alias("sex_agegrp"), "rate")
+    out = whole.unionByName(bands)
     return (out.where(F.col("year") >= p.chart_from_label)
             .select("year", "sex_agegrp", "sex", "agegrp", F.round("rate", 1).alias("rate")))
 

@@ -9,22 +9,24 @@ from pyspark.sql import functions as F
 
 from epistand.functions.ages import age_band, coarse_band
 from epistand.operators.cells import count_cells, with_denominators
-from epistand.operators.extract import death_events, select_codes, select_window, stack_stays, stay_rollup, valid_sex
+from epistand.operators.extract import death_events, select_codes, select_window, stack_episodes, stay_rollup, valid_sex
 from epistand.operators.incidence import incident_events
 from epistand.operators.residency import resident_by_lookup, treated_in_board
 
 
-def topic_stays(episodes: DataFrame, codes, window, board_filter: bool) -> DataFrame:
+def topic_episodes(episodes: DataFrame, codes, window, board_filter: bool) -> DataFrame:
     e = select_window(episodes, "admission_date", *window)
     if board_filter:
         e = treated_in_board(e)
-    e = select_codes(valid_sex(e), "main_condition", codes)
-    return stay_rollup(e)
+    return select_codes(valid_sex(e), "main_condition", codes)
 
 
 def stacked_stays(src, codes, window, board_filter: bool = False) -> DataFrame:
-    return stack_stays(topic_stays(src.episodes, codes, window, board_filter),
-                       topic_stays(src.episodes_historic, codes, window, board_filter))
+    """Stays of each source table: the selected episodes are stacked first, so one roll-up (one
+    exchange) serves both tables."""
+    e = stack_episodes(topic_episodes(src.episodes, codes, window, board_filter),
+                       topic_episodes(src.episodes_historic, codes, window, board_filter))
+    return stay_rollup(e, by=["source_rank"])
 
 
 def topic_deaths(deaths: DataFrame, codes, window, regex_codes=None) -> DataFrame:

@@ -9,11 +9,10 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epistand.operators.charts import chart_data
+from epistand.operators.charts import band_chart, chart_data
 from epistand.operators.counts import counts_with_total
 from epistand.operators.population import population_cells
 from epistand.operators.residency import resident_by_country
-from epistand.operators.standardise import collapse_bands
 from epistand.params import MS_BANDS, MS_CODES, LookbackParams
 from epistand.plans.incidence_topics import incidence_cells, stacked_stays, topic_deaths
 
@@ -56,13 +55,9 @@ def chart1(inc: DataFrame, p: MsParams) -> DataFrame:
 
 
 def chart2(inc: DataFrame, p: MsParams) -> DataFrame:
-    collapsed = collapse_bands(inc)
-    out = None
-    for b in p.bands:
-        part = chart_data(collapsed.where(F.col("age_grp") == F.lit(b.label)), b.epop_total)
-        label = F.when(F.col("sex").isin("Male", "Female"), F.concat_ws(" ", "sex", F.lit(BAND_NAMES[b.label])))
-        part = part.select("year", "rate", label.alias("class1"))
-        out = part if out is None else out.unionByName(part)
+    out = band_chart(inc, p.bands, [BAND_NAMES[b.label] for b in p.bands])
+    label = F.when(F.col("sex").isin("Male", "Female"), F.concat_ws(" ", "sex", "band"))
+    out = out.select("year", "rate", label.alias("class1"))
     return (out.where(F.col("year") != p.dropped_label)
             .select(F.col("year").alias("class2"), F.col("rate").alias("measure"), "class1"))
 

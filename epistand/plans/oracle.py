@@ -15,7 +15,7 @@ from epistand.params import (ALLERGY_FLAGS, ALLERGY_LABELS, ALLERGY_SELECTION, A
                              SCOTLAND_CODE, CodeSet)
 from epistand.plans import diabetes, epilepsy, ms
 from epistand.plans.catalogue import T_ALLERGY, T_ASTHMA, T_COPD, T_DIABETES, T_EPILEPSY, T_MS
-from epistand.sources.testdata import (AREA_YEARS, CODE_STEMS, DASH_CODES, FOURTH_CHARS, HISTORIC_BEFORE,
+from epistand.sources.testdata import (CODE_STEMS, DASH_CODES, FOURTH_CHARS, HISTORIC_BEFORE,
                                        POPULATION_CODES)
 
 OTHER = [f"other_condition_{i}" for i in range(1, 6)]
@@ -164,25 +164,24 @@ select cast(o_custkey as varchar) link_no,
   case when o_orderkey % 4 = 1 then 'I219' end cause_of_death_code_1,
   {', '.join(f'cast(null as varchar) cause_of_death_code_{i}' for i in range(2, 10))}
 from orders where o_orderstatus = 'F'""",
+    "people": "select distinct o_custkey ck, cast(year(o_orderdate) as integer) AS year from orders",
     "population": """
-select y.year, cast(a.age as integer) age, cast(x.s as varchar) sex,
-  cast(1000 + (y.year * 31 + a.age * 17 + x.s * 13) % 500 as bigint) pop
-from (select distinct cast(year(o_orderdate) as integer) as year from orders) y
-cross join (select range as age from range(0, 100)) a
-cross join (select 1 s union all select 2) x""",
+select year, cast((ck * 7 + year) % 100 as integer) age, cast(ck % 2 + 1 as varchar) sex, count(*) pop
+from people group by 1, 2, 3""",
     "postcode_lookup": """
 select cast(c_custkey as varchar) pc7, case when c_nationkey % 6 <> 0 then n_name end datazone2011
 from customer join nation on c_nationkey = n_nationkey""",
-    "deprivation_lookup": f"""
-select n_name datazone, cast(y.year as integer) AS year, cast(n_regionkey + 1 as integer) sc_quin
-from nation cross join (select range as year from range({AREA_YEARS[0]}, {AREA_YEARS[1] + 1})) y""",
+    "area_people": """
+select c_nationkey, year, case when ck % 2 = 0 then 'M' else 'F' end sex, count(*) base
+from people join customer on ck = c_custkey group by 1, 2, 3""",
+    "deprivation_lookup": """
+select distinct n_name datazone, year, cast(n_regionkey + 1 as integer) sc_quin
+from nation join area_people on n_nationkey = c_nationkey""",
     "population_dz": f"""
-select cast(y.year as integer) AS year, b.datazone2011, b.sex,
-  {', '.join(f'cast(b.base * 3 + (y.year + {a} * 7 + b.n_nationkey) % 40 as bigint) age{a}' for a in range(65, 90))},
-  cast(b.base + 11 + y.year % 7 as bigint) age90plus
-from (select n_name datazone2011, n_nationkey, case when c_custkey % 2 = 0 then 'M' else 'F' end sex, count(*) base
-      from customer join nation on c_nationkey = n_nationkey group by 1, 2, 3) b
-cross join (select range as year from range({AREA_YEARS[0]}, {AREA_YEARS[1] + 1})) y""",
+select b.year, n_name datazone2011, b.sex,
+  {', '.join(f'cast(b.base * 3 + (b.year + {a} * 7 + n_nationkey) % 40 as bigint) age{a}' for a in range(65, 90))},
+  cast(b.base + 11 + b.year % 7 as bigint) age90plus
+from area_people b join nation on c_nationkey = n_nationkey""",
     "population_ca": f"""
 select code, year, sex sex_grp, age_grp,
   cast(sum(case when code = {q(POPULATION_CODES[0])} then pop else floor(pop / 3) end) as bigint) denominator
@@ -191,7 +190,8 @@ from (select p.*, c.code, {band('p.age')} age_grp from population p
 group by code, year, sex, age_grp""",
 }
 DEPS = {"episodes": ["episodes_all"], "episodes_historic": ["episodes_all"], "episodes_any": ["episodes_all"],
-        "population_ca": ["population"]}
+        "population": ["people"], "population_ca": ["people", "population"],
+        "deprivation_lookup": ["people", "area_people"], "population_dz": ["people", "area_people"]}
 
 
 def build(needs, ctes, body: str) -> str:

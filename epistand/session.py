@@ -25,7 +25,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
-        .config("spark.sql.autoBroadcastJoinThreshold", str(BROADCAST_BYTES))
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

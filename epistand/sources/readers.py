@@ -21,15 +21,14 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
 
 
 def read_warehouse(spark: SparkSession, url: str, query: str, properties: dict,
-                   predicates: list[str] | None = None) -> DataFrame:
+                   predicates: list[str]) -> DataFrame:
     """A query pushed to a warehouse over JDBC, read in parallel slices (one per predicate).
 
     The extraction steps of the method are written as DataFrame code, so the same plan can run on
     this reader or on Parquet; Spark pushes column pruning and simple filters into the query."""
-    table = f"({query}) q"
-    if predicates:
-        return spark.read.jdbc(url, table, predicates=predicates, properties=properties)
-    return spark.read.jdbc(url, table, properties=properties)
+    if not predicates:
+        raise ValueError("give at least one predicate: each is read as one slice of the query")
+    return spark.read.jdbc(url, f"({query}) q", predicates=predicates, properties=properties)
 
 
 def clean_names(df: DataFrame) -> DataFrame:

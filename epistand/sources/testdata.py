@@ -1,8 +1,8 @@
 """Adapters that give the driver's TPC-H-like tables the shapes the method reads.
 
 lineitem x orders -> hospital episodes (order = stay, customer = patient); orders with status F
--> death registrations; customer x nation -> postcode lookup and area populations; the years of
-the orders -> single-year-of-age populations. Every adapter is a deterministic function of the
+-> death registrations; customer x nation -> postcode lookup and area populations; the customers
+with orders in a year -> single-year-of-age populations. Every adapter is a deterministic function of the
 given tables, so its size grows with them. The DuckDB mirror of each adapter is in
 ``epistand.plans.oracle``.
 """
@@ -24,14 +24,19 @@ FOURTH_CHARS = "0123456789X"
 DASH_CODES = ["-493", "-490", "-345", "-340"]
 # Orders from this date are the current episode table, earlier ones the historic table.
 HISTORIC_BEFORE = "1997-01-01"
-# Area populations and the deprivation lookup are published for these years.
-AREA_YEARS = (1995, 2001)
+# Columns the adapters read, with their types: no job reads a footer while a plan is built.
+TABLE_COLUMNS = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz",
+    "customer": "c_custkey long, c_nationkey int",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
 # Fixed test values: health-board codes of the pre-banded population table.
 POPULATION_CODES = ["S00000001", "S08000015"]
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spark.read.schema(TABLE_COLUMNS[name]).parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _pick(items, idx: Column) -> Column:
@@ -109,13 +114,17 @@ def deaths(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(ck, year): the customers with an order in each calendar year, the population under study."""
+    o = _t(spark, sf_dir, "orders")
+    return o.select(F.col("o_custkey").alias("ck"), F.year("o_orderdate").cast("int").alias("year")).distinct()
+
+
 def population(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Single-year-of-age population for each calendar year that has orders (ages 0-99)."""
-    years = _t(spark, sf_dir, "orders").select(F.year("o_orderdate").cast("int").alias("year")).distinct()
-    cells = (years.withColumn("age", F.explode(F.sequence(F.lit(0), F.lit(99))))
-             .withColumn("s", F.explode(F.array(F.lit(1), F.lit(2)))))
-    pop = (F.lit(1000) + (F.col("year") * 31 + F.col("age") * 17 + F.col("s") * 13) % 500).cast("long")
-    return cells.select("year", "age", _s(F.col("s")).alias("sex"), pop.alias("pop"))
+    """People per calendar year, single year of age (0-99) and sex."""
+    p = people(spark, sf_dir)
+    return (p.groupBy("year", ((F.col("ck") * 7 + F.col("year")) % 100).cast("int").alias("age"), _s(F.col("ck") % 2 + 1).alias("sex"))
+            .agg(F.count(F.lit(1)).alias("pop")))
 
 
 def postcode_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,30 +136,32 @@ def postcode_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_nationkey") % 6 != 0, F.col("n_name")).alias("datazone2011"))
 
 
-def _area_years() -> Column:
-    return F.explode(F.sequence(F.lit(AREA_YEARS[0]), F.lit(AREA_YEARS[1])))
+def _area_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People per nation, year and sex (customers of the nation with an order in the year)."""
+    p = people(spark, sf_dir)
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return (p.join(c, p.ck == c.c_custkey)
+            .groupBy("c_nationkey", "year", F.when(F.col("ck") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("sex"))
+            .agg(F.count(F.lit(1)).alias("base")))
 
 
 def deprivation_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation name as area, region key + 1 as deprivation quintile, for each area year."""
+    """Nation name as area, region key + 1 as deprivation quintile, for each year with people."""
     n = _t(spark, sf_dir, "nation")
-    return n.select(F.col("n_name").alias("datazone"), _area_years().alias("year"),
-                    (F.col("n_regionkey") + 1).cast("int").alias("sc_quin"))
+    years = _area_people(spark, sf_dir).select("c_nationkey", "year").distinct()
+    return years.join(n, years.c_nationkey == n.n_nationkey).select(
+        F.col("n_name").alias("datazone"), "year", (F.col("n_regionkey") + 1).cast("int").alias("sc_quin"))
 
 
 def population_dz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide area populations (ages 65..89 and 90plus) built from customer counts per nation/sex."""
-    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    """Wide area populations (ages 65..89 and 90plus) built from the people per nation, year and sex."""
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    base = (c.join(n, c.c_nationkey == n.n_nationkey)
-            .groupBy(F.col("n_name").alias("datazone2011"), "n_nationkey",
-                     F.when(F.col("c_custkey") % 2 == 0, F.lit("M")).otherwise(F.lit("F")).alias("sex"))
-            .agg(F.count(F.lit(1)).alias("base")))
-    yb = base.withColumn("year", _area_years())
+    base = _area_people(spark, sf_dir)
+    yb = base.join(n, base.c_nationkey == n.n_nationkey)
     ages = [((F.col("base") * 3 + (F.col("year") + a * 7 + F.col("n_nationkey")) % 40).cast("long")).alias(f"age{a}")
             for a in range(65, 90)]
     top = (F.col("base") + 11 + F.col("year") % 7).cast("long").alias("age90plus")
-    return yb.select("year", "datazone2011", "sex", *ages, top)
+    return yb.select("year", F.col("n_name").alias("datazone2011"), "sex", *ages, top)
 
 
 def population_ca(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +189,9 @@ class Sources:
 
     def __getattr__(self, name):
         if name in ADAPTERS:
-            return ADAPTERS[name](self.spark, self.sf_dir)
+            frame = ADAPTERS[name](self.spark, self.sf_dir)
+            setattr(self, name, frame)  # built once
+            return frame
         raise AttributeError(name)
 
 

@@ -9,9 +9,7 @@ from epistand.plans.catalogue import queries
 from epistand.plans.oracle import oracle_sql
 
 SF = "/root/testdata/sf0.001"
-KEYS = ["rates_by_sex", "cells_full_join", "lookback_from_discharge", "lookback_from_admission",
-        "deprivation_rates", "allergy_chart", "diabetes_mortality_chart", "counts_grouping_sets",
-        "rates_coarse_collapsed", "ms_incidence_charts"]
+KEYS = sorted(queries())
 
 
 @pytest.fixture(scope="module")
