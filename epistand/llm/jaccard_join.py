@@ -200,29 +200,35 @@ class JaccardJoin:
         return self.docs.mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sketch array<long>, hashes array<long>, prefix array<long>")
 
     def sets(self, needed: DataFrame, common) -> DataFrame:
-        """(cid, s): the whole sets of the classes in ``needed`` (cid, d1, d2), from the texts."""
+        """(cid, s): the whole sets of the classes in ``needed`` (cid, low, d1, d2), each from the
+        text of its smallest key, so that copies are neither sent nor stored."""
         n, bits = self.n, self.bits
-        wanted = self.spark.sparkContext.broadcast(bit_set(needed.select(F.shiftrightunsigned("d1", 64 - HASH_BITS).alias("h")), "h", bits))
+        mark = F.col("d1").bitwiseXOR(F.shiftleft(F.coalesce("low", F.lit(0).cast("long")), 40))
+        wanted = self.spark.sparkContext.broadcast(bit_set(needed.select(F.shiftrightunsigned(mark, 64 - HASH_BITS).alias("h")), "h", bits))
 
         def run(batches):
             for batch in batches:
-                for _, _, g, sizes in shingle_sets(batch["text"], n):
+                for lo, hi, g, sizes in shingle_sets(batch["text"], n):
                     d1, d2 = set_digests(g, sizes)
-                    want = in_bit_set(wanted.value, d1.view(np.uint64) >> np.uint64(64 - HASH_BITS), bits) & (sizes > 0)
-                    _, first = np.unique(np.stack([d1, d2]), axis=1, return_index=True)
-                    one = np.zeros(len(sizes), bool)
-                    one[first] = True
-                    want &= one
+                    keys = batch["doc_id"].slice(lo, hi - lo)
+                    at = keys.fill_null(0).to_numpy().view(np.uint64) << np.uint64(40)
+                    want = in_bit_set(wanted.value, (d1.view(np.uint64) ^ at) >> np.uint64(64 - HASH_BITS), bits) & (sizes > 0)
                     if not want.any():
                         continue
                     g = g[np.repeat(want, sizes)]
                     g, _ = ordered(g, sizes[want], common.value, bits)
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes[want])]).astype(np.int32)), pa.array(g.view(np.int64)))
-                    yield pa.RecordBatch.from_arrays([pa.array(d1[want]), pa.array(d2[want]), lists], ["d1", "d2", "s"])
-
-        found = self.docs.select("text").mapInArrow(run, "d1 long, d2 long, s array<long>")
-        found = found.groupBy("d1", "d2").agg(F.any_value("s").alias("s"))
-        return needed.join(found, ["d1", "d2"]).select("cid", "s")
+                    yield pa.RecordBatch.from_arrays([keys.filter(pa.array(want)), pa.array(d1[want]), pa.array(d2[want]), lists],
+                                                     ["doc_id", "d1", "d2", "s"])
+
+        found = self.docs.mapInArrow(run, "doc_id long, d1 long, d2 long, s array<long>").withColumnsRenamed({"d1": "f1", "d2": "f2"})
+        same = (F.col("d1") == F.col("f1")) & (F.col("d2") == F.col("f2")) & F.col("low").eqNullSafe(F.col("doc_id"))
+        sets = shared_table(found.join(needed, same).select("cid", "s"), "sets")
+        # rows that repeat both key and text
+        again = shared_table(sets.groupBy("cid").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("cid"), "again")
+        if again.isEmpty():
+            return sets
+        return shared_table(sets.join(again, "cid", "left_anti").union(sets.join(again, "cid").groupBy("cid").agg(F.any_value("s"))), "sets")
 
     def enough(self, overlap, a, b):
         return overlap * (self.num + self.den) >= (a + b) * self.num
@@ -248,8 +254,8 @@ class JaccardJoin:
         """Pairs (x, y, nx, ny) with their overlap, from the whole sets, and both differences (dx, dy)
         of highly similar ones."""
         needed = pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct()
-        needed = shared_table(needed.join(classes.select("cid", "d1", "d2"), "cid"), "needed")
-        sets = shared_table(self.sets(needed, common), "sets")
+        needed = shared_table(needed.join(classes.select("cid", "low", "d1", "d2"), "cid"), "needed")
+        sets = self.sets(needed, common)
         p = (pairs.join(sets.select(F.col("cid").alias("x"), F.col("s").alias("sx")), "x")
              .join(sets.select(F.col("cid").alias("y"), F.col("s").alias("sy")), "y"))
         p = p.withColumns({"dx": F.array_except("sx", "sy"), "dy": F.array_except("sy", "sx")}).drop("sx", "sy")
