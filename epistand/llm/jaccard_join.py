@@ -4,8 +4,8 @@ Documents with equal sets are one class from the start. Sets are compared in one
 their n-grams (common ones last, then by hash); two sets can only link if their prefixes of length
 n - ceil(t n) + 1 share an n-gram, so the index lists hold prefix n-grams with position and size.
 
-* Index skipping: a list is cut into blocks by set size, lists with one entry are dropped before
-  any shuffle of postings, and a pair is skipped when sizes, positions, parity sketches, or the
+* Index skipping: a list is cut into blocks by set size, postings with no other in their own or a
+  neighbouring block are dropped before any shuffle of postings, and a pair is skipped when sizes, positions, parity sketches, or the
   n-grams missing within the common part of both prefixes leave too little for the threshold.
 * Answer skipping: first every block compares its members with one leader only (linear in the
   postings). A member linked with the leader has the leader's answers: members of one component
@@ -92,7 +92,7 @@ def bit_set(values: DataFrame, column: str, bits: int):
     whole = np.zeros(1 << (bits - 3), np.uint8)
     width = 1 << (_CHUNK_BITS - 3)
     chunks = dealt.distinct().repartition(n, "chunk").mapInArrow(fill, "chunk int, bits binary")
-    for r in chunks.toLocalIterator():
+    for r in chunks.collect():  # 2**(bits - 3) bytes at most
         whole[r["chunk"] * width:(r["chunk"] + 1) * width] |= np.frombuffer(r["bits"], np.uint8)
     return whole
 
@@ -112,6 +112,73 @@ def ordered(g: np.ndarray, sizes: np.ndarray, common: list[np.ndarray], bits: in
     return g[np.lexsort((g, row))], row
 
 
+def cells(t: np.ndarray, block: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of an n-gram in its two cells: blocks (0, 1), (2, 3), ... and (1, 2), (3, 4), ...
+
+    Postings of the same or of neighbouring blocks have a cell in common."""
+    tag = lambda c, odd: ((c << 1) | odd).astype(np.uint64) * _SALT
+    return tuple(mix64(t ^ tag((block + odd) >> 1, odd)) >> np.uint64(64 - bits) for odd in (0, 1))
+
+
+def crowded_cells(classes: DataFrame, ratio: float, bits: int) -> np.ndarray:
+    """Bit set (2**bits bits, a fixed size) of the cells with more than one posting.
+
+    Positions travel as 16-bit offsets in chunks. Like ``bit_set`` it may say yes wrongly, never no."""
+
+    def pack(found):
+        at = np.sort(np.concatenate(found))
+        keep = np.ones(len(at), bool)
+        keep[2:] = at[2:] != at[:-2]
+        at = at[keep]
+        chunk, first = np.unique(at >> np.uint64(_CHUNK_BITS), return_index=True)
+        parts = np.split((at & np.uint64((1 << _CHUNK_BITS) - 1)).astype("<u2"), first[1:])
+        return pa.RecordBatch.from_arrays([pa.array(chunk.astype(np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())], ["chunk", "bits"])
+
+    def deal(batches):
+        found, size = [], 0
+        for batch in batches:
+            t, row, block, _ = flat_prefixes(batch, ratio)
+            found.extend(cells(t, block[row], bits))
+            size += 2 * len(t)
+            if size >= 4_000_000:
+                yield pack(found)
+                found, size = [], 0
+        if size:
+            yield pack(found)
+
+    def count(batches):
+        at, once, twice = None, None, None
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([np.packbits(twice, bitorder="little").tobytes()], pa.binary())],
+                                                  ["chunk", "bits"])
+        for batch in batches:
+            for chunk, body in zip(batch["chunk"].to_pylist(), batch["bits"]):
+                if chunk != at:
+                    if at is not None and twice.any():
+                        yield done()
+                    at, once, twice = chunk, np.zeros(1 << _CHUNK_BITS, bool), np.zeros(1 << _CHUNK_BITS, bool)
+                offset = np.frombuffer(body.as_py(), "<u2")
+                twice[offset[once[offset]]] = True
+                twice[offset[1:][offset[1:] == offset[:-1]]] = True
+                once[offset] = True
+        if at is not None and twice.any():
+            yield done()
+
+    n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = classes.select("n", "prefix").mapInArrow(deal, "chunk int, bits binary").repartition(n, "chunk").sortWithinPartitions("chunk")
+    whole = np.zeros(1 << (bits - 3), np.uint8)
+    width = 1 << (_CHUNK_BITS - 3)
+    for r in dealt.mapInArrow(count, "chunk int, bits binary").collect():  # 2**(bits - 3) bytes at most
+        whole[r["chunk"] * width:(r["chunk"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
+    return whole
+
+
+def flat_prefixes(batch: pa.RecordBatch, ratio: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The prefix n-grams of all rows, each one's row, the rows' blocks (by set size) and prefix lengths."""
+    size = np.diff(batch["prefix"].offsets.to_numpy())
+    block = np.floor(np.log(batch["n"].to_numpy()) / ratio).astype(np.int64)
+    return batch["prefix"].flatten().to_numpy().view(np.uint64), np.repeat(np.arange(len(size)), size), block, size
+
+
 def min_hashes(g: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """MINHASHES smallest mixed members per row; two sets share each with probability Jaccard."""
     out = np.zeros((len(sizes), MINHASHES), np.uint64)
@@ -283,27 +350,24 @@ class JaccardJoin:
         return matched.union(empty).withColumnRenamed("n", "n_shingles")
 
     def links(self, classes: DataFrame, common) -> DataFrame:
-        ratio, bits = math.log(self.den / self.num), self.bits
-        counts = (classes.select(F.explode("prefix").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
-        low = (1 << HASH_BITS) - 1
-        shared = self.spark.sparkContext.broadcast(bit_set(counts.select(F.col("t").bitwiseAND(low).alias("h")), "h", bits))
+        ratio, bits = math.log(self.den / self.num), self.bits + 2
+        crowded = self.spark.sparkContext.broadcast(crowded_cells(classes, ratio, bits))
 
         def postings(batches):
             for batch in batches:
-                col = batch["prefix"]
-                size = np.diff(col.offsets.to_numpy())
-                t = col.flatten().to_numpy().view(np.uint64)
-                at = np.flatnonzero(in_bit_set(shared.value, t & np.uint64(low), bits))
-                row = np.repeat(np.arange(len(size)), size)
+                t, row, block, size = flat_prefixes(batch, ratio)
+                here, next_ = cells(t, block[row], bits)
+                shift = np.uint64(HASH_BITS - bits)
+                at = np.flatnonzero(in_bit_set(crowded.value, here << shift, bits) | in_bit_set(crowded.value, next_ << shift, bits))
                 pos = np.arange(len(t)) - np.repeat(np.cumsum(size) - size, size)
                 for lo in range(0, len(at), 50_000):
                     a = at[lo:lo + 50_000]
                     take = pa.array(row[a])
-                    yield pa.RecordBatch.from_arrays([pa.array(t[a].view(np.int64)), pa.array(pos[a].astype(np.int32)),
-                                                      *(batch[c].take(take) for c in ("cid", "n", "sketch"))], ["t", "pos", "cid", "n", "sketch"])
+                    yield pa.RecordBatch.from_arrays([pa.array(t[a].view(np.int64)), pa.array(pos[a].astype(np.int32)), pa.array(block[row[a]].astype(np.int32)),
+                                                      *(batch[c].take(take) for c in ("cid", "n", "sketch"))], ["t", "pos", "block", "cid", "n", "sketch"])
 
-        lists = classes.select("cid", "n", "sketch", "prefix").mapInArrow(postings, "t long, pos int, cid long, n long, sketch array<long>")
-        lists = shared_table(lists.withColumn("block", F.floor(F.log("n") / ratio).cast("int")), "lists")
+        lists = classes.select("cid", "n", "sketch", "prefix").mapInArrow(postings, "t long, pos int, block int, cid long, n long, sketch array<long>")
+        lists = shared_table(lists, "lists")
 
         # 1. every member against its block's leaders
         entry = F.struct("cid", "n", "pos", "sketch")
@@ -415,7 +479,8 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     wordless texts have an empty set and link with nothing; equal texts and repeated rows share a
     component; NULL keys are ignored in the smallest (component_id is NULL if all are). Extra
     columns are ignored; an empty table gives no rows. ``common`` (limits of the frequency
-    classes, at most three) and ``bits`` (size of each bit set, 8 MB) steer only the work."""
+    classes, at most three) and ``bits`` (size of each bit set, 8 MB; four times that for the
+    index cells) steer only the work."""
     return JaccardJoin(docs, key, text, words, num, den, common, bits).run()
 
 
