@@ -34,6 +34,7 @@ HASH_BITS = 60  # of an n-gram; its frequency class stands above them
 SKETCH_WORDS = 4  # 64-bit words of a set's parity sketch
 MINHASHES = 4
 LEADERS = 4  # of each block: the members that come first in as many fixed random orders
+STRIP = 3  # neighbouring blocks dealt together where all open pairs are met
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -371,7 +372,7 @@ class JaccardJoin:
 
         # 1. every member against its block's leaders
         entry = F.struct("cid", "n", "pos", "sketch")
-        first_of = [F.min_by(entry, F.struct(F.xxhash64(F.lit(i), "cid"), "cid")) for i in range(LEADERS)]
+        first_of = [F.min_by(entry, F.xxhash64(F.lit(i), "cid")) for i in range(LEADERS)]
         lead = shared_table(lists.groupBy("t", "block").agg(F.count(F.lit(1)).alias("k"), F.array_distinct(F.array(*first_of)).alias("leads"))
                             .where("k > 1").drop("k"), "leaders")
         star = (lists.join(lead.select("t", "block", F.explode("leads").alias("lead")), ["t", "block"]).where("cid <> lead.cid")
@@ -406,16 +407,17 @@ class JaccardJoin:
         linked = shared_table(linked.union(near), "linked")
 
         # 3. all pairs of different components that are still open
-        leaders = lead.select("t", "block", F.transform("leads", lambda x: x["cid"]).alias("leads"))
-        mixed = self.mixed_lists(lists, linked).join(leaders, ["t", "block"], "left")
-        mixed = shared_table(mixed.withColumn("leads", F.coalesce("leads", F.array().cast("array<long>"))), "mixed")
+        leaders = lead.select("t", "block", F.explode("leads.cid").alias("cid"), F.lit(True).alias("leads"))
+        mixed = self.mixed_lists(lists, linked).join(leaders, ["t", "block", "cid"], "left")
+        mixed = shared_table(mixed.withColumn("leads", F.coalesce("leads", F.lit(False))), "mixed")
         side = ("cid", "n", "pos", "sketch", "block", "comp", "leads")
+        strip = lambda c: F.floor(c / STRIP).cast("int")
         a = mixed.where("comp <> main").select("t", *[F.col(c).alias(f"a_{c}") for c in side])
-        b = mixed.select("t", F.col("block").alias("at"), "main", *[F.col(c).alias(f"b_{c}") for c in side])
+        b = mixed.select("t", strip(F.col("block")).alias("at"), "main", *[F.col(c).alias(f"b_{c}") for c in side])
         # sets that can link stand in the same block or in neighbouring ones
-        a = a.withColumn("at", F.explode(F.array(*[F.col("a_block") + i for i in (-1, 0, 1)])))
+        a = a.withColumn("at", F.explode(F.array_distinct(F.array(*[strip(F.col("a_block") + i) for i in (-1, 1)]))))
         apart = ((F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("main")) | (F.col("a_cid") < F.col("b_cid")))
-                 & ~((F.col("a_block") == F.col("b_block")) & (F.array_contains("a_leads", F.col("a_cid")) | F.array_contains("a_leads", F.col("b_cid"))))
+                 & ~((F.col("a_block") == F.col("b_block")) & (F.col("a_leads") | F.col("b_leads")))
                  & self.sizes_fit(F.col("a_n"), F.col("b_n")) & self.may_link("a_pos", "a_n", "a_sketch", "b_pos", "b_n", "b_sketch"))
         first_is_a = F.col("a_cid") < F.col("b_cid")
         rest = (a.join(b, ["t", "at"]).where(apart)
