@@ -339,8 +339,7 @@ class JaccardJoin:
         classes = some.groupBy("n", "d1", "d2").agg(F.any_value(F.struct("sketch", "hashes", "prefix")).alias("v"), F.min("doc_id").alias("low"))
         classes = classes.select("n", "d1", "d2", "v.sketch", "v.hashes", "v.prefix", "low", F.monotonically_increasing_id().alias("cid"))
         classes = shared_table(classes, "classes")
-        links = self.links(classes, common)
-        component = connected_components(links, "x", "y")
+        component = self.components(classes, common)
         lowest = (classes.select(F.col("cid").alias("id"), "low").join(component, "id").groupBy("component_id")
                   .agg(F.min("low").alias("lowest")))
         component = component.join(lowest, "component_id").select("id", "lowest")
@@ -350,7 +349,8 @@ class JaccardJoin:
         empty = per_doc.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
         return matched.union(empty).withColumnRenamed("n", "n_shingles")
 
-    def links(self, classes: DataFrame, common) -> DataFrame:
+    def components(self, classes: DataFrame, common) -> DataFrame:
+        """(id, component_id) of the classes that are linked with others."""
         ratio, bits = math.log(self.den / self.num), self.bits + 2
         crowded = self.spark.sparkContext.broadcast(crowded_cells(classes, ratio, bits))
 
@@ -386,7 +386,7 @@ class JaccardJoin:
                  .select(F.least("lead.cid", "cid").alias("x"), F.greatest("lead.cid", "cid").alias("y")))
         star = shared_table(self.prefix_filter(star.union(alike).distinct(), classes), "star")
         first = shared_table(self.compare(star, classes, common), "compared")
-        linked = first.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y")
+        label = connected_components(first.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))), "x", "y")
         # each member's differences to one leader: the smaller end of its highly similar pairs
         none = F.array().cast("array<long>")
         close = first.where("dx is not null")
@@ -398,17 +398,17 @@ class JaccardJoin:
 
         # 2. members outside their list's main component against another member of that, by both
         # sets' differences to a common leader; each list has a member of its own for this
-        mixed = shared_table(self.mixed_lists(lists.select("t", "cid", "n"), linked).join(known.select("cid", "leader"), "cid"), "mixed")
+        mixed = shared_table(self.mixed_lists(lists.select("t", "cid", "n"), label).join(known.select("cid", "leader"), "cid"), "mixed")
         other = (mixed.where("comp = main and leader is not null").groupBy("t", "leader")
                  .agg(F.min_by(F.struct("cid", "n"), F.xxhash64("t", "cid")).alias("o")))
         near = (mixed.where("comp <> main and leader is not null").join(other, ["t", "leader"]).where(self.sizes_fit(F.col("n"), F.col("o.n")))
                 .select(F.col("o.cid").alias("x"), F.col("cid").alias("y"), F.col("o.n").alias("nx"), F.col("n").alias("ny")).distinct())
         near = self.derive(near, known).where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y")
-        linked = shared_table(linked.union(near), "linked")
+        label = merged_components(label, near)
 
         # 3. all pairs of different components that are still open
         leaders = lead.select("t", "block", F.explode("leads.cid").alias("cid"), F.lit(True).alias("leads"))
-        mixed = self.mixed_lists(lists, linked).join(leaders, ["t", "block", "cid"], "left")
+        mixed = self.mixed_lists(lists, label).join(leaders, ["t", "block", "cid"], "left")
         mixed = shared_table(mixed.withColumn("leads", F.coalesce("leads", F.lit(False))), "mixed")
         side = ("cid", "n", "pos", "sketch", "block", "comp", "leads")
         strip = lambda c: F.floor(c / STRIP).cast("int")
@@ -425,17 +425,17 @@ class JaccardJoin:
                         F.when(first_is_a, F.col("a_n")).otherwise(F.col("b_n")).alias("nx"),
                         F.when(first_is_a, F.col("b_n")).otherwise(F.col("a_n")).alias("ny")).distinct())
         rest = shared_table(self.derive(rest, known), "rest")
-        linked = linked.union(rest.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y"))
+        late = rest.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y")
         open_ = shared_table(self.prefix_filter(rest.where("overlap is null").select("x", "y"), classes), "open")
         if not open_.isEmpty():
             second = self.compare(open_, classes, common)
-            linked = linked.union(second.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y"))
-        return shared_table(linked, "joined")
+            late = late.union(second.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y"))
+        return merged_components(label, late)
 
-    def mixed_lists(self, lists: DataFrame, linked: DataFrame) -> DataFrame:
+    def mixed_lists(self, lists: DataFrame, label: DataFrame) -> DataFrame:
         """Postings of the lists with several components, with component and the list's main (most
         frequent) one."""
-        label = connected_components(linked, "x", "y").withColumnRenamed("id", "cid")
+        label = label.withColumnRenamed("id", "cid")
         comp = lambda df: df.join(label, "cid", "left").withColumn("comp", F.coalesce("component_id", "cid")).drop("component_id")
         main = (comp(lists.select("t", "cid")).groupBy("t", "comp").agg(F.count(F.lit(1)).alias("k")).groupBy("t")
                 .agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1"))
@@ -460,6 +460,17 @@ class JaccardJoin:
                 & (differ * (self.den + self.num) <= (F.col(n_a) + F.col(n_b)) * (self.den - self.num)))
 
 
+def merged_components(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (id, component_id) after more links (x, y): only the components that these join
+    are searched again, as single nodes."""
+    of = lambda c: label.select(F.col("id").alias(c), F.col("component_id").alias(f"{c}_root"))
+    joined = links.join(of("x"), "x", "left").join(of("y"), "y", "left")
+    top = connected_components(joined.select(F.coalesce("x_root", "x").alias("a"), F.coalesce("y_root", "y").alias("b")))
+    moved = label.join(top.select(F.col("id").alias("component_id"), F.col("component_id").alias("top")), "component_id", "left")
+    moved = moved.select("id", F.coalesce("top", "component_id").alias("component_id"))
+    return shared_table(moved.union(top.join(label, "id", "left_anti").select("id", "component_id")), "labels")
+
+
 def set_digests(g: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two 64-bit sums over mixed members, per row."""
     out = []
