@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from epistand.llm.common import connected_components, mix64, ngram_hashes, shared_table, text_blocks, word_hashes
 
 _CHUNK_BITS = 16  # a bit set is dealt in chunks of 8 KB
+_PARTS = 8  # leading bits of a cell's position that deal the counting
 HASH_BITS = 60  # of an n-gram; its frequency class stands above them
 SKETCH_WORDS = 4  # 64-bit words of a set's parity sketch
 MINHASHES = 4
@@ -124,22 +125,26 @@ def cells(t: np.ndarray, block: np.ndarray, bits: int) -> tuple[np.ndarray, np.n
 def crowded_cells(classes: DataFrame, ratio: float, bits: int) -> np.ndarray:
     """Bit set (2**bits bits, a fixed size) of the cells with more than one posting.
 
-    Positions travel as 16-bit offsets in chunks. Like ``bit_set`` it may say yes wrongly, never no."""
+    Cells are counted at 16 times its resolution, in 2**_PARTS parts; positions within a part travel
+    sorted, three bytes each, by byte planes. It may say yes wrongly, never no."""
+    width = bits + 4 - _PARTS  # bits of a position within its part, at most 24
+    planes = range(3)
 
     def pack(found):
         at = np.sort(np.concatenate(found))
         keep = np.ones(len(at), bool)
         keep[2:] = at[2:] != at[:-2]
         at = at[keep]
-        chunk, first = np.unique(at >> np.uint64(_CHUNK_BITS), return_index=True)
-        parts = np.split((at & np.uint64((1 << _CHUNK_BITS) - 1)).astype("<u2"), first[1:])
-        return pa.RecordBatch.from_arrays([pa.array(chunk.astype(np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())], ["chunk", "bits"])
+        part, first = np.unique(at >> np.uint64(width), return_index=True)
+        lists = np.split((at & np.uint64((1 << width) - 1)).astype(np.uint32), first[1:])
+        body = [b"".join((x >> np.uint32(8 * i)).astype(np.uint8).tobytes() for i in planes) for x in lists]
+        return pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(body, pa.binary())], ["part", "body"])
 
     def deal(batches):
         found, size = [], 0
         for batch in batches:
             t, row, block, _ = flat_prefixes(batch, ratio)
-            found.extend(cells(t, block[row], bits))
+            found.extend(cells(t, block[row], bits + 4))
             size += 2 * len(t)
             if size >= 4_000_000:
                 yield pack(found)
@@ -149,27 +154,28 @@ def crowded_cells(classes: DataFrame, ratio: float, bits: int) -> np.ndarray:
 
     def count(batches):
         at, once, twice = None, None, None
-        done = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([np.packbits(twice, bitorder="little").tobytes()], pa.binary())],
-                                                  ["chunk", "bits"])
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array(
+            [np.packbits(twice.reshape(-1, 16).any(axis=1), bitorder="little").tobytes()], pa.binary())], ["part", "bits"])
         for batch in batches:
-            for chunk, body in zip(batch["chunk"].to_pylist(), batch["bits"]):
-                if chunk != at:
-                    if at is not None and twice.any():
+            for part, body in zip(batch["part"].to_pylist(), batch["body"]):
+                if part != at:
+                    if at is not None:
                         yield done()
-                    at, once, twice = chunk, np.zeros(1 << _CHUNK_BITS, bool), np.zeros(1 << _CHUNK_BITS, bool)
-                offset = np.frombuffer(body.as_py(), "<u2")
-                twice[offset[once[offset]]] = True
-                twice[offset[1:][offset[1:] == offset[:-1]]] = True
-                once[offset] = True
-        if at is not None and twice.any():
+                    at, once, twice = part, np.zeros(1 << width, bool), np.zeros(1 << width, bool)
+                plane = np.frombuffer(body.as_py(), np.uint8).reshape(3, -1).astype(np.uint32)
+                position = sum(plane[i] << np.uint32(8 * i) for i in planes)
+                twice[position[once[position]]] = True
+                twice[position[1:][position[1:] == position[:-1]]] = True
+                once[position] = True
+        if at is not None:
             yield done()
 
     n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = classes.select("n", "prefix").mapInArrow(deal, "chunk int, bits binary").repartition(n, "chunk").sortWithinPartitions("chunk")
+    dealt = classes.select("n", "prefix").mapInArrow(deal, "part int, body binary").repartition(n, "part").sortWithinPartitions("part")
     whole = np.zeros(1 << (bits - 3), np.uint8)
-    width = 1 << (_CHUNK_BITS - 3)
-    for r in dealt.mapInArrow(count, "chunk int, bits binary").collect():  # 2**(bits - 3) bytes at most
-        whole[r["chunk"] * width:(r["chunk"] + 1) * width] = np.frombuffer(r["bits"], np.uint8)
+    size = len(whole) >> _PARTS
+    for r in dealt.mapInArrow(count, "part int, bits binary").collect():  # 2**(bits - 3) bytes at most
+        whole[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(r["bits"], np.uint8)
     return whole
 
 
