@@ -402,12 +402,12 @@ class JaccardJoin:
                  .select("cid", "v.*"))
         known = shared_table(known, "known")
 
-        # 2. members outside their list's main component against another member of that, by both
-        # sets' differences to a common leader; each list has a member of its own for this
-        mixed = shared_table(self.mixed_lists(lists.select("t", "cid", "n"), label).join(known.select("cid", "leader"), "cid"), "mixed")
-        other = (mixed.where("comp = main and leader is not null").groupBy("t", "leader")
+        # 2. of the members with a leader, those outside the list's main component against another of
+        # that, by both sets' differences to a common leader; each list has a member of its own for this
+        mixed = shared_table(self.mixed_lists(lists.select("t", "cid", "n").join(known.select("cid", "leader"), "cid"), label), "mixed")
+        other = (mixed.where("comp = main").groupBy("t", "leader")
                  .agg(F.min_by(F.struct("cid", "n"), F.xxhash64("t", "cid")).alias("o")))
-        near = (mixed.where("comp <> main and leader is not null").join(other, ["t", "leader"]).where(self.sizes_fit(F.col("n"), F.col("o.n")))
+        near = (mixed.where("comp <> main").join(other, ["t", "leader"]).where(self.sizes_fit(F.col("n"), F.col("o.n")))
                 .select(F.col("o.cid").alias("x"), F.col("cid").alias("y"), F.col("o.n").alias("nx"), F.col("n").alias("ny")).distinct())
         near = self.derive(near, known).where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y")
         label = merged_components(label, near)
