@@ -315,7 +315,10 @@ class JaccardJoin:
 
         What one prefix has up to the end of the shorter-reaching one and the other lacks, the
         other set lacks."""
-        side = classes.select("cid", "n", "prefix")
+        pairs = shared_table(pairs, "pairs")
+        # the prefixes of classes in no pair aren't moved (Spark broadcasts the ids if small by its own limit)
+        ids = shared_table(pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct(), "ids")
+        side = classes.select("cid", "n", "prefix").join(ids, "cid", "left_semi")
         p = (pairs.join(side.select(F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("prefix").alias("px")), "x")
              .join(side.select(F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("prefix").alias("py")), "y"))
         p = p.withColumn("reach", F.least(F.element_at("px", -1), F.element_at("py", -1)))
