@@ -162,3 +162,30 @@ def test_mixing_meets_targets(spark, empty):
     assert np.allclose(report["after"], report["target"], rtol=1e-3)
     assert all(r.rate >= 0 and r.copies in (int(r.rate), int(r.rate) + 1) for r in got.collect())
     assert mixing.mix(empty, labels, labels["d"], {"a": 1.0})[0].count() == 0
+
+
+def test_lm_scores_keep_every_pair(spark):
+    # almost no false positives at this load; the filter needs far more than filter_bytes for all pairs
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["Sea", "sun", f"w{rng.randint(0, 400)}"]) for _ in range(rng.randint(0, 60)))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lm_score.score_texts(docs, docs["doc_id"] % 4 != 0, filter_bytes=1 << 12, load=0.02).collect()}
+    seqs = {i: ["<", *t.lower().split(), ">"] for i, t in rows}
+    single, pair = {}, {}
+    for s in (s for i, s in seqs.items() if i % 4):
+        for a, b in zip(s, s[1:], strict=False):
+            single[b] = single.get(b, 0) + 1
+            pair[a, b] = pair.get((a, b), 0) + 1
+
+    def middle(c):
+        q = next((q for q in range(1, 100) if 1.5 ** q > c), 0) if c else 0
+        return sum(lm_score.class_bounds(q, 1.5)) / 2 if q else 0.0
+
+    n, v = sum(single.values()), len(single)
+    for i, s in seqs.items():
+        want = 0.0
+        for a, b in zip(s, s[1:], strict=False):
+            context = single[">"] if a == "<" else middle(single.get(a, 0))
+            unigram = (middle(single.get(b, 0)) + 0.1) / (n + 0.1 * (v + 1))
+            want += np.log10(min(1.0, (min(middle(pair.get((a, b), 0)), context) + 5 * unigram) / (context + 5)))
+        assert got[i] == pytest.approx(want, abs=1e-6), i
