@@ -2,10 +2,14 @@
 
 Folding: compatibility characters, diacritics and Cyrillic or Greek look-alikes become Latin
 letters, digits and signs used for letters become those letters (1, l, | and ! all become i), and
-everything else separates words. The lexicon holds words whose presence separates toxic from
+everything else separates words. Such digits and signs at the edge of a word can be letters (1d10t)
+or punctuation (idiot!), so they are marked, and a word is read with any number of them left out on
+either side. The lexicon holds words whose presence separates toxic from
 other labelled texts, weighted by their log-odds. Exception phrases (a lexicon word with one fixed
 neighbour, seen mostly in texts that aren't toxic) cancel the word inside them. A text's score is a
-logistic function of its summed weights, their length-normalised sum and its largest weight.
+logistic function of its summed weights, their length-normalised sum and its largest weight; a word
+counts once, by its heaviest reading, and an exception phrase cancels it in all readings. The lexicon
+is learned from the readings with all or none of the edge signs on each side.
 
 Training reads at most about ``max_labelled`` labelled rows, chosen by a hash of the key (a
 documented bound of the classifier's sample). The lexicon has at most ``max_terms`` words.
@@ -14,6 +18,7 @@ documented bound of the classifier's sample). The lexicon has at most ``max_term
 from __future__ import annotations
 
 import math
+import re
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
@@ -35,6 +40,9 @@ LOOKALIKES = {
     "α": "a", "β": "b", "γ": "y", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "σ": "o", "τ": "t",
     "υ": "u", "χ": "x", "ω": "w", "ł": "i", "ø": "o", "đ": "d", "ı": "i", "ɑ": "a", "ɡ": "g",
 }
+EDGES = re.compile("^([A-Z]*).*?([A-Z]*)$", re.DOTALL)  # of a folded word
+MARKED = re.compile("[A-Z]")
+UNMARK = {c: c + 32 for c in range(65, 91)}
 INVISIBLE = "­​‌‍⁠﻿"
 
 
@@ -56,7 +64,8 @@ def fold_table() -> np.ndarray:
 
 def fold_texts(texts: list[str | None], table: np.ndarray) -> list[str]:
     """Folded texts: words separated and enclosed by single spaces. Signs that stand for letters
-    (digits, @, $, ! and |) count as letters only inside a word with at least one letter."""
+    (digits, @, $, ! and |) count as letters only inside a word with at least one letter; those before
+    its first or after its last letter are marked as capitals."""
     data = np.frombuffer("\n".join((t or "").replace("\n", " ") for t in texts).encode("utf-32-le", "replace"), "<u4")
     line = data == 10
     out = table[data]
@@ -67,6 +76,12 @@ def fold_texts(texts: list[str | None], table: np.ndarray) -> list[str]:
     run = np.cumsum(~word)
     has = np.zeros(run[-1] + 1 if len(run) else 1, bool)
     has[run[real]] = True
+    first, last = np.zeros(len(has), np.int64), np.zeros(len(has), np.int64)
+    at = np.flatnonzero(real)
+    first[run[at[::-1]]], last[run[at]] = at[::-1], at  # of several the last assigned stays
+    place = np.arange(len(out))
+    edge = word & plain & has[run] & ((place < first[run]) | (place > last[run]))
+    out = np.where(edge, out - 32, out)
     out = np.where(word & has[run], out, 32)
     out = np.where(out == 0, 0, out)
     out[line] = 10
@@ -75,37 +90,65 @@ def fold_texts(texts: list[str | None], table: np.ndarray) -> list[str]:
     return [f" {x.strip()} " for x in out.astype("<u4").tobytes().decode("utf-32-le").split("\n")]
 
 
+def readings(word: str) -> set[str]:
+    """The word with all or none of its edge signs on each side."""
+    if not MARKED.search(word):
+        return {word}
+    lead, trail = (len(x) for x in EDGES.match(word).groups())
+    word = word.translate(UNMARK)
+    return {word[a:len(word) - b] for a in (0, lead) for b in (0, trail)}
+
+
 @dataclass
 class ToxicityModel:
     terms: dict[str, float]  # folded word -> weight
     exceptions: set[str] = field(default_factory=set)  # "word word": cancels the lexicon word in it
     coefficients: np.ndarray | None = None  # intercept, sum, normalised sum, largest
-    _automaton: object = None
-
-    def automaton(self):
-        if self._automaton is None:
-            self._automaton = ahocorasick.Automaton()
-            for w, weight in self.terms.items():
-                self._automaton.add_word(f" {w} ", (weight, len(w) + 2))
-            for e in self.exceptions:
-                self._automaton.add_word(f" {e} ", (None, len(e) + 2))
-            if len(self._automaton):
-                self._automaton.make_automaton()
-        return self._automaton
+    _automata: object = None
+
+    def automata(self):
+        """Two automata of the lexicon and the words of exception phrases: between spaces, and bare."""
+        if self._automata is None:
+            self._automata = ahocorasick.Automaton(), ahocorasick.Automaton()
+            for w in {*self.terms, *(w for e in self.exceptions for w in e.split())}:
+                self._automata[0].add_word(f" {w} ", w)
+                self._automata[1].add_word(w, w)
+            for x in self._automata:
+                if len(x):
+                    x.make_automaton()
+        return self._automata
 
     def __getstate__(self):
-        return {**self.__dict__, "_automaton": None}
+        return {**self.__dict__, "_automata": None}
+
+    def matches(self, folded: str, words: list[str]) -> dict[int, set[str]]:
+        """Word number -> its readings that the automata hold."""
+        spaced, bare = self.automata()
+        hits: dict[int, set[str]] = {}
+        if not len(spaced):
+            return hits
+        number, at = -1, 0
+        for end, w in spaced.iter(folded):
+            start = end - len(w)  # of the word after its space
+            number, at = number + folded.count(" ", at, start), start
+            hits.setdefault(number, set()).add(w)
+        if MARKED.search(folded):
+            for i, word in enumerate(words):
+                if MARKED.search(word):
+                    lead, trail = (len(x) for x in EDGES.match(word).groups())
+                    for end, w in bare.iter(word.translate(UNMARK)):
+                        if end + 1 - len(w) <= lead and end + 1 >= len(word) - trail:
+                            hits.setdefault(i, set()).add(w)
+        return hits
 
     def features(self, folded: str) -> tuple[float, float, float]:
-        found, cancelled = [], []
-        if len(self.automaton()):
-            for end, (weight, length) in self.automaton().iter(folded):
-                (cancelled.append((end - length + 1, end)) if weight is None else found.append((end - length + 1, end, weight)))
-        if cancelled:
-            found = [(a, b, w) for a, b, w in found if not any(c <= a and b <= d for c, d in cancelled)]
-        total = float(sum(w for _, _, w in found))
-        words = max(folded.count(" ") - 1, 1)
-        return total, total / math.sqrt(words), max([0.0, *(w for _, _, w in found)])
+        words = folded.split()
+        hits = self.matches(folded, words)
+        cancelled = {k for i in hits for k in (i, i + 1)
+                     if any(f"{a} {b}" in self.exceptions for a in hits[i] for b in hits.get(i + 1, ()))}
+        found = [max(self.terms.get(w, 0.0) for w in x) for i, x in hits.items() if i not in cancelled]
+        total = float(sum(found))
+        return total, total / math.sqrt(max(len(words), 1)), max([0.0, *found])
 
     def score(self, features: np.ndarray) -> np.ndarray:
         c = self.coefficients
@@ -164,7 +207,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
         model.terms = {r["gram"]: float(r["w"]) for r in best}
         rate = {r["gram"]: r["tox"] / r["n"] for r in best}
         phrases = _counts(rows, table, set(model.terms)).where("n >= 8").collect() if best else []
-        model.exceptions = {" ".join(fold_texts([e], table.value)[0].split()) for e in exceptions}
+        model.exceptions = {" ".join(fold_texts([e], table.value)[0].translate(UNMARK).split()) for e in exceptions}
         for r in phrases:
             word = max((rate.get(w, 0) for w in r["gram"].split()))
             if r["tox"] / r["n"] < 0.1 * word:
@@ -177,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
 
 
 def _counts(rows: DataFrame, table, terms: set[str] | None) -> DataFrame:
-    """(gram, texts, toxic texts): words, or word pairs that hold one of ``terms``."""
+    """(gram, texts, toxic texts): readings of words, or pairs of them that hold one of ``terms``."""
 
     def count(batches):
         n, tox = Counter(), Counter()
@@ -185,9 +228,9 @@ def _counts(rows: DataFrame, table, terms: set[str] | None) -> DataFrame:
             y, done = batch["y"].to_pylist(), 0
             for part in text_parts(batch["text"]):
                 for t in fold_texts(part, table.value):
-                    words = t.split()
-                    grams = set(words) if terms is None else {f"{a} {b}" for a, b in zip(words, words[1:], strict=False)
-                                                              if a in terms or b in terms}
+                    words = [readings(w) for w in t.split()]
+                    grams = set().union(*words) if terms is None else {
+                        f"{a} {b}" for x, y in zip(words, words[1:], strict=False) for a in x for b in y if a in terms or b in terms}
                     n.update(grams)
                     if y[done]:
                         tox.update(grams)

@@ -189,3 +189,13 @@ def test_lm_scores_keep_every_pair(spark):
             unigram = (middle(single.get(b, 0)) + 0.1) / (n + 0.1 * (v + 1))
             want += np.log10(min(1.0, (min(middle(pair.get((a, b), 0)), context) + 5 * unigram) / (context + 5)))
         assert got[i] == pytest.approx(want, abs=1e-6), i
+
+
+@pytest.mark.parametrize("text", ["idiot!", "LOSER!!", "1d10t!!", "@idiot", "(L0SER!)", "such an idiot1 he is", "a $$loser$!"])
+def test_toxicity_signs_at_the_edge_of_a_word(text):
+    model = toxicity.ToxicityModel({"idiot": 2.0, "ioser": 2.0, "ioserii": 1.0}, {"idiot proof", "no ioser"})
+    folded = toxicity.fold_texts([text, f"no {text}", "idiotic l0sers, 1! x!idiot!"], toxicity.fold_table())
+    assert model.features(folded[0])[::2] == (2.0, 2.0)
+    assert model.features(folded[1])[0] == (2.0 if "oser" not in folded[0] or "a " in folded[0] else 0.0)
+    assert model.features(folded[2])[0] == 0.0
+    assert model.features(toxicity.fold_texts(["1d10t!! -proof!"], toxicity.fold_table())[0])[0] == 0.0
