@@ -216,7 +216,8 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     Every fifth sampled text is left out of the counts and calibrates: the temperature of the
     confidence, and per language the accepted deviation of cross-entropy (its ``tail`` quantile
     times ``slack``, at least 8 deviations, and never less than half the way to the entropy of evenly
-    dealt letters). More than ``max_langs`` labels are an error. No
+    dealt letters). A language with fewer than 20 rightly predicted calibration texts has that half way
+    as its whole limit, from the mean of those texts or, without any, of all languages'. More than ``max_langs`` labels are an error. No
     labelled row at all gives a model without languages."""
     rows = docs.select(docs[text].alias("text"), docs[lang].cast("string").alias("lang"),
                        docs[key].cast("string").alias("key"), (F.lit(True) if usable is None else usable).alias("ok"))
@@ -292,12 +293,14 @@ def _calibrate(model: LanguageModel, held: DataFrame, number: dict[str, int], ta
     z = sums - sums.max(1, keepdims=True)
     loss = {t: float(np.mean(np.log(np.exp(z / t).sum(1)) - z[np.arange(len(j)), j] / t)) for t in (1, 2, 4, 8, 16, 32)}
     model.temperature = float(min(loss, key=loss.get))
-    model.mean, model.spread, model.limit = np.zeros(width), np.ones(width), np.full(width, np.inf)
+    model.mean, model.spread, model.limit = np.zeros(width), np.ones(width), np.zeros(width)
     entropy = -sums[np.arange(len(j)), j] / n
     right = sums.argmax(1) == j
     for k in range(width):
         own = right & (j == k)
-        if own.sum() < 20:
+        if own.sum() < 20:  # too few for a quantile
+            some = next(x for x in (own, right, np.ones(len(j), bool)) if x.any())
+            model.mean[k] = np.average(entropy[some], weights=n[some])
             continue
         model.mean[k] = np.average(entropy[own], weights=n[own])
         dev = (entropy[own] - model.mean[k]) * np.sqrt(n[own])

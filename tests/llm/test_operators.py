@@ -199,3 +199,13 @@ def test_toxicity_signs_at_the_edge_of_a_word(text):
     assert model.features(folded[1])[0] == (2.0 if "oser" not in folded[0] or "a " in folded[0] else 0.0)
     assert model.features(folded[2])[0] == 0.0
     assert model.features(toxicity.fold_texts(["1d10t!! -proof!"], toxicity.fold_table())[0])[0] == 0.0
+
+
+def test_language_id_rejects_for_small_languages(spark):
+    rows = [(i, "the house and the garden by the sea " * 4, "en") for i in range(30)]
+    rows += [(100 + i, "das haus und der garten an der see " * 4, "de") for i in range(3)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    probe = spark.createDataFrame([(1, "zzrrzz ndndnd uuhhuu ssrrss ddtt " * 9), (2, "eeyyee bbnnbb ooggoo hhsshh ttyy " * 9), (3, "the house by the sea"),
+                                   (4, "der garten und das haus")], "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.identify(probe, model).collect()}
+    assert [got[i].lang_accepted for i in range(1, 5)] == [False, False, True, True], got
