@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epistand.llm.common import connected_components, shared_table
+from epistand.llm.common import connected_components, mix64, shared_table
 
 _SLACK = 1e-6  # keeps rounding from losing a pair at a bound
 _SINGLE = 1e-4  # single-precision products within this of the threshold are decided in double
@@ -213,7 +213,8 @@ def _join_cells(classes: DataFrame, cosine: float, cell_rows: int, max_pivots: i
             own = dot[np.arange(len(home)), home][:, None]
             copy = meets[home] & (blocks > 0) & (own - dot <= reach * between[home] + _SLACK)
             copy &= np.sqrt(np.maximum(0, 2 - 2 * dot)) <= radius + reach + _SLACK
-            block = reps % np.maximum(blocks[home], 1)
+            # by a hash: neighbouring copies of vectors would leave blocks empty
+            block = (mix64(reps.view(np.uint64)) % np.maximum(blocks[home], 1).astype(np.uint64)).astype(np.int64)
             rows, tasks, roles = [np.arange(len(home))], [first_task[home] + block], [np.zeros(len(home), np.int32)]
             for cell in range(k):
                 there = np.flatnonzero(copy[:, cell])
@@ -248,7 +249,7 @@ def _join_cells(classes: DataFrame, cosine: float, cell_rows: int, max_pivots: i
             rep, mult = batch["rep"].to_numpy(), batch["mult"].to_numpy()
             for a, b in zip([0, *cuts], [*cuts, len(t)], strict=True):
                 if t[a] != task:
-                    if block is not None:
+                    if block is not None and (closed or block.ids):
                         if not closed:
                             block.close()
                         yield from emit(block.finish())

@@ -209,3 +209,12 @@ def test_language_id_rejects_for_small_languages(spark):
                                    (4, "der garten und das haus")], "doc_id long, text string")
     got = {r.doc_id: r for r in langid.identify(probe, model).collect()}
     assert [got[i].lang_accepted for i in range(1, 5)] == [False, False, True, True], got
+
+
+def test_vectors_stored_twice_in_a_row(spark):
+    x = np.random.default_rng(2).normal(size=(60, 8))  # representatives are all even
+    df = spark.createDataFrame([(i, [float(v) for v in x[i // 2]]) for i in range(120)], "vec_id long, embedding array<double>").coalesce(1)
+    got = {r.vec_id: r for r in vector_join.link_vectors(df, cell_rows=1000, block_rows=2).collect()}
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    link = u @ u.T >= 0.9
+    assert [got[i].n_links for i in range(120)] == [2 * int(link[i // 2].sum()) - 1 for i in range(120)]
