@@ -1,8 +1,10 @@
-"""Exact dedup by a tree-merge of digest runs, in DataFrame operations only.
+"""Exact dedup by a tree of grouped digest aggregates, in DataFrame operations only.
 
-Each input partition makes a sorted run of (digest, best row, copies). Runs meet in binomial
-rounds: in round r the runs whose numbers agree after division by ``fan_in ** r`` are merged
-multiway, and each level keeps, per digest, the verified row that stays and the number of copies.
+Each input partition makes a run of (digest, best row, copies). In round r the runs whose numbers
+agree after division by ``fan_in ** r`` are aggregated by (run, digest), with a shuffle a level;
+nothing is sorted. Grouping stands in for a merge of sorted runs because DataFrame operations have
+no merge of two sorted partitions. Each level keeps, per digest, the verified row that stays and
+the number of copies.
 A level's merge is dealt out by (run, digest), so no task holds a whole run, and a digest with a
 third of all rows is one entry per run from the first level on. The results then travel back down
 the same tree, so that the final join has keys (run, digest) too and never one hot digest.
