@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epistand.llm import exact_dedup, jaccard_join, langid, lm_score, mixing, pii, sentencepiece_ffbs, toxicity, vector_join, warc
+from epistand.llm import exact_dedup, jaccard_join, langid, lm_score, mixing, pii, sentencepiece_ffbs, token_files, toxicity, vector_join, warc
 from epistand.llm.common import fold_of, table
 from epistand.session import ensure_checkpoint_dir
 
@@ -80,6 +80,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_ffbs.encode(docs).select("doc_id", "n_pieces", "piece_ids", "lossless")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-tokens-{uuid.uuid4().hex}"
+    return token_files.roundtrip(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -91,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_vector_join": op8_vector_join,
     "op9_toxicity": op9_toxicity,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_token_files": op11_token_files,
 }
 
 _SHA = "sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"
