@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from epistand.llm import exact_dedup, jaccard_join, langid, lm_score, mixing, pii, sentencepiece_ffbs, spelling, token_files, toxicity, vector_join, warc
+from epistand.llm import conversations, exact_dedup, jaccard_join, langid, lm_score, mixing, pii, sentencepiece_ffbs, spelling, token_files, toxicity, vector_join, warc
 from epistand.llm.common import fold_of, table
 from epistand.session import ensure_checkpoint_dir
 
@@ -91,6 +91,10 @@ def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_variants(spelling.count_words(table(spark, sf_dir, "documents")))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -104,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sentencepiece": op10_sentencepiece,
     "op11_token_files": op11_token_files,
     "op12_spelling": op12_spelling,
+    "op13_conversations": op13_conversations,
 }
 
 _SHA = "sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))"
