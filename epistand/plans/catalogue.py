@@ -27,7 +27,7 @@ from epistand.operators.residency import resident_by_lookup, treated_in_board
 from epistand.operators.standardise import band_rates, pooled_both_sexes, rates_within_bands, standardised_rates
 from epistand.params import (ASTHMA_BANDS, ASTHMA_STAY_CODES, COPD_BANDS, COPD_DEATH_CODES, COPD_STAY_CODES,
                              DIABETES_BANDS, DIABETES_CODES, EPILEPSY_BANDS, EPILEPSY_CODES, LookbackParams)
-from epistand.plans import allergy, asthma, causes, copd, diabetes, epilepsy, ms
+from epistand.plans import allergy, asthma, causes, copd, diabetes, epilepsy, ms, patient_plans, topic_masks
 from epistand.plans.incidence_topics import stacked_stays
 from epistand.sources import testdata
 from epistand.sources.testdata import Sources
@@ -253,6 +253,40 @@ def q_two_level_aggregation(spark, d):
     return diabetes.admissions_by_age(_src(spark, d), T_DIABETES)
 
 
+# --- patient-bucketed base tables ------------------------------------------------------------
+
+def q_bucketed_stay_rollup(spark, d):
+    return patient_plans.stays(patient_plans.layout(_src(spark, d)), COPD_STAY_CODES, T_COPD.stay_window).drop("zone")
+
+
+def q_bucketed_first_admissions(spark, d):
+    return patient_plans.first_admissions(patient_plans.layout(_src(spark, d)), ASTHMA_STAY_CODES, T_ASTHMA.stay_window)
+
+
+def q_bucketed_lookback(spark, d):
+    found = patient_plans.incident(patient_plans.layout(_src(spark, d)), COPD_STAY_CODES, T_COPD.stay_window,
+                                   COPD_DEATH_CODES, T_COPD.death_window, T_COPD.lookback)
+    return found.select(*LOOKBACK_COLUMNS)
+
+
+def q_bucketed_records(spark, d):
+    return patient_plans.records_per_source(patient_plans.layout(_src(spark, d)))
+
+
+# --- code dictionary ---------------------------------------------------------------------------
+
+def q_codebook_codes(spark, d):
+    return topic_masks.code_flags(_all_episodes(_src(spark, d)))
+
+
+def q_codebook_stay_flags(spark, d):
+    return topic_masks.stay_flags(_all_episodes(_src(spark, d)))
+
+
+def q_codebook_any_position(spark, d):
+    return topic_masks.any_position_counts(_all_episodes(_src(spark, d)))
+
+
 # --- causes of death (published table) ---------------------------------------------------
 
 T_CAUSES = causes.CausesParams(section1=testdata.SECTION1, section2=testdata.SECTION2)

@@ -13,7 +13,7 @@ from epistand.params import (ALLERGY_FLAGS, ALLERGY_LABELS, ALLERGY_SELECTION, A
                              COPD_DEPRIVATION_BANDS, COPD_STAY_CODES, DIABETES_BANDS, DIABETES_CODES,
                              DIABETES_KETO_CODES, EPILEPSY_BANDS, EPILEPSY_CODES, EPOP_WEIGHTS, MS_CODES,
                              SCOTLAND_CODE, CodeSet)
-from epistand.plans import diabetes, epilepsy, ms
+from epistand.plans import diabetes, epilepsy, ms, topic_masks
 from epistand.plans.catalogue import T_ALLERGY, T_ASTHMA, T_COPD, T_DIABETES, T_EPILEPSY, T_MS
 from epistand.sources.testdata import (CODE_STEMS, DASH_CODES, FOURTH_CHARS, HISTORIC_BEFORE,
                                        POPULATION_CODES)
@@ -637,6 +637,33 @@ def _ms_charts():
 
 SQL["ms_incidence_charts"] = build(COPD_NEEDS, MS_CTES, _ms_charts())
 
+# --- patient-bucketed base tables -------------------------------------------------------------
+
+SQL["bucketed_stay_rollup"] = build(["episodes", "episodes_historic"], [stacked("c_stays", C.stay_window, COPD_STAY_CODES)],
+                                    "select * from c_stays")
+SQL["bucketed_first_admissions"] = build(ASTHMA_NEEDS, ASTHMA_CTES[:1],
+                                         f"select linkno, year, age, sex from a_first where pc7 in {RESIDENT}")
+SQL["bucketed_lookback"] = SQL["lookback_from_discharge"]
+SQL["bucketed_records"] = build(["episodes", "episodes_historic", "deaths"], [], " union all ".join(
+    f"select cast({rank} as integer) source_rank, cast(count(*) as bigint) records, count(distinct link_no) patients from {t}"
+    for t, rank in (("episodes", 1), ("episodes_historic", 2), ("deaths", 0))))
+
+# --- code dictionary --------------------------------------------------------------------------
+
+_CODE_COLS = ["main_condition", *OTHER]
+_SINGLE = topic_masks.TOPICS.single
+SQL["codebook_codes"] = build(["episodes_any"], [], f"""select code, cast(count(*) as bigint) n,
+  {', '.join(f'{flag("code", cs)} {name}' for name, cs in _SINGLE.items())}
+  from (select unnest([{', '.join(_CODE_COLS)}]) code from episodes_any) where code is not null group by code""")
+SQL["codebook_stay_flags"] = build(["episodes_any"], [], f"""select * from (select link_no linkno, cis_marker cis,
+  {', '.join(f'max({flag("main_condition", cs)}) {name}' for name, cs in _SINGLE.items())},
+  max({flag(anypos(_CODE_COLS), DIABETES_CODES)}) diabetes, max({flag(anypos(_CODE_COLS), DIABETES_KETO_CODES)}) keto_any
+  from episodes_any where sex in ('1', '2') group by 1, 2)
+  where {' + '.join([*_SINGLE, 'diabetes', 'keto_any'])} > 0""")
+SQL["codebook_any_position"] = build(["episodes_any"], [], f"""select {flag('main_condition', DIABETES_CODES)} diab_main,
+  {flag(anypos(_CODE_COLS), DIABETES_CODES)} diabetes, {flag(anypos(_CODE_COLS), DIABETES_KETO_CODES)} keto_any,
+  count(*) n from episodes_any group by 1, 2, 3""")
+
 
 # --- causes of death --------------------------------------------------------------------------
 
