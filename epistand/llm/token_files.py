@@ -186,52 +186,52 @@ class PieceTokenizer:
         self.pieces = 0
 
     @staticmethod
-    def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Starts of the pieces: rows' starts and spaces after a character that is no white space."""
+    def solid(data: np.ndarray) -> np.ndarray:
+        """Where a byte surely ends a character other than white space."""
         n = len(data)
-        solid = (data > 0x20) & (data < 0x7F)  # last byte of a character surely not white space
+        out = (data > 0x20) & (data < 0x7F)
         tail = (data & 0xC0) == 0x80
         for back, low, high in ((1, 0xC3, 0xDF), (2, 0xE4, 0xEF), (3, 0xF0, 0xF7)):
             # white space beyond ASCII begins with C2, E1, E2 or E3; those characters are not cut after
-            solid[back:] |= tail[back:] & (data[:n - back] >= low) & (data[:n - back] <= high)
-        cut = np.zeros(n + 1, bool)
-        cut[1:n] = solid[:-1] & (data[1:] == 0x20)
+            out[back:] |= tail[back:] & (data[:n - back] >= low) & (data[:n - back] <= high)
+        return out
+
+    @classmethod
+    def cuts(cls, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Starts of the pieces: rows' starts and spaces after a character that is no white space."""
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = cls.solid(data)[:-1] & (data[1:] == 0x20)
         cut[offsets] = True
         return np.flatnonzero(cut[:-1])
 
     def _learn(self, new: list[bytes]) -> None:
         """Encode pieces, joined where the next one begins after a place where texts may be cut."""
-        groups: list[list[int]] = []
-        size, open_ = 0, False
-        for k, piece in enumerate(new):
-            if open_ and piece[0] == 0x20 and size < self.CHUNK:
-                groups[-1].append(k)
-            else:
-                groups.append([k])
-                size = 0
-            size += len(piece)
-            open_ = 0x20 < piece[-1] < 0x7F
-        texts = [b"".join(new[k] for k in g).decode() for g in groups]
+        raw = b"".join(new)
+        data = np.frombuffer(raw, np.uint8)
+        ends = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))
+        starts = np.concatenate([[0], ends[:-1]])
+        apart = np.ones(len(new), bool)
+        apart[1:] = (data[starts[1:]] != 0x20) | ~self.solid(data)[ends[:-1] - 1] | (np.diff(starts // self.CHUNK) > 0)
+        bounds = [*starts[apart].tolist(), len(raw)]
+        ids = []
+        for lo in range(0, len(bounds) - 1, 64):
+            texts = [raw[a:b].decode() for a, b in zip(bounds[lo:lo + 64], bounds[lo + 1:lo + 65], strict=False)]
+            for coded in self.tok.encode_batch_fast(texts, add_special_tokens=False):
+                ids += coded.ids
+        ids = np.array(ids, np.int64)
+        covered = np.cumsum(self.bytes_of[ids])
+        at = np.searchsorted(covered, ends)
+        if at[-1] != len(ids) - 1 or not np.array_equal(covered[at], ends):
+            raise ValueError("ids do not cover the text: the tokenizer is not byte-level")
         total = int(self.first[self.pieces])
-        for lo in range(0, len(groups), 64):
-            for group, coded in zip(groups[lo:lo + 64], self.tok.encode_batch_fast(texts[lo:lo + 64], add_special_tokens=False),
-                                    strict=True):
-                ids = np.array(coded.ids, np.int64)
-                ends = np.cumsum([len(new[k]) for k in group])
-                covered = np.cumsum(self.bytes_of[ids])
-                at = np.searchsorted(covered, ends)
-                if not np.array_equal(covered[at], ends):
-                    raise ValueError("ids do not cover the text: the tokenizer is not byte-level")
-                while total + len(ids) > len(self.store):
-                    self.store = np.concatenate([self.store, np.zeros_like(self.store)])
-                while self.pieces + len(group) + 1 > len(self.first):
-                    self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-                self.store[total:total + len(ids)] = ids
-                self.first[self.pieces + 1:self.pieces + len(group) + 1] = total + at + 1
-                for k in group:
-                    self.known[new[k]] = self.pieces
-                    self.pieces += 1
-                total += len(ids)
+        while total + len(ids) > len(self.store):
+            self.store = np.concatenate([self.store, np.zeros_like(self.store)])
+        while self.pieces + len(new) + 1 > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+        self.store[total:total + len(ids)] = ids
+        self.first[self.pieces + 1:self.pieces + len(new) + 1] = total + at + 1
+        self.known.update(zip(new, range(self.pieces, self.pieces + len(new)), strict=True))
+        self.pieces += len(new)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the rows one after the other, each followed by ``end_id``, and the ids per row."""
@@ -242,12 +242,13 @@ class PieceTokenizer:
         bounds = np.append(starts, len(data)).astype(np.int64)
         buffers = [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         new = [p for p in distinct if p not in self.known]
         if new:
             self._learn(new)
         known = self.known
-        piece = np.array([known[p] for p in distinct], np.int64)[coded.indices.to_numpy(zero_copy_only=False)] if distinct else starts
+        piece = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        piece = piece[coded.indices.to_numpy(zero_copy_only=False)] if distinct else starts
         lens = self.first[piece + 1] - self.first[piece]
         row_ends = np.searchsorted(starts, offsets[1:])
         before = np.concatenate([[0], np.cumsum(lens)])
