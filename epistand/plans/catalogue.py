@@ -9,6 +9,7 @@ floating-point sums cannot change the comparison.
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,7 @@ from epistand.params import (ASTHMA_BANDS, ASTHMA_STAY_CODES, COPD_BANDS, COPD_D
                              DIABETES_BANDS, DIABETES_CODES, EPILEPSY_BANDS, EPILEPSY_CODES, LookbackParams)
 from epistand.plans import allergy, asthma, causes, copd, diabetes, epilepsy, ms, patient_plans, topic_masks
 from epistand.plans.incidence_topics import stacked_stays
+from epistand.session import ensure_checkpoint_dir
 from epistand.sources import testdata
 from epistand.sources.testdata import Sources
 
@@ -273,6 +275,28 @@ def q_bucketed_records(spark, d):
     return patient_plans.records_per_source(patient_plans.layout(_src(spark, d)))
 
 
+# --- incremental look-back ---------------------------------------------------------------------
+
+FIRST_BATCH_YEAR = 1998
+
+
+def _yearly_copd(spark, d):
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lookback-state-{uuid.uuid4().hex}"
+    return patient_plans.yearly_lookback(_copd_events(_src(spark, d)), folder, T_COPD.lookback, FIRST_BATCH_YEAR, ["dodis", "year"])
+
+
+def q_lookback_yearly(spark, d):
+    """Incident records after all yearly batches: the whole-history answer."""
+    return _yearly_copd(spark, d)[0].incident().select(*LOOKBACK_COLUMNS)
+
+
+def q_lookback_yearly_steps(spark, d):
+    """Per batch: new records, incident ones among them, and earlier answers withdrawn or added by late records."""
+    steps = _yearly_copd(spark, d)[1]
+    rows = [(int(s.label), s.counts["records"], s.counts["incident"], s.counts["withdrawn"], s.counts["added"]) for s in steps]
+    return spark.createDataFrame(rows, "batch int, records long, incident long, withdrawn long, added long")
+
+
 # --- code dictionary ---------------------------------------------------------------------------
 
 def q_codebook_codes(spark, d):

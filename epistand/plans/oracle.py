@@ -14,7 +14,7 @@ from epistand.params import (ALLERGY_FLAGS, ALLERGY_LABELS, ALLERGY_SELECTION, A
                              DIABETES_KETO_CODES, EPILEPSY_BANDS, EPILEPSY_CODES, EPOP_WEIGHTS, MS_CODES,
                              SCOTLAND_CODE, CodeSet)
 from epistand.plans import diabetes, epilepsy, ms, topic_masks
-from epistand.plans.catalogue import T_ALLERGY, T_ASTHMA, T_COPD, T_DIABETES, T_EPILEPSY, T_MS
+from epistand.plans.catalogue import FIRST_BATCH_YEAR, T_ALLERGY, T_ASTHMA, T_COPD, T_DIABETES, T_EPILEPSY, T_MS
 from epistand.sources.testdata import (CODE_STEMS, DASH_CODES, FOURTH_CHARS, HISTORIC_BEFORE,
                                        POPULATION_CODES)
 
@@ -648,6 +648,22 @@ SQL["bucketed_records"] = build(["episodes", "episodes_historic", "deaths"], [],
     f"select cast({rank} as integer) source_rank, cast(count(*) as bigint) records, count(distinct link_no) patients from {t}"
     for t, rank in (("episodes", 1), ("episodes_historic", 2), ("deaths", 0))))
 
+# --- incremental look-back ----------------------------------------------------------------------
+
+SQL["lookback_yearly"] = SQL["lookback_from_discharge"]
+_LAG = "datediff('day', lag(dodis) over (partition by b.batch, linkno order by doadm asc nulls last, source_rank asc, cis asc nulls first, no), doadm)"
+SQL["lookback_yearly_steps"] = build(COPD_NEEDS, COPD_CTES[:3] + [
+    ("y_events", f"select *, row_number() over () no, greatest({FIRST_BATCH_YEAR}, year(dodis) + case when day(dodis) % 5 = 0 then 1 else 0 end) batch "
+                 "from c_events"),
+    ("y_flags", f"""select b.batch step, e.batch, no, coalesce({_LAG} / 365.0 >= 1.0, true) incident
+  from y_events e join (select distinct batch from y_events) b on e.batch <= b.batch"""),
+    ("y_both", """select step, batch, no, incident, lag(incident) over (partition by no order by step) was from y_flags"""),
+], """select cast(step as integer) batch, count(*) filter (where batch = step) records,
+  count(*) filter (where batch = step and incident) incident,
+  count(*) filter (where batch < step and was and not incident) withdrawn,
+  count(*) filter (where batch < step and not was and incident) added
+  from y_both group by step""")
+
 # --- code dictionary --------------------------------------------------------------------------
 
 _CODE_COLS = ["main_condition", *OTHER]

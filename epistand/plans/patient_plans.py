@@ -12,8 +12,10 @@ from epistand.functions.codes import code_match
 from epistand.operators.extract import select_codes, select_window, valid_sex
 from epistand.operators.incidence import incident_events, incident_events_simple
 from epistand.operators.patient_work import IS_DEATH, all_records, events_with_area, first_with_area, residents
+from epistand.operators.lookback_state import LookbackState
 from epistand.params import RESIDENT_COUNTRY, CodeSet, LookbackParams
 from epistand.plans.incidence_topics import topic_episodes
+from epistand.sources.readers import lineage_cut
 from epistand.sources.patient_table import PatientTable, fingerprint, patient_table, with_area
 
 INPUTS = ("lineitem", "orders", "customer", "nation")
@@ -74,3 +76,18 @@ def records_per_source(table: PatientTable) -> DataFrame:
     """Records and patients by source, patients aside included (a check of the table against its inputs)."""
     each = table.per_patient(lambda t: t.groupBy("link_no", "source_rank").agg(F.count(F.lit(1)).alias("n")))
     return each.groupBy("source_rank").agg(F.sum("n").alias("records"), F.count("link_no").alias("patients"))
+
+
+def delivered_year() -> Column:
+    """Year in which a record arrives: that of its discharge, one later where the day is a fifth of the month's."""
+    return (F.year("dodis") + F.when(F.dayofmonth("dodis") % 5 == 0, 1).otherwise(0)).cast("int")
+
+
+def yearly_lookback(events_df: DataFrame, folder: str, lookback: LookbackParams, first_year: int, keep=()):
+    """The look-back re-run year by year: records that arrive up to ``first_year`` are the first batch,
+    then each later year is one. Returns the state and the steps."""
+    spark = events_df.sparkSession
+    batches = lineage_cut(events_df.withColumn("_batch", F.greatest(delivered_year(), F.lit(first_year))))
+    years = sorted(r[0] for r in batches.select("_batch").distinct().collect() if r[0] is not None)
+    state = LookbackState(spark, folder, lookback, keep)
+    return state, [state.advance(batches.where(F.col("_batch") == y).drop("_batch"), str(y)) for y in years]

@@ -40,11 +40,16 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def folder_exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def drop_superseded(spark: SparkSession, prefix: str, keep: str) -> list[str]:
     """Delete the folders of the checkpoint folder that begin with ``prefix``, but for ``keep``."""
     fs, root = _fs(spark, ensure_checkpoint_dir(spark))
@@ -106,7 +111,7 @@ def patient_table(spark: SparkSession, records: DataFrame, key: str, order: str
     root = ensure_checkpoint_dir(spark).rstrip("/")
     done = f"base-{name}-{key}"
     folder = f"{root}/{done}"
-    if not _exists(spark, f"{folder}/layout/_SUCCESS"):
+    if not folder_exists(spark, f"{folder}/layout/_SUCCESS"):
         per = records.groupBy("link_no").agg(F.count(F.lit(1)).alias("n"))
         rows = per.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
         n = buckets or max(MIN_BUCKETS, -(-rows // BUCKET_ROWS))
