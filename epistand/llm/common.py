@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +32,23 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Shared:
+    """A broadcast value whose classes are shipped with it: Spark pickles broadcast values by reference,
+    and executors have no copy of this package. ``value`` is unpacked once a task."""
+
+    def __init__(self, spark: SparkSession, value):
+        self._packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if "_value" not in self.__dict__:
+            self._value = pickle.loads(self._packed.value)
+        return self._value
+
+    def __getstate__(self):
+        return {"_packed": self._packed}
+
+
 def folded(text):
     """NULL as empty, A-Z (and nothing else) lower-cased."""
     return F.translate(F.coalesce(text, F.lit("")), UPPER, UPPER.lower())

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from epistand.llm.common import Shared
+
 BITS = 16  # bits of a symbol in an n-gram code; order 4 fills 64 bits
 SPACE, OTHER = 0, 1  # any run of non-letters; a letter that training has not seen
 _BLOCK_CHARS = 400_000
@@ -273,7 +275,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
 
 
 def _calibrate(model: LanguageModel, held: DataFrame, number: dict[str, int], tail: float, slack: float) -> None:
-    shared = held.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(held.sparkSession, model)
     width = len(model.langs)
 
     def score(batches):
@@ -316,7 +318,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text", unknown:
     probability of the answer; accepted is false where the cross-entropy lies outside what texts
     of that language showed. Without languages in the model everything is ``unknown``."""
     extra = "lang_pred string, lang_score double, cross_entropy double, lang_accepted boolean"
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
     at = docs.columns.index(text)
 
     def run(batches):

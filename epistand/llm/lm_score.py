@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epistand.llm.common import _BASE, BLOCK_BYTES, mix64, ngram_hashes, shared_table, text_blocks, word_hashes
+from epistand.llm.common import _BASE, BLOCK_BYTES, Shared, mix64, ngram_hashes, shared_table, text_blocks, word_hashes
 
 END, START = np.uint64(0xE0D0E0D0E0D0E0D1), np.uint64(0x5747A7745747A775)  # marks of a text's ends
 CHUNKS = 4096
@@ -318,7 +318,7 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
     hot = words.orderBy(F.desc("n"), "h").limit(hot_words).toArrow()  # 16 bytes each
     hot_h = hot["h"].to_numpy().view(np.uint64)
     order = np.argsort(hot_h)
-    shared = spark.sparkContext.broadcast((model, hot_h[order], hot["n"].to_numpy()[order]))
+    shared = Shared(spark, (model, hot_h[order], hot["n"].to_numpy()[order]))
     floor = float(np.log10(model.tokens + added * (model.types + 1)))
 
     def run(batches):

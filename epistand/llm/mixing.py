@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epistand.llm.common import shared_table, text_blocks, word_hashes
+from epistand.llm.common import Shared, shared_table, text_blocks, word_hashes
 
 
 def _features(column: pa.Array, width: int):
@@ -95,7 +95,7 @@ def train_domains(docs: DataFrame, labels: DataFrame, domain: Column, key: str =
 
 def posteriors(docs: DataFrame, model: DomainModel, text: str = "text") -> DataFrame:
     """``docs`` with ``mix_tokens`` (words of the whole text) and ``mix_posterior`` (by domain)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # width x domains numbers
+    shared = Shared(docs.sparkSession, model)  # width x domains numbers
     at, width, k = docs.columns.index(text), len(model.weights), len(model.domains)
     if clash := {"mix_tokens", "mix_posterior"} & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are taken")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from epistand.llm.common import _BASE, _M2, mix64, _powers
+from epistand.llm.common import _BASE, _M2, Shared, mix64, _powers
 from epistand.llm.langid import text_parts
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -265,7 +265,7 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model_file:
     names = [c for c in docs.columns if c != text]
     if clash := {"piece_ids", "n_pieces", "lossless"} & set(names):
         raise ValueError(f"columns {sorted(clash)} are taken")
-    pieces = docs.sparkSession.sparkContext.broadcast(load_pieces(model_file, sharpness))  # a fixed 32k vocabulary
+    pieces = Shared(docs.sparkSession, load_pieces(model_file, sharpness))  # a fixed 32k vocabulary
     at, n_at = docs.columns.index(text), len(docs.columns)
 
     def run(batches):
@@ -292,7 +292,7 @@ def decode(encoded: DataFrame, text: str = "text", model_file: str = DEFAULT_MOD
     """``encoded`` with the column ``text`` decoded from ``piece_ids`` (NULL ids give '')."""
     if text in encoded.columns:
         raise ValueError(f"column {text} is taken")
-    pieces = encoded.sparkSession.sparkContext.broadcast(load_pieces(model_file))
+    pieces = Shared(encoded.sparkSession, load_pieces(model_file))
     at = encoded.columns.index("piece_ids")
 
     def run(batches):

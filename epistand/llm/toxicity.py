@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from epistand.llm.common import Shared
 from epistand.llm.langid import text_parts
 
 # Characters that stand for a Latin letter.
@@ -250,7 +251,7 @@ def _counts(rows: DataFrame, table, terms: set[str] | None) -> DataFrame:
 
 
 def _feature_rows(rows: DataFrame, table, model: ToxicityModel) -> tuple[np.ndarray, np.ndarray]:
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(rows.sparkSession, model)
 
     def run(batches):
         for batch in batches:
@@ -269,7 +270,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", th
     Whole texts are scored; NULL counts as empty and scores as a text without lexicon words. Names
     of the new columns must be free."""
     sc = docs.sparkSession.sparkContext
-    shared, table = sc.broadcast(model), sc.broadcast(fold_table())
+    shared, table = Shared(docs.sparkSession, model), sc.broadcast(fold_table())
     at = docs.columns.index(text)
     if clash := {"toxicity", "toxic_predicted"} & set(docs.columns):
         raise ValueError(f"columns {sorted(clash)} are taken")
