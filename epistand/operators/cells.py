@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from epistand.functions.ages import epop_weight
@@ -29,6 +29,15 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str) -> DataFra
     return joined.select(*key_cols, *rest)
 
 
+def watch_denominators(cells: DataFrame, audit: Observation) -> DataFrame:
+    """``cells`` unchanged, with the counts of ``without_denominator`` (all years together) taken in the
+    pass that computes the rates: ``audit.get`` has cells, cells_without and events_without once an
+    action on anything derived from the result has run."""
+    missing = F.col("denominator").isNull() | (F.col("denominator") == 0)
+    return cells.observe(audit, F.count(F.lit(1)).alias("cells"), F.count_if(missing).alias("cells_without"),
+                         F.coalesce(F.sum(F.when(missing, F.col("numerator"))), F.lit(0)).cast("long").alias("events_without"))
+
+
 def without_denominator(cells: DataFrame, keys=("year",)) -> DataFrame:
     """Per key: the cells (and their events) that have no usable denominator, which a rate leaves out."""
     missing = F.col("denominator").isNull() | (F.col("denominator") == 0)

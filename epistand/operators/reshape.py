@@ -51,9 +51,10 @@ def read_sections(lines: DataFrame, sections, names, release: str = "release") -
 
 
 def clean_published_counts(table: DataFrame, id_cols, count_cols, release: str = "release",
-                           var: str = "age", value: str = "num_deaths") -> DataFrame:
-    """Fill blanks down every column, unpivot the count columns, parse the counts."""
+                           var: str = "age", value: str = "num_deaths", fill=fill_down) -> DataFrame:
+    """Fill blanks down every column, unpivot the count columns, parse the counts. ``fill`` may be
+    ``fill_down_ranges`` for tables too long for one window."""
     from epistand.functions.text import parse_count
-    filled = fill_down(table, [c for c in table.columns if c not in (release, "line_no")], release, "line_no")
+    filled = fill(table, [c for c in table.columns if c not in (release, "line_no")], release, "line_no")
     long = filled.unpivot([release, "line_no", *id_cols], list(count_cols), var, value)
     return long.withColumn(value, parse_count(value))

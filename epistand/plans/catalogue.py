@@ -29,10 +29,16 @@ from epistand.operators.standardise import band_rates, pooled_both_sexes, rates_
 from epistand.params import (ASTHMA_BANDS, ASTHMA_STAY_CODES, COPD_BANDS, COPD_DEATH_CODES, COPD_STAY_CODES,
                              DIABETES_BANDS, DIABETES_CODES, EPILEPSY_BANDS, EPILEPSY_CODES, LookbackParams)
 from epistand.plans import allergy, asthma, causes, copd, diabetes, epilepsy, ms, patient_plans, topic_masks
+from epistand.plans.audit import audit_table
 from epistand.plans.incidence_topics import stacked_stays
+from epistand.plans.publication import publish_version, read_published
 from epistand.session import ensure_checkpoint_dir
 from epistand.sources import testdata
+from epistand.sources.line_ranges import fill_down_ranges, numbered_lines
+from epistand.sources.readers import lineage_cut
+from epistand.sources.schemas import CHART_CSV
 from epistand.sources.testdata import Sources
+from epistand.sources.typed_csv import accepted, read_checked, rejects
 
 # Test parameters: the published windows moved onto 1995-2001.
 ONE_YEAR_DODIS = LookbackParams(gap_from="dodis", min_gap_years=1.0)
@@ -280,8 +286,12 @@ def q_bucketed_records(spark, d):
 FIRST_BATCH_YEAR = 1998
 
 
+def _scratch(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _yearly_copd(spark, d):
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lookback-state-{uuid.uuid4().hex}"
+    folder = _scratch(spark, "lookback-state")
     return patient_plans.yearly_lookback(_copd_events(_src(spark, d)), folder, T_COPD.lookback, FIRST_BATCH_YEAR, ["dodis", "year"])
 
 
@@ -339,6 +349,80 @@ def q_top_causes_all_ages(spark, d):
     return rounded(causes.run(_lines(spark, d), T_CAUSES)["top10causes_chart1"])
 
 
+# --- files: ranges of lines, typed CSV, atomic publication ------------------------------------
+
+RANGE_BYTES = 2000  # of the published text tables, which have some 10 kB: several ranges a file
+SEGMENT_LINES = 9
+
+
+def _lines_of_files(spark, d):
+    """The published tables written as one text file per release and read back in byte ranges."""
+    path = _scratch(spark, "tables")
+    lines = _lines(spark, d).repartition("release").sortWithinPartitions("release", "line_no")
+    lines.select("release", "value").write.partitionBy("release").text(path)
+    numbered = numbered_lines(spark, path, release="release", range_bytes=RANGE_BYTES)
+    return numbered.withColumn("release", F.col("release").cast("int"))
+
+
+def _range_fill(table, cols, release, line):
+    return fill_down_ranges(table, cols, release, line, SEGMENT_LINES)
+
+
+def q_locf_fill_down_ranges(spark, d):
+    t = causes.table(_lines_of_files(spark, d), T_CAUSES)
+    filled = _range_fill(t, [c for c in t.columns if c not in ("release", "line_no")], "release", "line_no")
+    return filled.select("release", "line_no", "ICD_10_code", "cause_of_death", "sex", "all_ages")
+
+
+def q_published_table_from_files(spark, d):
+    return causes.clean(_lines_of_files(spark, d), T_CAUSES, fill=_range_fill)
+
+
+def _summary_csv(spark, d):
+    """An earlier chart file (class1 age band, class2 year, measure): missing and bad measures among its values."""
+    n = (_src(spark, d).episodes.groupBy(age_band("age_in_years").alias("g"), fiscal_year("admission_date").alias("y"))
+         .agg(F.count(F.lit(1)).alias("n")))
+    measure = (F.when(F.col("n") % 7 == 0, "NA").when(F.col("n") % 7 == 1, " ").when(F.col("n") % 7 == 2, F.concat("n", F.lit("x")))
+               .otherwise(F.concat("n", F.lit(".25"))))
+    rows = n.select(F.concat(F.lit("band "), F.col("g").cast("string")).alias("class1"), year_label("y").alias("class2"), measure.alias("measure"))
+    path = _scratch(spark, "summary")
+    rows.repartition(2).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    return read_checked(spark, path, CHART_CSV)
+
+
+def q_summary_typed_csv(spark, d):
+    chart = accepted(_summary_csv(spark, d))
+    return chart.select("class1", "class2", F.round("measure", 1).alias("measure"))
+
+
+def q_summary_rejects(spark, d):
+    return rejects(_summary_csv(spark, d))
+
+
+def q_published_charts(spark, d):
+    """Asthma charts published with a manifest, then read back from the version in force."""
+    cells = lineage_cut(asthma.cells(_src(spark, d), T_ASTHMA))
+    folder = _scratch(spark, "charts")
+    publish_version({"sex_chart": chart_data(cells, 100000), "all_chart": chart_data(cells, 200000, by_sex=False)}, folder)
+    back = _tagged({n: read_published(spark, folder, n).select("year", "sex", F.col("rate").cast("double").alias("rate"))
+                    for n in ("sex_chart", "all_chart")})
+    return rounded(back)
+
+
+def q_rates_audit(spark, d):
+    """Cells, cells and events without a denominator, and rates of the rate plans, each from one pass."""
+    s = _src(spark, d)
+    return audit_table(spark, {
+        "asthma": (asthma.cells(s, T_ASTHMA), lambda c: standardised_rates(c, 100000)),
+        "diabetes": (diabetes.admission_cells(s, T_DIABETES), lambda c: standardised_rates(c, 100000, cats=["type", "sex"])),
+        "allergy": (allergy.cells(s, T_ALLERGY), allergy.rates),
+        "copd_deaths": (copd.mortality_cells(s, T_COPD), lambda c: standardised_rates(c, 100000)),
+        "copd_incidence": (copd.incidence(s, T_COPD), lambda c: standardised_rates(c, 100000)),
+        "epilepsy_incidence": (epilepsy.incidence(s, T_EPILEPSY), lambda c: standardised_rates(c, 100000)),
+        "ms_incidence": (ms.incidence(s, T_MS), lambda c: standardised_rates(c, 100000)),
+    })
+
+
 # --- published charts -----------------------------------------------------------------------
 
 def _tagged(parts: dict) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from epistand.operators.reshape import clean_published_counts, read_sections
+from epistand.operators.reshape import clean_published_counts, fill_down, read_sections
 from epistand.operators.topcauses import top_causes
 from epistand.params import ALL_AGES_COLUMN, UNDER75_EXCLUDED_AGES
 from epistand.sources.schemas import VITAL_EVENTS_COLUMNS
@@ -27,8 +27,8 @@ def table(lines: DataFrame, p: CausesParams) -> DataFrame:
     return read_sections(lines, [(*p.section1, True), (*p.section2, False)], VITAL_EVENTS_COLUMNS)
 
 
-def clean(lines: DataFrame, p: CausesParams) -> DataFrame:
-    return clean_published_counts(table(lines, p), ID_COLUMNS, COUNT_COLUMNS)
+def clean(lines: DataFrame, p: CausesParams, fill=fill_down) -> DataFrame:
+    return clean_published_counts(table(lines, p), ID_COLUMNS, COUNT_COLUMNS, fill=fill)
 
 
 def run(lines: DataFrame, p: CausesParams = CausesParams()) -> dict[str, DataFrame]:

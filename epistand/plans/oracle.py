@@ -756,5 +756,45 @@ SQL["top_causes_under75"] = build(["deaths"], CAUSE_CTES,
 SQL["top_causes_all_ages"] = build(["deaths"], CAUSE_CTES, _top(["all_ages"]))
 
 
+
+# --- files, typed CSV, publication, audit --------------------------------------------------------
+
+SQL["locf_fill_down_ranges"] = SQL["locf_fill_down"]
+SQL["published_table_from_files"] = SQL["drop_empty_and_parse"]
+SQL["published_charts"] = build(ASTHMA_NEEDS, ASTHMA_CTES, " union all ".join(
+    f"select year, sex, {r4('rate')} rate, '{name}' chart from ({sql})"
+    for name, sql in (("sex_chart", chart(rates("a_cells", 100000))), ("all_chart", chart(rates("a_cells", 200000, by_sex=False), by_sex=False)))))
+_SUMMARY = [("sm", f"""select 'band ' || cast(g as varchar) class1, {year_label('y')} class2, n from (
+  select {band('age_in_years')} g, {fy('admission_date')} y, count(*) n from episodes group by 1, 2)""")]
+SQL["summary_typed_csv"] = build(["episodes"], _SUMMARY, """select class1, class2,
+  case when n % 7 not in (0, 1) then round(cast(cast(n as varchar) || '.25' as double), 1) end measure from sm where n % 7 <> 2""")
+SQL["summary_rejects"] = build(["episodes"], _SUMMARY, """select 'measure' AS column, cast(n as varchar) || 'x' AS value, count(*) n
+  from sm where n % 7 = 2 group by 2""")
+
+
+def _audit_row(topic: str, cells: str, rate_rows: str) -> str:
+    missing = "denominator is null or denominator = 0"
+    return (f"select '{topic}' topic, cast(count(*) as bigint) cells, cast(count(*) filter (where {missing}) as bigint) cells_without, "
+            f"cast(coalesce(sum(numerator) filter (where {missing}), 0) as bigint) events_without, "
+            f"(select cast(count(*) as bigint) from ({rate_rows})) rates from {cells}")
+
+
+def _once(*groups) -> list:
+    return list({name: (name, sql) for group in groups for name, sql in group}.values())
+
+
+SQL["rates_audit"] = build(
+    list(dict.fromkeys([*COPD_NEEDS, *DIAB_NEEDS, *ASTHMA_NEEDS])),
+    _once(ASTHMA_CTES, DIAB_ADM_CTES, ALLERGY_CTES, _CM, COPD_CTES, EPI_CTES, MS_CTES), " union all ".join([
+        _audit_row("asthma", "a_cells", rates("a_cells", 100000)),
+        _audit_row("diabetes", "d_adm", rates("d_adm", 100000, cats=["type", "sex"])),
+        _audit_row("allergy", "al_cells", rates("al_cells", 200000, by_sex=False, cats=["type"])),
+        _audit_row("copd_deaths", "cm_cells", rates("cm_cells", 100000)),
+        _audit_row("copd_incidence", "c_cells", rates("c_cells", 100000)),
+        _audit_row("epilepsy_incidence", "e_cells", rates("e_cells", 100000)),
+        _audit_row("ms_incidence", "m_cells", rates("m_cells", 100000)),
+    ]))
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -18,21 +18,24 @@ LAYOUTS: dict[str, tuple[tuple[str, ...] | None, tuple[str, ...]]] = {
 }
 
 
+def layout_of(name: str, df: DataFrame, layouts: dict | None = None) -> tuple[list, list, list]:
+    """Written columns, sort keys and folder columns of an output; names that it lacks are left out."""
+    columns, keys = (LAYOUTS if layouts is None else layouts).get(name, (None, tuple(df.columns)))
+    by = ["release"] if columns and "release" in df.columns else []
+    return [c for c in columns or df.columns if c in df.columns], [k for k in keys if k in df.columns], by
+
+
 def publish(outputs: dict[str, DataFrame], folder: str, layouts: dict | None = None) -> list[str]:
     """Each output is a chart table of tens of rows, written as one CSV.
 
     ``layouts`` (default ``LAYOUTS``) gives an output's columns and sort keys; names that the
     output lacks are left out. A table of several releases is written as one folder per release
     (``name/release=...``), each in chart order. Other outputs are sorted by their columns.
-    Returns the written paths."""
-    layouts = LAYOUTS if layouts is None else layouts
+    Returns the written paths. ``sources.publication`` does this with versions and a manifest."""
     paths = []
     for name, df in outputs.items():
-        columns, keys = layouts.get(name, (None, tuple(df.columns)))
-        keys = [k for k in keys if k in df.columns]
-        keep = [c for c in columns or df.columns if c in df.columns]
+        keep, keys, by = layout_of(name, df, layouts)
         path = os.path.join(folder, name)
-        by = ["release"] if columns and "release" in df.columns else []
         write_chart_csv(df.select(*by, *dict.fromkeys([*keep, *keys])), path, order_by=keys, columns=keep, split_by=by)
         paths.append(path)
     return paths
