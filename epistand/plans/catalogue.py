@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from epistand.functions.ages import age_band, coarse_band, coarse_band_from_grp, epop_weight
 from epistand.functions.codes import any_position_match, match_flag
 from epistand.functions.dates import fiscal_year, year_label
+from epistand.operators.cells import count_cells
 from epistand.operators.charts import chart_data
 from epistand.operators.extract import (OTHER_CONDITIONS, death_events, first_per_patient_year, select_codes,
                                         select_window, stay_rollup, valid_sex)
@@ -35,6 +36,7 @@ from epistand.plans.publication import publish_version, read_published
 from epistand.session import ensure_checkpoint_dir
 from epistand.sources import testdata
 from epistand.sources.line_ranges import fill_down_ranges, numbered_lines
+from epistand.sources.population_table import left_cells, population_by_year
 from epistand.sources.readers import lineage_cut
 from epistand.sources.schemas import CHART_CSV
 from epistand.sources.testdata import Sources
@@ -349,6 +351,16 @@ def q_top_causes_all_ages(spark, d):
     return rounded(causes.run(_lines(spark, d), T_CAUSES)["top10causes_chart1"])
 
 
+# --- populations by year -----------------------------------------------------------------------
+
+def q_cells_of_event_years(spark, d):
+    """COPD deaths of some years joined to the population folders of exactly these years."""
+    s = _src(spark, d)
+    deaths = copd.deaths(s, T_COPD).where(F.col("year_of_registration") > 1998).withColumn("age_grp", age_band("age"))
+    counts = count_cells(deaths, [F.col("year_of_registration").alias("year"), "age_grp", "sex"])
+    return rounded(left_cells(counts, population_by_year(s)))
+
+
 # --- files: ranges of lines, typed CSV, atomic publication ------------------------------------
 
 RANGE_BYTES = 2000  # of the published text tables, which have some 10 kB: several ranges a file

@@ -757,6 +757,15 @@ SQL["top_causes_all_ages"] = build(["deaths"], CAUSE_CTES, _top(["all_ages"]))
 
 
 
+# --- populations by year ------------------------------------------------------------------------
+
+SQL["cells_of_event_years"] = build(["deaths", "population"], [
+    ("cy_counts", f"select year_of_registration AS year, {band('age')} age_grp, sex, count(*) n "
+                  f"from deaths where {COPD_DEATHS_WHERE} and year_of_registration > 1998 group by 1, 2, 3"),
+    ("cy_pop", pop_cells()),
+    ("cy_cells", with_den("cy_counts", "cy_pop", ["year", "age_grp", "sex"], [], "left")),
+], "select year, age_grp, sex, numerator, denominator, round(epop, 4) epop from cy_cells")
+
 # --- files, typed CSV, publication, audit --------------------------------------------------------
 
 SQL["locf_fill_down_ranges"] = SQL["locf_fill_down"]

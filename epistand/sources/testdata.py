@@ -146,9 +146,12 @@ def _area_people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def deprivation_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation name as area, region key + 1 as deprivation quintile, for each year with people."""
+    """Nation name as area, region key + 1 as deprivation quintile, for each year with people (customers
+    with an order): the years of a nation need no count of its people."""
     n = _t(spark, sf_dir, "nation")
-    years = _area_people(spark, sf_dir).select("c_nationkey", "year").distinct()
+    o = _t(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").cast("int").alias("year"))
+    c = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    years = o.join(c, o.o_custkey == c.c_custkey).select("c_nationkey", "year").distinct()
     return years.join(n, years.c_nationkey == n.n_nationkey).select(
         F.col("n_name").alias("datazone"), "year", (F.col("n_regionkey") + 1).cast("int").alias("sc_quin"))
 

@@ -104,3 +104,12 @@ def test_no_records(spark, fresh):
     records = patient_plans.base_records(Sources(spark, SF)).limit(0)
     t = patient_table(spark, records, "none", name=fresh)
     assert t.heavy is None and patient_plans.stays(t, COPD_STAY_CODES, T_COPD.stay_window).count() == 0
+
+
+def test_population_folders_of_the_event_years_only(spark):
+    q = queries()["cells_of_event_years"](spark, SF)
+    q.collect()
+    plan = plan_of(q)
+    assert "dynamicpruningexpression(year" in plan and "SubqueryBroadcast" in plan or "dynamicpruning#" in plan
+    scan = next(line for line in plan.splitlines() if "base-population" in line)
+    assert "PartitionFilters: [" in scan and "dynamicpruning" in scan
