@@ -186,8 +186,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     dice = F.pmod(F.xxhash64(F.lit("toxicity sample"), F.col("k").cast("string")), F.lit(1_000_000))
     marks = marks.where(dice < min(1.0, max_labelled / max(n, 1)) * 1_000_000)
     rows = docs.select(docs[key].alias("k"), docs[text].alias("text"), (F.lit(True) if usable is None else usable).alias("ok"))
-    # copies of one text are one observation
-    rows = (rows.where("ok and text is not null").join(marks, "k").groupBy("text").agg(F.max("y").alias("y"))
+    # copies of one text are one observation; the labels are a sample of about max_labelled rows of 20
+    # bytes at most, so they go to the texts, which stay where they lie
+    rows = (rows.where("ok and text is not null").join(F.broadcast(marks), "k").groupBy("text").agg(F.max("y").alias("y"))
             .select("text", "y").persist())
     sc = docs.sparkSession.sparkContext
     table = sc.broadcast(fold_table())
