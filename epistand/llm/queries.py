@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from epistand.llm import conversations, exact_dedup, jaccard_join, langid, lm_score, mixing, pii, sentencepiece_ffbs, spelling, token_files, toxicity, vector_join, warc
 from epistand.llm.common import fold_of, table
+from epistand.llm.oracle_sql import OP12, OP13
 from epistand.session import ensure_checkpoint_dir
 
 
@@ -126,4 +127,6 @@ ORACLE: dict[str, str] = {
         SELECT page_id, payload_bytes, payload_digest,
                CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to FROM f""",
+    "op12_spelling": OP12,
+    "op13_conversations": OP13,
 }
