@@ -15,6 +15,7 @@ from epistand.plans.publish import LAYOUTS
 from epistand.sources.line_ranges import fill_down_ranges, numbered_lines
 from epistand.sources.readers import text_lines
 from epistand.sources.schemas import CHART_CSV
+from epistand.sources.sinks import write_chart_csv
 from epistand.sources.typed_csv import accepted, read_checked, reject_counts, rejects
 
 
@@ -130,6 +131,13 @@ def test_every_layout_pins_header_and_row_order(spark):
         assert json.load(f) == entries
 
 
+def test_row_names(spark):
+    d = os.path.join(_tmp(), "chart")
+    write_chart_csv(_chart(spark).repartition(3), d, order_by=["year", "sex"], columns=["sex", "rate"], row_names=True)
+    lines = _lines_of(d)
+    assert lines[0].replace('"', "") == ",sex,rate" and lines[1:] == ["1,Female,NA", "2,Male,0.25", "3,Male,1.5"]
+
+
 def test_audit_comes_from_the_pass_that_makes_the_rates(spark):
     cells = spark.createDataFrame([(2000, "1", 3, None, 1.0), (2000, "1", 4, 0, 1.0), (2000, "2", 5, 10, 1.0), (2001, "1", None, 7, 1.0)],
                                   "year int, sex string, numerator long, denominator long, epop double")
