@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -115,10 +116,11 @@ def loose_spans(text: str, taken: list[tuple[int, int, int]]) -> Iterator[tuple[
     found += [(3, *m.span()) for m in _LOCAL_PHONE.finditer(text)]
     spans = sorted((s, e) for _, s, e in taken)
     starts = [s for s, _ in spans]
+    furthest = list(accumulate((b for _, b in spans), max))  # end of the spans up to here
     last = -1
     for kind, s, e in sorted(found, key=lambda x: (x[1], x[0])):
         i = int(np.searchsorted(starts, e))
-        if s >= last and not any(b > s for _, b in spans[max(0, i - 8):i]):
+        if s >= last and not (i and furthest[i - 1] > s):
             last = e
             yield kind, s, e
 

@@ -140,16 +140,11 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
     classes = (equal.groupBy("h1", "h2", "e").agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("mult"),
                                                   F.min("id").alias("low")))
     classes = shared_table(classes.withColumn("dim", F.size("e")), "classes")
-    parts = []
-    dims = [r["dim"] for r in classes.select("dim").distinct().limit(65).collect()]
-    if len(dims) > 64:
-        raise ValueError("vectors of more than 64 different lengths")
-    for dim in sorted(dims):
-        parts.append(_join_cells(classes.where(F.col("dim") == dim), cosine, cell_rows, max_pivots, sample_rows, block_rows))
-    spark = vectors.sparkSession
-    found = spark.createDataFrame([], "rep long, links long, other long")
-    for p in parts:
-        found = found.union(p)
+    # a length of few vectors is one cell, all of them in one job; a longer one has cells of its own
+    large = [r["dim"] for r in classes.groupBy("dim").count().where(F.col("count") > block_rows).select("dim").collect()]
+    found = _join_lengths(classes.where(~F.col("dim").isin(large)) if large else classes, cosine)
+    for dim in sorted(large):
+        found = found.union(_join_cells(classes.where(F.col("dim") == dim), cosine, cell_rows, max_pivots, sample_rows, block_rows))
     found = shared_table(found, "links")
     links = found.groupBy("rep").agg(F.sum("links").alias("links"))
     component = connected_components(found.where("rep <> other"), "rep", "other")
@@ -165,6 +160,52 @@ def link_vectors(vectors: DataFrame, key: str = "vec_id", embedding: str = "embe
                                        F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
+def _joiner(cosine: float):
+    """Joins the rows (task, role, rep, mult, e) of sorted tasks: own vectors (role 0), then copies."""
+
+    def join(batches):
+        task, block, closed = None, None, False
+
+        def emit(parts):
+            for rep, links, other in parts:
+                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(links), pa.array(other)], ["rep", "links", "other"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t, role = batch["task"].to_numpy(), batch["role"].to_numpy()
+            cuts = np.flatnonzero(np.diff(t * 2 + role)) + 1
+            rep, mult = batch["rep"].to_numpy(), batch["mult"].to_numpy()
+            for a, b in zip([0, *cuts], [*cuts, len(t)], strict=True):
+                if t[a] != task:
+                    if block is not None and (closed or block.ids):
+                        if not closed:
+                            block.close()
+                        yield from emit(block.finish())
+                    task, block, closed = t[a], _Block(cosine), False
+                x = _matrix(batch["e"].slice(a, b - a))  # vectors of one length
+                if role[a] == 0:
+                    block.add(rep[a:b], mult[a:b], x)
+                else:
+                    if not closed and block.ids:
+                        block.close()
+                        closed = True
+                    if closed:
+                        yield from emit(block.probe(rep[a:b], mult[a:b], x))
+        if block is not None and (closed or block.ids):
+            if not closed:
+                block.close()
+            yield from emit(block.finish())
+
+    return join
+
+
+def _join_lengths(classes: DataFrame, cosine: float) -> DataFrame:
+    """``_join_cells`` of lengths with at most a block of vectors each: the length is the cell."""
+    dealt = classes.select(F.col("dim").cast("long").alias("task"), F.lit(0).alias("role"), "rep", "mult", "e")
+    return dealt.repartition("task").sortWithinPartitions("task").mapInArrow(_joiner(cosine), "rep long, links long, other long")
+
+
 def _join_cells(classes: DataFrame, cosine: float, cell_rows: int, max_pivots: int, sample_rows: int,
                 block_rows: int) -> DataFrame:
     """(rep, links, other): partial link counts of classes, and edges of a spanning forest."""
@@ -233,42 +274,8 @@ def _join_cells(classes: DataFrame, cosine: float, cell_rows: int, max_pivots: i
                     [pa.array(tasks[s].astype(np.int64)), pa.array(roles[s]), pa.array(reps[rows[s]]), pa.array(mult[rows[s]]),
                      batch["e"].take(pa.array(rows[s]))], ["task", "role", "rep", "mult", "e"])
 
-    def join(batches):
-        task, block, closed = None, None, False
-
-        def emit(parts):
-            for rep, links, other in parts:
-                yield pa.RecordBatch.from_arrays([pa.array(rep), pa.array(links), pa.array(other)], ["rep", "links", "other"])
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            t, role = batch["task"].to_numpy(), batch["role"].to_numpy()
-            cuts = np.flatnonzero(np.diff(t * 2 + role)) + 1
-            x = _matrix(batch["e"])
-            rep, mult = batch["rep"].to_numpy(), batch["mult"].to_numpy()
-            for a, b in zip([0, *cuts], [*cuts, len(t)], strict=True):
-                if t[a] != task:
-                    if block is not None and (closed or block.ids):
-                        if not closed:
-                            block.close()
-                        yield from emit(block.finish())
-                    task, block, closed = t[a], _Block(cosine), False
-                if role[a] == 0:
-                    block.add(rep[a:b], mult[a:b], x[a:b])
-                else:
-                    if not closed and block.ids:
-                        block.close()
-                        closed = True
-                    if closed:
-                        yield from emit(block.probe(rep[a:b], mult[a:b], x[a:b]))
-        if block is not None and (closed or block.ids):
-            if not closed:
-                block.close()
-            yield from emit(block.finish())
-
     kind = classes.schema["e"].dataType.simpleString()
     dealt = classes.select("rep", "mult", "e").mapInArrow(deal, f"task long, role int, rep long, mult long, e {kind}")
     spread = max(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(int(blocks.sum()), 20_000))
     return (dealt.repartition(spread, "task").sortWithinPartitions("task", "role")
-            .mapInArrow(join, "rep long, links long, other long"))
+            .mapInArrow(_joiner(cosine), "rep long, links long, other long"))

@@ -25,6 +25,7 @@ from epistand.llm.common import shared_table
 CRLF = "\r\n"
 END = CRLF + CRLF
 FIRST_SECOND = 1577836800  # capture time of key 0 where pages carry no time: 2020-01-01 UTC
+SPAN = 3_155_760_000  # a hundred years of seconds: keys beyond start over, so that every date has four digits
 
 
 def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", html: str = "html",
@@ -34,8 +35,8 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
     Of pages with equal payloads of at least ``min_revisit_bytes`` UTF-8 bytes the one with the
     smallest key is a response and the others are revisits of it (of repeated rows one is the
     response); shorter payloads are all responses. NULL html is an empty payload; a NULL url or key
-    leaves out its header, and a NULL key is chosen last. The capture time is the key in seconds
-    after 2020-01-01. Extra columns are ignored; an empty table writes no records."""
+    leaves out its header, and a NULL key is chosen last. The capture time is the key (modulo
+    100 years) in seconds after 2020-01-01. Extra columns are ignored; an empty table writes no records."""
     body = F.coalesce(pages[html], F.lit(""))
     rows = pages.select(pages[key].cast("long").alias("id"), pages[url].cast("string").alias("url"), body.alias("body"))
     rows = rows.select("*", F.octet_length("body").alias("size"), F.sha2("body", 256).alias("sha"),
@@ -54,7 +55,7 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
                     F.col("size").cast("string"), F.lit(END))
     payload = F.when(again, "").otherwise(F.col("body"))
     length = F.octet_length(http) + F.when(again, 0).otherwise(F.col("size"))
-    when = F.date_format(F.timestamp_seconds(F.lit(FIRST_SECOND) + F.coalesce("id", F.lit(0))),
+    when = F.date_format(F.timestamp_seconds(F.lit(FIRST_SECOND) + F.coalesce(F.pmod("id", F.lit(SPAN)), F.lit(0))),
                          "yyyy-MM-dd'T'HH:mm:ss'Z'")
     profile = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
     record = F.concat(
