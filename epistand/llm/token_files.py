@@ -30,6 +30,7 @@ from epistand.llm.common import shared_table, text_blocks
 SEGMENT_IDS = 4_000_000  # ids of a file; a longer document has a file alone
 SEGMENT_DOCS = 250_000
 RANGE_BYTES = 32 << 20  # text dealt to one range
+MAX_RANGES = 20_000  # beyond, ranges grow; a range is streamed segment by segment
 SAMPLE = 512  # ones of the high bits between two kept positions
 FAN = 1000  # ranges summed in one task
 
@@ -270,7 +271,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, key: str = "do
     read; an empty table writes no segment. ``tokenizer`` is the file of a byte-level tokenizer of
     the ``tokenizers`` library, on every executor."""
     size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
-    ranges = max(1, -(-int(size) // RANGE_BYTES))
+    ranges = min(MAX_RANGES, max(1, -(-int(size) // RANGE_BYTES)))
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
     rows = rows.select("*", F.xxhash64("text").alias("h"), F.monotonically_increasing_id().alias("rid"))
     cut = rows.repartitionByRange(ranges, F.asc_nulls_first("key"), "h", "rid")
