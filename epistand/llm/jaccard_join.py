@@ -373,10 +373,14 @@ class JaccardJoin:
                 for lo in range(0, len(at), 50_000):
                     a = at[lo:lo + 50_000]
                     take = pa.array(row[a])
+                    before = [pa.array(t[a - i].view(np.int64), mask=pos[a] < i) for i in (1, 2)]
                     yield pa.RecordBatch.from_arrays([pa.array(t[a].view(np.int64)), pa.array(pos[a].astype(np.int32)), pa.array(block[row[a]].astype(np.int32)),
-                                                      *(batch[c].take(take) for c in ("cid", "n", "sketch"))], ["t", "pos", "block", "cid", "n", "sketch"])
+                                                      *(batch[c].take(take) for c in ("cid", "n", "sketch")), *before],
+                                                     ["t", "pos", "block", "cid", "n", "sketch", "p1", "p2"])
 
-        lists = classes.select("cid", "n", "sketch", "prefix").mapInArrow(postings, "t long, pos int, block int, cid long, n long, sketch array<long>")
+        # p1 and p2: the two n-grams before this one in the set's prefix
+        lists = classes.select("cid", "n", "sketch", "prefix").mapInArrow(
+            postings, "t long, pos int, block int, cid long, n long, sketch array<long>, p1 long, p2 long")
         lists = shared_table(lists, "lists")
 
         # 1. every member against its block's leaders
@@ -419,13 +423,17 @@ class JaccardJoin:
         leaders = lead.select("t", "block", F.explode("leads.cid").alias("cid"), F.lit(True).alias("leads"))
         mixed = self.mixed_lists(lists, label).join(leaders, ["t", "block", "cid"], "left")
         mixed = shared_table(mixed.withColumn("leads", F.coalesce("leads", F.lit(False))), "mixed")
-        side = ("cid", "n", "pos", "sketch", "block", "comp", "leads")
+        side = ("cid", "n", "pos", "sketch", "block", "comp", "leads", "p1", "p2")
         strip = lambda c: F.floor(c / STRIP).cast("int")
         a = mixed.where("comp <> main").select("t", *[F.col(c).alias(f"a_{c}") for c in side])
         b = mixed.select("t", strip(F.col("block")).alias("at"), "main", *[F.col(c).alias(f"b_{c}") for c in side])
         # sets that can link stand in the same block or in neighbouring ones
         a = a.withColumn("at", F.explode(F.array_distinct(F.array(*[strip(F.col("a_block") + i) for i in (-1, 1)]))))
-        apart = ((F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("main")) | (F.col("a_cid") < F.col("b_cid")))
+        # a pair that shares one of the n-grams before meets in that list as well, under a weaker filter
+        # (or a leader has decided it there): similar sets share most of a prefix, so this list needn't have it
+        met = F.coalesce(F.col("a_p1").isin(F.col("b_p1"), F.col("b_p2")), F.lit(False)) | F.coalesce(
+            F.col("a_p2").isin(F.col("b_p1"), F.col("b_p2")), F.lit(False))
+        apart = (~met & (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("main")) | (F.col("a_cid") < F.col("b_cid")))
                  & ~((F.col("a_block") == F.col("b_block")) & (F.col("a_leads") | F.col("b_leads")))
                  & self.sizes_fit(F.col("a_n"), F.col("b_n")) & self.may_link("a_pos", "a_n", "a_sketch", "b_pos", "b_n", "b_sketch"))
         first_is_a = F.col("a_cid") < F.col("b_cid")
