@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import pickle
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs run inside send at most ``rows`` rows at a time to Python workers."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the folder named by spark.checkpoint.dir and read it back.
 
@@ -59,6 +73,16 @@ def fold_of(key: str, mod: int):
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % F.lit(mod)
 
 
+def release_memory() -> None:
+    """Give freed memory back to the system: a worker process outlives its task, and what one stage
+    leaves in it would be missing for the next. Does nothing where the C library can't."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
 def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, UTF-8 bytes, row offsets) of consecutive rows of about ``limit`` bytes.
 
@@ -79,6 +103,7 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[in
         hi = max(lo + 1, int(np.searchsorted(off, off[lo] + limit, side="right")) - 1)
         yield lo, hi, data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
         lo = hi
+    release_memory()
 
 
 # 64-bit odd multiplier of the polynomial word hash, and the constants of the SplitMix64 finaliser.

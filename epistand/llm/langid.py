@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epistand.llm.common import Shared
+from epistand.llm.common import Shared, release_memory
 
 BITS = 16  # bits of a symbol in an n-gram code; order 4 fills 64 bits
 SPACE, OTHER = 0, 1  # any run of non-letters; a letter that training has not seen
@@ -52,6 +52,7 @@ def text_parts(column: pa.Array, limit: int = _BLOCK_CHARS):
             part, size = [], 0
     if part:
         yield part
+    release_memory()
 
 
 def symbols(cps: np.ndarray, lengths: np.ndarray, alphabet: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
