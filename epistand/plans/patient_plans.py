@@ -21,14 +21,18 @@ from epistand.sources.patient_table import PatientTable, fingerprint, patient_ta
 INPUTS = ("lineitem", "orders", "customer", "nation")
 
 
+def source_records(src) -> DataFrame:
+    return all_records(src.episodes, src.episodes_historic, src.deaths)
+
+
 def base_records(src) -> DataFrame:
-    return with_area(all_records(src.episodes, src.episodes_historic, src.deaths), src.postcode_lookup)
+    return with_area(source_records(src), src.postcode_lookup)
 
 
 def layout(src, buckets: int | None = None) -> PatientTable:
     """The bucketed table of a source folder, written once for each state of its files."""
-    key = fingerprint(src.spark, [os.path.join(src.sf_dir, f"{t}.parquet") for t in INPUTS], "layout-2", buckets)
-    return patient_table(src.spark, base_records(src), key, buckets=buckets,
+    key = fingerprint(src.spark, [os.path.join(src.sf_dir, f"{t}.parquet") for t in INPUTS], "layout-3", buckets)
+    return patient_table(src.spark, source_records(src), key, buckets=buckets, lookup=src.postcode_lookup,
                          name="patients-" + os.path.basename(os.path.normpath(src.sf_dir)))
 
 

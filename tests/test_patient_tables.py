@@ -14,7 +14,7 @@ from epistand.params import ASTHMA_STAY_CODES, COPD_DEATH_CODES, COPD_STAY_CODES
 from epistand.plans import copd, patient_plans
 from epistand.plans.catalogue import LOOKBACK_COLUMNS, T_ASTHMA, T_COPD, queries
 from epistand.plans.incidence_topics import stacked_stays
-from epistand.sources.patient_table import PatientTable, fingerprint, patient_table
+from epistand.sources.patient_table import PatientTable, _with_area_inside, fingerprint, patient_table
 from epistand.sources.testdata import Sources
 
 SF = "/root/testdata/sf0.001"
@@ -70,6 +70,51 @@ def test_hot_patients_go_aside_and_nothing_changes(spark, monkeypatch, fresh):
     assert rows(patient_plans.first_admissions(t, ASTHMA_STAY_CODES, T_ASTHMA.stay_window)) == rows(first)
 
 
+class Strays(Hot):
+    """Sources with a few records of a missing patient, and patients with several postcodes."""
+
+    def __init__(self, src):
+        for name in ("episodes", "episodes_historic", "deaths"):
+            df = getattr(src, name)
+            h = F.abs(F.xxhash64(*df.columns))
+            df = df.withColumn("link_no", F.when(h % 100 == 0, F.lit(None)).otherwise(F.col("link_no")))
+            if name != "deaths":
+                df = df.withColumn("dr_postcode", F.when(h % 3 == 1, (h % 150).cast("string")).otherwise(F.col("dr_postcode")))
+            setattr(self, name, df)
+        self.postcode_lookup = src.postcode_lookup
+
+
+@pytest.mark.parametrize("sources", [Sources, Hot, Strays])
+def test_areas_looked_up_by_patient_are_those_of_each_record(spark, monkeypatch, fresh, sources):
+    monkeypatch.setattr("epistand.sources.patient_table.LEAST_ASIDE", 100)
+    monkeypatch.setattr("epistand.sources.patient_table.TASK_ROWS", 200)
+    src = Sources(spark, SF) if sources is Sources else sources(Sources(spark, SF))
+    t = patient_table(spark, patient_plans.source_records(src), "areas", name=fresh, lookup=src.postcode_lookup)
+    want = patient_plans.base_records(src).drop("record_no")
+    assert rows(t.per_patient(lambda x: x.select(*want.columns))) == rows(want)
+    assert not t.light.where("link_no is null").count()
+    # a bucket is written by several tasks, each with records of one bucket only
+    parts = t.light.groupBy(F.col("_metadata.file_name").alias("f"), F.expr("pmod(hash(link_no), 8)").alias("b")).count().collect()
+    assert t.buckets == 8 and len({r.f for r in parts}) == len(parts) > 16
+    assert {int(r.f.split("_")[1].split(".")[0]) for r in parts} == {r.b for r in parts} == set(range(8))
+
+
+def test_whole_records_are_exchanged_once(spark, fresh):
+    src = Sources(spark, SF)
+    places = src.episodes.select("link_no", "dr_postcode").distinct()
+    plan = plan_of(_with_area_inside(src.episodes, places, src.postcode_lookup, 16))
+    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(link_no" in line and "REPARTITION_BY_NUM" in line]
+    above = plan[:plan.index("Exchange")]
+    assert len(wide) == 2 and "ShuffledHashJoin [link_no" in above and "Sort " not in above
+
+
+def test_repeated_postcode_stops_the_layout(spark, fresh):
+    src = Hot(Sources(spark, SF))
+    twice = src.postcode_lookup.unionAll(src.postcode_lookup)
+    with pytest.raises(Exception, match="more than once"):
+        patient_table(spark, patient_plans.source_records(src), "twice", name=fresh, lookup=twice)
+
+
 def test_table_is_reused_and_superseded_ones_are_dropped(spark, fresh):
     records = patient_plans.base_records(Sources(spark, SF))
     a = patient_table(spark, records, "state1", name=fresh)
