@@ -18,6 +18,7 @@ import os
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,7 @@ from epistand.llm.common import shared_table, text_blocks
 
 SEGMENT_IDS = 4_000_000  # ids of a file; a longer document has a file alone
 SEGMENT_DOCS = 250_000
+TEXT_BYTES = 4 << 20  # text encoded at a time: its distinct pieces are looked up once
 RANGE_BYTES = 32 << 20  # text dealt to one range
 MAX_RANGES = 20_000  # beyond, ranges grow; a range is streamed segment by segment
 SAMPLE = 512  # ones of the high bits between two kept positions
@@ -244,11 +246,11 @@ class PieceTokenizer:
         buffers = [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        new = [p for p in distinct if p not in self.known]
-        if new:
-            self._learn(new)
-        known = self.known
-        piece = np.fromiter(map(known.__getitem__, distinct), np.int64, len(distinct))
+        piece = np.fromiter(map(self.known.get, distinct, repeat(-1)), np.int64, len(distinct))
+        new = np.flatnonzero(piece < 0)
+        if len(new):
+            piece[new] = np.arange(self.pieces, self.pieces + len(new))
+            self._learn([distinct[i] for i in new.tolist()])
         piece = piece[coded.indices.to_numpy(zero_copy_only=False)] if distinct else starts
         lens = self.first[piece + 1] - self.first[piece]
         row_ends = np.searchsorted(starts, offsets[1:])
@@ -287,7 +289,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, key: str = "do
             return pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], ["segment"])
 
         for batch in batches:
-            for lo, hi, data, offsets in text_blocks(batch.column(1)):
+            for lo, hi, data, offsets in text_blocks(batch.column(1), TEXT_BYTES):
                 got, n = coder.encode(data, offsets, end_id)
                 if counts and (held + len(got) > SEGMENT_IDS or sum(map(len, counts)) + len(n) > SEGMENT_DOCS):
                     yield flush()

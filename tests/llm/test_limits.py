@@ -1,8 +1,10 @@
-"""No caps: many vector lengths, any page id, many spans before a candidate."""
+"""No caps: many vector lengths, any page id, many spans before a candidate. Bounded work in a worker."""
 
 import random
 
-from epistand.llm import pii, vector_join, warc
+import numpy as np
+
+from epistand.llm import pii, token_files, vector_join, warc
 
 
 def test_vectors_of_many_lengths(spark):
@@ -48,3 +50,32 @@ def test_a_long_span_before_many_short_ones():
     assert email[1] == 0 and sum(s[0] == 1 for s in strict) == 12
     loose = list(pii.loose_spans(text, strict))
     assert all(s >= email[2] for _, s, _ in loose) and any(k == 2 for k, _, _ in loose)
+
+
+def test_a_distinct_piece_is_looked_up_once_a_block(monkeypatch):
+    import public_tokenizers
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *a):
+            Counted.asked += 1
+            return super().get(*a)
+
+        def __contains__(self, k):
+            Counted.asked += 1
+            return super().__contains__(k)
+
+        def __getitem__(self, k):
+            Counted.asked += 1
+            return super().__getitem__(k)
+
+    coder = token_files.PieceTokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    coder.known = Counted()
+    for texts in (["one two three", "two one", ""], ["three four", "one"]):
+        raw = [t.encode() for t in texts]
+        offsets = np.cumsum([0, *map(len, raw)])
+        ids, counts = coder.encode(np.frombuffer(b"".join(raw), np.uint8), offsets, 2)
+        want = [coder.tok.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+        assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
+    assert Counted.asked == 8  # "one", " two", " three", "two", " one"; "three", " four", "one"
