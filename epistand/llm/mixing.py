@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epistand.llm.common import Shared, shared_table, text_blocks, word_hashes
+from epistand.llm.common import BLOCK_BYTES, Shared, shared_table, text_blocks, word_hashes
 
 
 def _features(column: pa.Array, width: int):
     """(rows, bucket of each word, row of each word, words per row) for blocks of texts."""
-    for lo, hi, data, offsets in text_blocks(column):
+    for lo, hi, data, offsets in text_blocks(column, BLOCK_BYTES // 2):
         h, before = word_hashes(data, offsets)
         n = np.diff(before)
         yield lo, hi, (h % np.uint64(width)).astype(np.int64), np.repeat(np.arange(hi - lo), n), n

@@ -25,7 +25,7 @@ from epistand.llm.langid import text_parts
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = 0x2581  # stands for a space inside pieces
-_BLOCK = 2_000_000
+_BLOCK = 250_000  # characters whose lattices are in memory at a time; a longer text forms a block alone
 _SLOT_BITS = 20
 
 

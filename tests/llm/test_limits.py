@@ -3,8 +3,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
-from epistand.llm import pii, token_files, vector_join, warc
+from epistand.llm import pii, sentencepiece_ffbs, token_files, vector_join, warc
+from epistand.llm.langid import text_parts
 
 
 def test_vectors_of_many_lengths(spark):
@@ -52,6 +54,24 @@ def test_a_long_span_before_many_short_ones():
     assert all(s >= email[2] for _, s, _ in loose) and any(k == 2 for k, _, _ in loose)
 
 
+def test_lattices_of_much_text_stay_small():
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    words = ["".join(chr(97 + i) for i in rng.integers(0, 26, n)) for n in rng.integers(2, 9, 30_000)]
+    texts = [" ".join(words[i] for i in rng.integers(0, len(words), 400)) for _ in range(1000)]
+    pieces = sentencepiece_ffbs.load_pieces()
+    encode = lambda part: sentencepiece_ffbs.encode_block(part, np.zeros(len(part), np.int64), pieces)
+    encode(texts[:1])  # tables that are built once
+    tracemalloc.start()
+    for part in text_parts(pa.array(texts), sentencepiece_ffbs._BLOCK):
+        ids, count = encode(part)
+        assert [b.decode() for b in sentencepiece_ffbs.decode_block(ids, count, pieces)] == part
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6, peak
+
+
 def test_a_distinct_piece_is_looked_up_once_a_block(monkeypatch):
     import public_tokenizers
 
