@@ -43,7 +43,16 @@ def shared_table(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._shared_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``shared_table`` wrote for ``tables``, which nothing may read any more."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._shared_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class Shared:
@@ -197,7 +206,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
                  .union(low.select("u", F.col("m").alias("v"))).distinct())
-        cur = shared_table(small, "cc")
+        before, cur = cur, shared_table(small, "cc")
+        discard(before)
         now = digest(cur)
         if now == seen:
             return _labels(cur)

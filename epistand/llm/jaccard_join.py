@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from epistand.llm.common import connected_components, mix64, ngram_hashes, shared_table, text_blocks, word_hashes
+from epistand.llm.common import BLOCK_BYTES, connected_components, discard, mix64, ngram_hashes, shared_table, text_blocks, word_hashes
 
 _CHUNK_BITS = 16  # a bit set is dealt in chunks of 8 KB
 _PARTS = 8  # leading bits of a cell's position that deal the counting
@@ -44,7 +44,7 @@ def shingle_sets(column: pa.Array, n: int):
 
     A row's hashes are distinct and ascending, HASH_BITS bits each. A text with fewer than n words has its
     whole word sequence as one; without words the set is empty."""
-    for lo, hi, data, offsets in text_blocks(column):
+    for lo, hi, data, offsets in text_blocks(column, BLOCK_BYTES // 2):
         words, before = word_hashes(data, offsets)
         count = np.diff(before)
         gram = ngram_hashes(words, n)
@@ -251,6 +251,7 @@ class JaccardJoin:
             while sum(c for level, c in sizes.items() if 2 ** (level + 1) > limit + 1) > (1 << self.bits) // 8:
                 limit *= 2
             sets.append(bit_set(counts.where(F.col("k") > limit), "h", self.bits))
+        discard(counts)
         return self.spark.sparkContext.broadcast(sets)
 
     def prefixes(self, common) -> DataFrame:
@@ -300,9 +301,12 @@ class JaccardJoin:
         sets = shared_table(found.join(needed, same).select("cid", "s"), "sets")
         # rows that repeat both key and text
         again = shared_table(sets.groupBy("cid").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("cid"), "again")
-        if again.isEmpty():
-            return sets
-        return shared_table(sets.join(again, "cid", "left_anti").union(sets.join(again, "cid").groupBy("cid").agg(F.any_value("s"))), "sets")
+        if not again.isEmpty():
+            once = shared_table(sets.join(again, "cid", "left_anti").union(sets.join(again, "cid").groupBy("cid").agg(F.any_value("s"))), "sets")
+            discard(sets)
+            sets = once
+        discard(again)
+        return sets
 
     def enough(self, overlap, a, b):
         return overlap * (self.num + self.den) >= (a + b) * self.num
@@ -310,8 +314,8 @@ class JaccardJoin:
     def sizes_fit(self, a, b):
         return (F.least(a, b) * self.den) >= F.greatest(a, b) * self.num
 
-    def prefix_filter(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """Pairs (x, y, ...) that the prefixes don't rule out, with nx and ny.
+    def prefix_filter(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
+        """Pairs (x, y, ...) that the prefixes don't rule out, with nx and ny, as a table called ``name``.
 
         What one prefix has up to the end of the shorter-reaching one and the other lacks, the
         other set lacks."""
@@ -325,11 +329,13 @@ class JaccardJoin:
         lost = lambda a, b: F.size(F.filter(F.array_except(a, b), lambda t: t <= F.col("reach")))
         good = (self.enough(F.col("nx") - lost("px", "py"), F.col("nx"), F.col("ny"))
                 & self.enough(F.col("ny") - lost("py", "px"), F.col("nx"), F.col("ny")))
-        return p.where(self.sizes_fit(F.col("nx"), F.col("ny")) & good).drop("px", "py", "reach")
+        out = shared_table(p.where(self.sizes_fit(F.col("nx"), F.col("ny")) & good).drop("px", "py", "reach"), name)
+        discard(pairs, ids)
+        return out
 
     def compare(self, pairs: DataFrame, classes: DataFrame, common) -> DataFrame:
         """Pairs (x, y, nx, ny) with their overlap, from the whole sets, and both differences (dx, dy)
-        of highly similar ones."""
+        of highly similar ones, as a table."""
         needed = pairs.select(F.col("x").alias("cid")).union(pairs.select("y")).distinct()
         needed = shared_table(needed.join(classes.select("cid", "low", "d1", "d2"), "cid"), "needed")
         sets = self.sets(needed, common)
@@ -339,7 +345,10 @@ class JaccardJoin:
         p = p.withColumn("overlap", F.col("nx") - F.size("dx"))
         # differences of sets that aren't highly similar are long and of no use to others
         close = F.col("overlap") * self.den >= F.greatest("nx", "ny") * (2 * self.num - self.den)
-        return p.select("x", "y", "nx", "ny", "overlap", F.when(close, F.col("dx")).alias("dx"), F.when(close, F.col("dy")).alias("dy"))
+        p = p.select("x", "y", "nx", "ny", "overlap", F.when(close, F.col("dx")).alias("dx"), F.when(close, F.col("dy")).alias("dy"))
+        out = shared_table(p, "compared")
+        discard(needed, sets)
+        return out
 
     def run(self) -> DataFrame:
         common = self.common_grams()
@@ -397,8 +406,9 @@ class JaccardJoin:
         alike = (alike.join(heads, ["i", "t"]).where("cid <> lead.cid")
                  .where(self.may_link("lead.pos", "lead.n", "lead.sketch", "pos", "n", "sketch"))
                  .select(F.least("lead.cid", "cid").alias("x"), F.greatest("lead.cid", "cid").alias("y")))
-        star = shared_table(self.prefix_filter(star.union(alike).distinct(), classes), "star")
-        first = shared_table(self.compare(star, classes, common), "compared")
+        star = self.prefix_filter(star.union(alike).distinct(), classes, "star")
+        first = self.compare(star, classes, common)
+        discard(star)
         label = connected_components(first.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))), "x", "y")
         # each member's differences to one leader: the smaller end of its highly similar pairs
         none = F.array().cast("array<long>")
@@ -408,6 +418,7 @@ class JaccardJoin:
                  .union(own).groupBy("cid").agg(F.min_by(F.struct(F.col("x").alias("leader"), "lost", "new", "n_leader"), "x").alias("v"))
                  .select("cid", "v.*"))
         known = shared_table(known, "known")
+        discard(first)
 
         # 2. of the members with a leader, those outside the list's main component against another of
         # that, by both sets' differences to a common leader; each list has a member of its own for this
@@ -418,11 +429,13 @@ class JaccardJoin:
                 .select(F.col("o.cid").alias("x"), F.col("cid").alias("y"), F.col("o.n").alias("nx"), F.col("n").alias("ny")).distinct())
         near = self.derive(near, known).where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y")
         label = merged_components(label, near)
+        discard(mixed)
 
         # 3. all pairs of different components that are still open
         leaders = lead.select("t", "block", F.explode("leads.cid").alias("cid"), F.lit(True).alias("leads"))
         mixed = self.mixed_lists(lists, label).join(leaders, ["t", "block", "cid"], "left")
         mixed = shared_table(mixed.withColumn("leads", F.coalesce("leads", F.lit(False))), "mixed")
+        discard(lists, lead)
         side = ("cid", "n", "pos", "sketch", "block", "comp", "leads", "p1", "p2")
         strip = lambda c: F.floor(c / STRIP).cast("int")
         a = mixed.where("comp <> main").select("t", *[F.col(c).alias(f"a_{c}") for c in side])
@@ -442,8 +455,9 @@ class JaccardJoin:
                         F.when(first_is_a, F.col("a_n")).otherwise(F.col("b_n")).alias("nx"),
                         F.when(first_is_a, F.col("b_n")).otherwise(F.col("a_n")).alias("ny")).distinct())
         rest = shared_table(self.derive(rest, known), "rest")
+        discard(mixed, known)
         late = rest.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y")
-        open_ = shared_table(self.prefix_filter(rest.where("overlap is null").select("x", "y"), classes), "open")
+        open_ = self.prefix_filter(rest.where("overlap is null").select("x", "y"), classes, "open")
         if not open_.isEmpty():
             second = self.compare(open_, classes, common)
             late = late.union(second.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y"))

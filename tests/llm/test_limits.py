@@ -1,12 +1,14 @@
 """No caps: many vector lengths, any page id, many spans before a candidate. Bounded work in a worker."""
 
+import os
 import random
 
 import numpy as np
 import pyarrow as pa
 
-from epistand.llm import pii, sentencepiece_ffbs, token_files, vector_join, warc
+from epistand.llm import jaccard_join, pii, sentencepiece_ffbs, token_files, vector_join, warc
 from epistand.llm.langid import text_parts
+from epistand.session import ensure_checkpoint_dir
 
 
 def test_vectors_of_many_lengths(spark):
@@ -99,3 +101,19 @@ def test_a_distinct_piece_is_looked_up_once_a_block(monkeypatch):
         want = [coder.tok.encode(t, add_special_tokens=False).ids + [2] for t in texts]
         assert ids.tolist() == sum(want, []) and counts.tolist() == [len(w) for w in want]
     assert Counted.asked == 8  # "one", " two", " three", "two", " one"; "three", " four", "one"
+
+
+def test_tables_that_nothing_reads_any_more_are_deleted(spark):
+    folder = ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    rng = random.Random(4)
+    texts = [" ".join(str(rng.randrange(900)) for _ in range(60)) for _ in range(40)]
+    texts += [t + f" x{i}" for i, t in enumerate(texts)] + texts[:5]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), words=3, num=90)
+    got = {r.doc_id: r.component_id for r in got.collect()}
+    sets = [{tuple(w[i:i + 3]) for i in range(len(w) - 2)} for w in (t.split() for t in texts)]
+    for i, s in enumerate(sets):
+        assert got[i] == next(j for j, o in enumerate(sets) if 100 * len(s & o) >= 90 * len(s | o))
+    left = {name.split("-")[1] for name in set(os.listdir(folder)) - before if name.startswith("llm-")}
+    assert not left & {"common", "lists", "leaders", "pairs", "ids", "star", "needed", "sets", "again", "known", "mixed"}, left
