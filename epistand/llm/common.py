@@ -128,16 +128,27 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-_POWERS: list[np.ndarray] = []
+class _Made(list):
+    """Tables that a process makes for itself: shipped by value, the list is empty, so that what the
+    driver has made does not travel with every function that uses it."""
+
+    def __reduce__(self):
+        return _Made, ()
+
+
+_POWERS: list[np.ndarray] = _Made()
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
+    """At least ``n`` powers of the base and of its inverse modulo 2**64, from power 0 on."""
     if not _POWERS or len(_POWERS[0]) < n:
-        with np.errstate(over="ignore"):
-            inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
-            fill = lambda b: np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, b, np.uint64))])
-            _POWERS[:] = [fill(_BASE), fill(inverse)]
+        n = 1 << (max(BLOCK_BYTES // 2, n) - 1).bit_length()  # grows by doubling
+        _POWERS.clear()
+        for b in (_BASE, np.uint64(pow(int(_BASE), -1, 1 << 64))):
+            table = np.full(n, b, np.uint64)
+            table[0] = 1
+            with np.errstate(over="ignore"):
+                _POWERS.append(np.cumprod(table, out=table))
     return _POWERS[0], _POWERS[1]
 
 
@@ -160,7 +171,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     after = np.concatenate([word[1:], [False]])
     starts = np.flatnonzero(word & (~before | cut[:-1]))
     ends = np.flatnonzero(word & (~after | cut[1:])) + 1
-    up, down = _powers(max(n, BLOCK_BYTES))
+    up, down = _powers(n)
     with np.errstate(over="ignore"):
         sums = np.empty(n + 1, np.uint64)
         sums[0] = 0

@@ -25,7 +25,7 @@ from epistand.llm.langid import text_parts
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 _MARK = 0x2581  # stands for a space inside pieces
-_BLOCK = 250_000  # characters whose lattices are in memory at a time; a longer text forms a block alone
+_BLOCK = 60_000  # characters whose lattices are in memory at a time; a longer text forms a block alone
 _SLOT_BITS = 20
 
 
@@ -98,7 +98,7 @@ def load_pieces(model_file: str = DEFAULT_MODEL, sharpness: float = 1.0) -> Piec
 
 
 def prefix_sums(cps: np.ndarray) -> np.ndarray:
-    up, _ = _powers(max(len(cps), 1 << 20))
+    up, _ = _powers(len(cps))
     sums = np.zeros(len(cps) + 1, np.uint64)
     with np.errstate(over="ignore"):
         np.cumsum((cps.astype(np.uint64) + np.uint64(1)) * up[:len(cps)], out=sums[1:])

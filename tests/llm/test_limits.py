@@ -3,8 +3,11 @@
 import os
 import random
 
+import corpus_pipeline
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from epistand.llm import jaccard_join, pii, sentencepiece_ffbs, token_files, vector_join, warc
 from epistand.llm.langid import text_parts
@@ -74,6 +77,39 @@ def test_lattices_of_much_text_stay_small():
     assert peak < 100e6, peak
 
 
+def test_blocks_of_lattices_take_little_memory():
+    import tracemalloc
+
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=rng.randrange(2, 9))) for _ in range(300)) for _ in range(300)]
+    pieces = sentencepiece_ffbs.load_pieces()
+    sentencepiece_ffbs.encode_block(texts[:1], np.zeros(1, np.int64), pieces)  # tables that are built once
+    tracemalloc.start()
+    for part in text_parts(pa.array(texts), sentencepiece_ffbs._BLOCK):
+        sentencepiece_ffbs.encode_block(part, np.zeros(len(part), np.int64), pieces)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6, peak
+
+
+def test_tables_made_in_the_driver_are_not_sent_with_functions():
+    sentencepiece_ffbs.load_pieces()  # makes tables of powers here
+    for f in (sentencepiece_ffbs.encode_block, jaccard_join.shingle_sets):
+        assert len(cloudpickle.dumps(f)) < 1_000_000
+
+
+def test_the_token_stage_sends_few_rows_at_a_time(spark, monkeypatch):
+    def counted(column, limit):
+        assert len(column) <= 1000
+        return text_parts(column, limit)
+
+    monkeypatch.setattr(sentencepiece_ffbs, "text_parts", counted)
+    docs = spark.range(2500).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"))
+    rows = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    got = corpus_pipeline.tokens(spark, docs.coalesce(1), "").where("lossless and n_pieces > 0").count()
+    assert got == 2500 and spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == rows
+
+
 def test_a_distinct_piece_is_looked_up_once_a_block(monkeypatch):
     import public_tokenizers
 
