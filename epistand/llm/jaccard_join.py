@@ -9,10 +9,13 @@ n - ceil(t n) + 1 share an n-gram, so the index lists hold prefix n-grams with p
   n-grams missing within the common part of both prefixes leave too little for the threshold.
 * Answer skipping: first every block compares its members with one leader only (linear in the
   postings). A member linked with the leader has the leader's answers: members of one component
-  are never compared. Then members outside a list's main component are tried against another of
-  its members, and at last all pairs that are still open are decided; in both steps the overlap
-  follows from the sets' differences to their common leader where these are known, without
-  touching the sets. So a group of near copies costs a few comparisons per member.
+  are never compared. One leader is the block's most central member; in long blocks members that
+  just fail to link with it are compared too, so that a group of near copies has one leader. Then
+  members outside a list's main component are tried against another of its members, and at last
+  all pairs that are still open are decided; in both steps the overlap follows from the sets'
+  differences to their common leader where these are known, without touching the sets. Two sets
+  with the same leader don't meet in the lists: where they can link, enough of their differences
+  are the same ones, and they meet there. So a group of near copies costs a few comparisons per member.
 
 All remaining pairs of different components that pass the filters are decided exactly, so no link
 between components is missed and none below the threshold is made.
@@ -34,7 +37,8 @@ _PARTS = 8  # leading bits of a cell's position that deal the counting
 HASH_BITS = 60  # of an n-gram; its frequency class stands above them
 SKETCH_WORDS = 4  # 64-bit words of a set's parity sketch
 MINHASHES = 4
-LEADERS = 4  # of each block: the members that come first in as many fixed random orders
+LEADERS = 2  # of each block, besides its most central member: those that come first in as many fixed random orders
+HUB = 8  # postings of a block from which members that just fail to link with the central one are compared with it
 STRIP = 3  # neighbouring blocks dealt together where all open pairs are met
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
@@ -217,6 +221,7 @@ class JaccardJoin:
     def __init__(self, docs: DataFrame, key: str, text: str, n: int, num: int, den: int, common: tuple[int, ...], bits: int):
         self.docs = docs.select(docs[key].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
         self.n, self.num, self.den, self.common, self.bits = n, num, den, common, bits
+        self.loose = max(1, num - (den - num + 1) // 2)  # a threshold that sets which just fail to link meet
         self.spark = docs.sparkSession
 
     def common_grams(self):
@@ -308,14 +313,16 @@ class JaccardJoin:
         discard(again)
         return sets
 
-    def enough(self, overlap, a, b):
-        return overlap * (self.num + self.den) >= (a + b) * self.num
+    def enough(self, overlap, a, b, num: int | None = None):
+        num = num or self.num
+        return overlap * (num + self.den) >= (a + b) * num
 
-    def sizes_fit(self, a, b):
-        return (F.least(a, b) * self.den) >= F.greatest(a, b) * self.num
+    def sizes_fit(self, a, b, num: int | None = None):
+        return (F.least(a, b) * self.den) >= F.greatest(a, b) * (num or self.num)
 
-    def prefix_filter(self, pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
-        """Pairs (x, y, ...) that the prefixes don't rule out, with nx and ny, as a table called ``name``.
+    def prefix_filter(self, pairs: DataFrame, classes: DataFrame, name: str, num: int | None = None) -> DataFrame:
+        """Pairs (x, y, ...) that the prefixes don't rule out at threshold ``num``, with nx and ny, as a
+        table called ``name``.
 
         What one prefix has up to the end of the shorter-reaching one and the other lacks, the
         other set lacks."""
@@ -327,9 +334,9 @@ class JaccardJoin:
              .join(side.select(F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("prefix").alias("py")), "y"))
         p = p.withColumn("reach", F.least(F.element_at("px", -1), F.element_at("py", -1)))
         lost = lambda a, b: F.size(F.filter(F.array_except(a, b), lambda t: t <= F.col("reach")))
-        good = (self.enough(F.col("nx") - lost("px", "py"), F.col("nx"), F.col("ny"))
-                & self.enough(F.col("ny") - lost("py", "px"), F.col("nx"), F.col("ny")))
-        out = shared_table(p.where(self.sizes_fit(F.col("nx"), F.col("ny")) & good).drop("px", "py", "reach"), name)
+        good = (self.enough(F.col("nx") - lost("px", "py"), F.col("nx"), F.col("ny"), num)
+                & self.enough(F.col("ny") - lost("py", "px"), F.col("nx"), F.col("ny"), num))
+        out = shared_table(p.where(self.sizes_fit(F.col("nx"), F.col("ny"), num) & good).drop("px", "py", "reach"), name)
         discard(pairs, ids)
         return out
 
@@ -353,18 +360,21 @@ class JaccardJoin:
     def run(self) -> DataFrame:
         common = self.common_grams()
         per_doc = shared_table(self.prefixes(common), "prefixes")
-        some = per_doc.where("n > 0")
-        classes = some.groupBy("n", "d1", "d2").agg(F.any_value(F.struct("sketch", "hashes", "prefix")).alias("v"), F.min("doc_id").alias("low"))
+        rows = shared_table(per_doc.select("doc_id", "n", "d1", "d2"), "rows")
+        classes = per_doc.where("n > 0").groupBy("n", "d1", "d2").agg(F.any_value(F.struct("sketch", "hashes", "prefix")).alias("v"), F.min("doc_id").alias("low"))
         classes = classes.select("n", "d1", "d2", "v.sketch", "v.hashes", "v.prefix", "low", F.monotonically_increasing_id().alias("cid"))
         classes = shared_table(classes, "classes")
+        discard(per_doc)
         component = self.components(classes, common)
         lowest = (classes.select(F.col("cid").alias("id"), "low").join(component, "id").groupBy("component_id")
                   .agg(F.min("low").alias("lowest")))
         component = component.join(lowest, "component_id").select("id", "lowest")
         named = (classes.select("n", "d1", "d2", "low", F.col("cid").alias("id")).join(component, "id", "left")
                  .select("n", "d1", "d2", F.coalesce("lowest", "low").alias("component_id")))
-        matched = some.select("doc_id", "n", "d1", "d2").join(named, ["n", "d1", "d2"]).select("doc_id", "n", "component_id")
-        empty = per_doc.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
+        named = shared_table(named, "named")
+        discard(classes)
+        matched = rows.where("n > 0").join(named, ["n", "d1", "d2"]).select("doc_id", "n", "component_id")
+        empty = rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
         return matched.union(empty).withColumnRenamed("n", "n_shingles")
 
     def components(self, classes: DataFrame, common) -> DataFrame:
@@ -395,10 +405,15 @@ class JaccardJoin:
         # 1. every member against its block's leaders
         entry = F.struct("cid", "n", "pos", "sketch")
         first_of = [F.min_by(entry, F.xxhash64(F.lit(i), "cid")) for i in range(LEADERS)]
-        lead = shared_table(lists.groupBy("t", "block").agg(F.count(F.lit(1)).alias("k"), F.array_distinct(F.array(*first_of)).alias("leads"))
-                            .where("k > 1").drop("k"), "leaders")
-        star = (lists.join(lead.select("t", "block", F.explode("leads").alias("lead")), ["t", "block"]).where("cid <> lead.cid")
-                .where(self.may_link("lead.pos", "lead.n", "lead.sketch", "pos", "n", "sketch"))
+        # central: the fewest rarer n-grams before this one, as members have them of their own
+        hub = F.min_by(entry, F.struct("pos", "n", "cid"))
+        lead = (lists.groupBy("t", "block").agg(F.count(F.lit(1)).alias("k"), F.array(hub, *first_of).alias("leads")).where("k > 1"))
+        hub = F.when(F.col("k") >= HUB, F.get("leads", F.lit(0))["cid"])
+        lead = shared_table(lead.select("t", "block", hub.alias("hub"), F.array_distinct("leads").alias("leads")), "leaders")
+        star = (lists.join(lead.select("t", "block", "hub", F.explode("leads").alias("lead")), ["t", "block"]).where("cid <> lead.cid")
+                .where(self.may_link("lead.pos", "lead.n", "lead.sketch", "pos", "n", "sketch")
+                       | (F.coalesce(F.col("hub") == F.col("lead.cid"), F.lit(False)) & self.sizes_fit(F.col("n"), F.col("lead.n"), self.loose)
+                          & self.may_link("lead.pos", "lead.n", "lead.sketch", "pos", "n", "sketch", self.loose)))
                 .select(F.least("lead.cid", "cid").alias("x"), F.greatest("lead.cid", "cid").alias("y")).distinct())
         # and of the blocks of sets with a min-hash in common, where highly similar sets meet at once
         alike = classes.select(F.posexplode("hashes").alias("i", "t"), "cid", "n", "sketch", F.lit(0).alias("pos"))
@@ -406,19 +421,26 @@ class JaccardJoin:
         alike = (alike.join(heads, ["i", "t"]).where("cid <> lead.cid")
                  .where(self.may_link("lead.pos", "lead.n", "lead.sketch", "pos", "n", "sketch"))
                  .select(F.least("lead.cid", "cid").alias("x"), F.greatest("lead.cid", "cid").alias("y")))
-        star = self.prefix_filter(star.union(alike).distinct(), classes, "star")
+        star = self.prefix_filter(star.union(alike).distinct(), classes, "star", self.loose)
         first = self.compare(star, classes, common)
         discard(star)
         label = connected_components(first.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))), "x", "y")
-        # each member's differences to one leader: the smaller end of its highly similar pairs
-        none = F.array().cast("array<long>")
+        # each member's differences to one leader: the one that most sets are highly similar to
         close = first.where("dx is not null")
-        own = close.select("x", F.col("x").alias("cid"), none.alias("lost"), none.alias("new"), F.col("nx").alias("n_leader")).distinct()
-        known = (close.select("x", F.col("y").alias("cid"), F.col("dx").alias("lost"), F.col("dy").alias("new"), F.col("nx").alias("n_leader"))
-                 .union(own).groupBy("cid").agg(F.min_by(F.struct(F.col("x").alias("leader"), "lost", "new", "n_leader"), "x").alias("v"))
-                 .select("cid", "v.*"))
+        ends = (close.select(F.col("x").alias("leader"), F.col("nx").alias("n_leader"), F.col("y").alias("cid"))
+                .union(close.select("y", "ny", "x")))
+        many = ends.groupBy("leader", "n_leader").agg(F.count(F.lit(1)).alias("k"))
+        ends = ends.join(many, ["leader", "n_leader"]).union(many.select("leader", "n_leader", F.col("leader").alias("cid"), "k"))
+        best = ends.groupBy("cid").agg(F.max_by(F.struct("leader", "n_leader"), F.struct("k", -F.col("leader"))).alias("v")).select("cid", "v.*")
+        best = shared_table(best, "best")
+        none = F.array().cast("array<long>")
+        own = best.where("cid = leader").select("cid", "leader", none.alias("lost"), none.alias("new"), "n_leader")
+        of = lambda leader, cid, lost, new: (
+            close.select(F.col(leader).alias("leader"), F.col(cid).alias("cid"), F.col(lost).alias("lost"), F.col(new).alias("new"))
+            .join(best, ["cid", "leader"]).select("cid", "leader", "lost", "new", "n_leader"))
+        known = of("x", "y", "dx", "dy").union(of("y", "x", "dy", "dx")).union(own)
         known = shared_table(known, "known")
-        discard(first)
+        discard(first, best)
 
         # 2. of the members with a leader, those outside the list's main component against another of
         # that, by both sets' differences to a common leader; each list has a member of its own for this
@@ -433,10 +455,10 @@ class JaccardJoin:
 
         # 3. all pairs of different components that are still open
         leaders = lead.select("t", "block", F.explode("leads.cid").alias("cid"), F.lit(True).alias("leads"))
-        mixed = self.mixed_lists(lists, label).join(leaders, ["t", "block", "cid"], "left")
+        mixed = self.mixed_lists(lists, label).join(leaders, ["t", "block", "cid"], "left").join(known.select("cid", "leader"), "cid", "left")
         mixed = shared_table(mixed.withColumn("leads", F.coalesce("leads", F.lit(False))), "mixed")
         discard(lists, lead)
-        side = ("cid", "n", "pos", "sketch", "block", "comp", "leads", "p1", "p2")
+        side = ("cid", "n", "pos", "sketch", "block", "comp", "leads", "leader", "p1", "p2")
         strip = lambda c: F.floor(c / STRIP).cast("int")
         a = mixed.where("comp <> main").select("t", *[F.col(c).alias(f"a_{c}") for c in side])
         b = mixed.select("t", strip(F.col("block")).alias("at"), "main", *[F.col(c).alias(f"b_{c}") for c in side])
@@ -446,22 +468,62 @@ class JaccardJoin:
         # (or a leader has decided it there): similar sets share most of a prefix, so this list needn't have it
         met = F.coalesce(F.col("a_p1").isin(F.col("b_p1"), F.col("b_p2")), F.lit(False)) | F.coalesce(
             F.col("a_p2").isin(F.col("b_p1"), F.col("b_p2")), F.lit(False))
-        apart = (~met & (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("main")) | (F.col("a_cid") < F.col("b_cid")))
+        together = F.coalesce(F.col("a_leader") == F.col("b_leader"), F.lit(False))  # these meet by their differences
+        apart = (~met & ~together & (F.col("a_comp") != F.col("b_comp")) & ((F.col("b_comp") == F.col("main")) | (F.col("a_cid") < F.col("b_cid")))
                  & ~((F.col("a_block") == F.col("b_block")) & (F.col("a_leads") | F.col("b_leads")))
                  & self.sizes_fit(F.col("a_n"), F.col("b_n")) & self.may_link("a_pos", "a_n", "a_sketch", "b_pos", "b_n", "b_sketch"))
         first_is_a = F.col("a_cid") < F.col("b_cid")
-        rest = (a.join(b, ["t", "at"]).where(apart)
-                .select(F.least("a_cid", "b_cid").alias("x"), F.greatest("a_cid", "b_cid").alias("y"),
-                        F.when(first_is_a, F.col("a_n")).otherwise(F.col("b_n")).alias("nx"),
-                        F.when(first_is_a, F.col("b_n")).otherwise(F.col("a_n")).alias("ny")).distinct())
+        pair = (F.least("a_cid", "b_cid").alias("x"), F.greatest("a_cid", "b_cid").alias("y"),
+                F.when(first_is_a, F.col("a_n")).otherwise(F.col("b_n")).alias("nx"),
+                F.when(first_is_a, F.col("b_n")).otherwise(F.col("a_n")).alias("ny"))
+        rest = a.join(b, ["t", "at"]).where(apart).select(*pair).union(self.meet_by_differences(known, label).select(*pair)).distinct()
         rest = shared_table(self.derive(rest, known), "rest")
         discard(mixed, known)
         late = rest.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y")
         open_ = self.prefix_filter(rest.where("overlap is null").select("x", "y"), classes, "open")
+        done = [rest, open_]
         if not open_.isEmpty():
             second = self.compare(open_, classes, common)
             late = late.union(second.where(self.enough(F.col("overlap"), F.col("nx"), F.col("ny"))).select("x", "y"))
-        return merged_components(label, late)
+            done.append(second)
+        label = merged_components(label, late)
+        discard(*done)
+        return label
+
+    def meet_by_differences(self, known: DataFrame, label: DataFrame) -> DataFrame:
+        """Pairs (a_cid, b_cid, a_n, b_n, with repeats) of different components that have the same leader
+        and may link.
+
+        One of the two (a) isn't linked with the leader, or both were of one component. They differ
+        in what exactly one of them has as a difference to the leader, so they link only if enough of
+        their differences are the same. The first of these, in an order of the differences with the
+        leader's own n-grams last, leaves enough behind it in either; what a lacks to link with
+        the leader bounds how far back it can stand in b."""
+        both, gap = self.num + self.den, self.den - self.num
+        count = F.size("lost") + F.size("new")
+        n = F.col("n_leader") - F.size("lost") + F.size("new")
+        k = known.join(label.select(F.col("id").alias("cid"), "component_id"), "cid", "left")
+        k = k.select("cid", "leader", F.coalesce("component_id", "cid").alias("comp"), n.alias("n"), count.cast("long").alias("d"),
+                     self.enough(F.col("n_leader") - F.size("lost"), n, F.col("n_leader")).alias("linked"), "n_leader",
+                     F.concat(F.array_sort("new"), F.array_sort("lost")).alias("all"))
+        k = k.withColumn("bins", F.array(*[occupied_bins("all", w) for w in range(SKETCH_WORDS)]))
+        k = k.withColumn("over", F.col("d") - sum(F.bit_count(F.get("bins", F.lit(w))) for w in range(SKETCH_WORDS)))
+        mixed = k.groupBy("leader").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("leader")
+        k = k.join(mixed, "leader")
+        spread = lambda df, c, some: df.select(
+            "leader", F.posexplode(some).alias(f"{c}_i", "e"), *[F.col(x).alias(f"{c}_{x}") for x in ("cid", "comp", "n", "d", "linked", "bins", "over")])
+        least = F.floor((F.col("d") * both + (F.col("n_leader") - F.col("n")) * gap) / (2 * both))  # a pair has more in common
+        a = spread(k.where("not linked"), "a", F.col("all"))
+        b = spread(k, "b", F.slice("all", F.lit(1), F.greatest(F.lit(0), F.col("d") - least).cast("int")))
+        rest = F.least(F.col("a_d") - F.col("a_i"), F.col("b_d") - F.col("b_i"))
+        # in common: at most one for each bin that both occupy, and what one set has in its bins beyond one each
+        most = F.least("a_over", "b_over") + sum(
+            F.bit_count(F.get("a_bins", F.lit(w)).bitwiseAND(F.get("b_bins", F.lit(w)))) for w in range(SKETCH_WORDS))
+        return (a.join(b, ["leader", "e"])
+                .where((F.col("a_comp") != F.col("b_comp")) & (F.col("b_linked") | (F.col("a_cid") < F.col("b_cid")))
+                       & self.sizes_fit(F.col("a_n"), F.col("b_n"))
+                       & (F.least(rest, most) * (2 * both) >= (F.col("a_d") + F.col("b_d")) * both - (F.col("a_n") + F.col("b_n")) * gap))
+                .select("a_cid", "b_cid", "a_n", "b_n"))
 
     def mixed_lists(self, lists: DataFrame, label: DataFrame) -> DataFrame:
         """Postings of the lists with several components, with component and the list's main (most
@@ -480,15 +542,23 @@ class JaccardJoin:
         overlap = (F.col("x_n_leader") - F.size(F.array_union("x_lost", "y_lost")) + F.size(F.array_intersect("x_new", "y_new")))
         return p.select("x", "y", "nx", "ny", F.when(F.col("x_leader") == F.col("y_leader"), overlap).alias("overlap"))
 
-    def may_link(self, pos_a: str, n_a: str, sketch_a: str, pos_b: str, n_b: str, sketch_b: str):
+    def may_link(self, pos_a: str, n_a: str, sketch_a: str, pos_b: str, n_b: str, sketch_b: str, num: int | None = None):
         """Whether the rest of both sets, from this n-gram on, could be enough if it is their first
         common one, and the sketches allow the threshold."""
         best = F.least(F.col(n_a) - F.col(pos_a), F.col(n_b) - F.col(pos_b))
         words = [F.bit_count(F.get(sketch_a, F.lit(w)).bitwiseXOR(F.get(sketch_b, F.lit(w)))) for w in range(SKETCH_WORDS)]
         differ = sum(words[1:], words[0])
         # members in only one of the sets: at most (n_a + n_b) (den - num) / (den + num)
-        return (self.enough(best, F.col(n_a), F.col(n_b))
-                & (differ * (self.den + self.num) <= (F.col(n_a) + F.col(n_b)) * (self.den - self.num)))
+        num = num or self.num
+        return (self.enough(best, F.col(n_a), F.col(n_b), num)
+                & (differ * (self.den + num) <= (F.col(n_a) + F.col(n_b)) * (self.den - num)))
+
+
+def occupied_bins(column: str, word: int):
+    """Word ``word`` of the SKETCH_WORDS words whose bits say in which of as many bins members fall."""
+    bit = lambda e: F.call_function("shiftleft", F.lit(1).cast("long"), e.bitwiseAND(63).cast("int"))
+    here = lambda e: F.shiftright(e, 6).bitwiseAND(SKETCH_WORDS - 1) == word
+    return F.aggregate(column, F.lit(0).cast("long"), lambda x, e: F.when(here(e), x.bitwiseOR(bit(e))).otherwise(x))
 
 
 def merged_components(label: DataFrame, links: DataFrame) -> DataFrame:

@@ -153,3 +153,41 @@ def test_tables_that_nothing_reads_any_more_are_deleted(spark):
         assert got[i] == next(j for j, o in enumerate(sets) if 100 * len(s & o) >= 90 * len(s | o))
     left = {name.split("-")[1] for name in set(os.listdir(folder)) - before if name.startswith("llm-")}
     assert not left & {"common", "lists", "leaders", "pairs", "ids", "star", "needed", "sets", "again", "known", "mixed"}, left
+
+
+def test_near_copies_that_just_fail_to_link_do_not_meet_in_pairs(spark, monkeypatch):
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(300)]
+    spots = list(range(10, 290))
+
+    def copy(i, edits, like=()):
+        words = list(base)
+        for at in [*like, *rng.sample([s for s in spots if s not in like], edits)]:
+            words[at] = f"v{at}" if at in like else rng.choice(["", f"x{i}.{at}", f"y{i}.{at} z{i}.{at}"])
+        return " ".join(w for w in words if w)
+
+    # 5 words, 0.8: with six words replaced a copy links with the base, with seven far from each other it doesn't
+    texts = [" ".join(base)] + [copy(i, rng.randint(1, 4)) for i in range(60)] + [copy(i, rng.randint(8, 10)) for i in range(100, 180)]
+    some = rng.sample(spots, 8)
+    texts += [copy(i, 2, some) for i in range(200, 206)] + [copy(i, 3, some[:6]) for i in range(300, 306)]
+    made, real = {}, jaccard_join.shared_table
+
+    def counted(df, name):
+        out = real(df, name)
+        made.setdefault(name, []).append((out._shared_path.removeprefix("file:"), out.count() if name == "rest" else 0))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "shared_table", counted)
+    rows = list(enumerate(texts))
+    got = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), words=5, num=80)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()}
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    low = list(range(len(sets)))
+    for _ in range(8):
+        for a, s in enumerate(sets):
+            low[a] = min(low[b] for b, o in enumerate(sets) if 100 * len(s & o) >= 80 * len(s | o))
+    assert got == {i: (len(s), low[i]) for i, s in enumerate(sets)}
+    assert len(set(low)) > 60 and any(low[i] not in (0, i) for i in range(len(sets)))
+    assert sum(n for _, n in made["rest"]) <= len(sets)  # thousands of pairs lie close to the threshold
+    for name in ("prefixes", "classes", "rest", "open", "compared"):
+        assert not any(os.path.exists(path) for path, _ in made[name]), name
