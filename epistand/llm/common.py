@@ -25,24 +25,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 @contextmanager
-def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs run inside send at most ``rows`` rows at a time to Python workers."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+def arrow_batches(spark: SparkSession, rows: int | None = None, size: int | None = None) -> Iterator[None]:
+    """Jobs run inside send at most ``rows`` rows, and no further row after ``size`` bytes, at a time to
+    Python workers."""
+    names = {"spark.sql.execution.arrow.maxRecordsPerBatch": rows, "spark.sql.execution.arrow.maxBytesPerBatch": size}
+    before = {name: spark.conf.get(name, None) for name, x in names.items() if x is not None}
+    for name in before:
+        spark.conf.set(name, str(names[name]))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, x in before.items():
+            spark.conf.unset(name) if x is None else spark.conf.set(name, x)
 
 
-def shared_table(df: DataFrame, name: str) -> DataFrame:
+#: Parquet's writer asks after so many rows whether a page is full. By default it waits for 100 rows, which
+#: makes pages of 100 times a long row, and buffers of that size outside the heap on both sides.
+LONG_ROWS = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "16"}
+
+
+def shared_table(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the folder named by spark.checkpoint.dir and read it back.
 
     Cuts the lineage: a lost executor costs a re-read of shared files, not the upstream job."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._shared_path = path
     return out

@@ -31,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from epistand.llm.common import _BASE, BLOCK_BYTES, Shared, mix64, ngram_hashes, shared_table, text_blocks, word_hashes
+from epistand.llm.common import (
+    _BASE, BLOCK_BYTES, LONG_ROWS, Shared, arrow_batches, mix64, ngram_hashes, release_memory, shared_table, text_blocks, word_hashes)
 
 END, START = np.uint64(0xE0D0E0D0E0D0E0D1), np.uint64(0x5747A7745747A775)  # marks of a text's ends
 CHUNKS = 4096
@@ -39,6 +40,8 @@ PROBES = 4
 MAX_LEVEL = 200
 PAIR_BITS = np.uint64(0xFFFFFFFFFFFF0000)
 LOW = (0, 2)  # lowest bytes not sent of words and pairs
+PIECE_BYTES = BLOCK_BYTES // 4  # text of a block that is hashed at a time
+SENT_BYTES = 1 << 20  # after which a batch to a worker ends: the JVM holds each batch twice outside its heap
 
 
 def token_arrays(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,7 +139,7 @@ class BlockGrams:
 
     def __init__(self, texts: pa.Array):
         parts, self.texts = [], 0
-        for lo, hi, data, offsets in text_blocks(texts):
+        for lo, hi, data, offsets in text_blocks(texts, PIECE_BYTES):
             seq, text, start = token_arrays(data, offsets)
             parts.append((seq, text + lo, start))
             self.texts = hi
@@ -191,17 +194,31 @@ def _dealt(h: np.ndarray, groups: int) -> list[tuple[int, int, int]]:
 
 
 def text_table(rows: DataFrame) -> DataFrame:
-    """(bid, size, ids, train, texts): consecutive rows packed into blocks of about 4 MB of text."""
+    """(bid, size, ids, train, texts): rows of a task packed into blocks of up to about 4 MB of text."""
 
     def blocks(batches):
+        held, size, weight = [], 0, 0  # weight counts empty texts too
+
+        def packed():
+            n = sum(len(x) for x in held)
+            one = [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), pa.concat_arrays([x[c] for x in held]))
+                   for c in ("doc_id", "train", "text")]
+            return pa.RecordBatch.from_arrays([pa.array([size], pa.int64()), *one], ["size", "ids", "train", "texts"])
+
         for batch in batches:
-            for lo, hi, data, _ in text_blocks(batch["text"], 2 * BLOCK_BYTES):
-                one = [pa.ListArray.from_arrays(pa.array([0, hi - lo], pa.int32()), batch[c].slice(lo, hi - lo))
-                       for c in ("doc_id", "train", "text")]
-                yield pa.RecordBatch.from_arrays([pa.array([len(data)], pa.int64()), *one], ["size", "ids", "train", "texts"])
+            for lo, hi, data, _ in text_blocks(batch["text"], PIECE_BYTES):
+                more = len(data) + 16 * (hi - lo)
+                if held and weight + more > 2 * BLOCK_BYTES:
+                    yield packed()
+                    held, size, weight = [], 0, 0
+                held.append(batch.slice(lo, hi - lo))
+                size, weight = size + len(data), weight + more
+        if held:
+            yield packed()
 
-    packed = rows.mapInArrow(blocks, "size long, ids array<long>, train array<boolean>, texts array<string>")
-    return shared_table(packed.withColumn("bid", F.monotonically_increasing_id()), "blocks")
+    with arrow_batches(rows.sparkSession, size=SENT_BYTES):
+        packed = rows.mapInArrow(blocks, "size long, ids array<long>, train array<boolean>, texts array<string>")
+        return shared_table(packed.withColumn("bid", F.monotonically_increasing_id()), "blocks", LONG_ROWS)
 
 
 def count_and_probe(blocks: DataFrame, groups: int, base: float, load: float) -> DataFrame:
@@ -222,6 +239,8 @@ def count_and_probe(blocks: DataFrame, groups: int, base: float, load: float) ->
                          pa.array(np.full(len(dealt), bid)), pa.array([pack(h[a:b], LOW[kind]) for _, a, b in dealt], pa.binary()),
                          pa.array([pack(n[kind][a:b].astype(np.uint32)) for _, a, b in dealt], pa.binary())],
                         ["grp", "kind", "bid", "h", "n"])
+                del grams, trains, n, h
+                release_memory()
 
     names = ["kind", "grp", "bid", "levels", "h", "n"]
 
@@ -245,6 +264,7 @@ def count_and_probe(blocks: DataFrame, groups: int, base: float, load: float) ->
                 h, n = zip(held[kind], *new[kind], strict=True)
                 held[kind] = _summed(np.concatenate(h), np.concatenate(n))
                 new[kind].clear()
+            release_memory()
 
         with tempfile.TemporaryFile(dir=os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None) as waiting:
             for batch in batches:
@@ -273,18 +293,22 @@ def count_and_probe(blocks: DataFrame, groups: int, base: float, load: float) ->
                 chunks[c] = chunk_filter(np.concatenate([h[one], h2[two]]), np.concatenate([n[one], n2[two]]), base, load)
             held = [None, None]
             del h, n, h2, n2, of, of2
+            release_memory()
             bits = ChunkFilter(chunks)
+            chunks.clear()
             asked, size, end = [], 0, waiting.tell()
             waiting.seek(0)
             while waiting.tell() < end:
                 kind, bid, data = pickle.load(waiting)
                 asked.append((kind, bid, unpack(data, np.uint64, LOW[kind])))
                 size += len(asked[-1][2])
-                if size > 500_000:
+                if size > 250_000:
                     yield answers(bits, group, asked)
                     asked, size = [], 0
             if asked:
                 yield answers(bits, group, asked)
+            del bits, asked
+        release_memory()
 
     sent = blocks.select("bid", "train", "texts").mapInArrow(count, "grp int, kind int, bid long, h binary, n binary")
     return (sent.repartitionById(groups, F.col("grp"))
@@ -310,7 +334,8 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
     blocks = text_table(rows)
     whole = blocks.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     groups = min(CHUNKS, max(n, -(-whole // filter_bytes)))
-    found = shared_table(count_and_probe(blocks, groups, base, load), "grams")
+    with arrow_batches(spark, size=SENT_BYTES):
+        found = shared_table(count_and_probe(blocks, groups, base, load), "grams", LONG_ROWS)
     words = found.where("kind = 2").select("h", "n")
     total = words.agg(F.count(F.lit(1)).alias("v"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     ends = words.where(F.col("h") == int(END.astype(np.int64))).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -350,11 +375,14 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
                 if kind < 0:
                     if now:
                         yield out()
+                        release_memory()
                     now, held = [batch[c].slice(i, 1).flatten() for c in ("ids", "train", "texts")], ([], [])
                 else:
                     held[kind].append(batch["levels"][i].as_py())
         if now:
             yield out()
+        now = held = None
+        release_memory()
 
     nothing = lambda c: F.lit(None).cast(blocks.schema[c].dataType).alias(c)
     replies = found.where("kind < 2").select("bid", "kind", "grp", *map(nothing, ("ids", "train", "texts")), "levels")
@@ -362,7 +390,8 @@ def score_texts(docs: DataFrame, training: Column, key: str = "doc_id", text: st
                            F.lit(None).cast("binary").alias("levels"))
     joined = joined.union(replies).repartition(n, "bid").sortWithinPartitions("bid", "kind", "grp")
     scored = joined.mapInArrow(run, "doc_id long, train boolean, n_tokens long, known long, logs double, score double, rare array<long>")
-    scored = shared_table(scored.withColumn("rid", F.monotonically_increasing_id()), "scores")
+    with arrow_batches(spark, size=SENT_BYTES):
+        scored = shared_table(scored.withColumn("rid", F.monotonically_increasing_id()), "scores")
     rare = scored.select("rid", F.explode("rare").alias("h")).join(words, "h", "left")
     rare = rare.groupBy("rid").agg(F.count("n").alias("rare_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + added)).alias("rare_logs"))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from epistand.llm import jaccard_join, pii, sentencepiece_ffbs, token_files, vector_join, warc
+from epistand.llm import jaccard_join, lm_score, pii, sentencepiece_ffbs, token_files, vector_join, warc
 from epistand.llm.langid import text_parts
 from epistand.session import ensure_checkpoint_dir
 
@@ -191,3 +191,65 @@ def test_near_copies_that_just_fail_to_link_do_not_meet_in_pairs(spark, monkeypa
     assert sum(n for _, n in made["rest"]) <= len(sets)  # thousands of pairs lie close to the threshold
     for name in ("prefixes", "classes", "rest", "open", "compared"):
         assert not any(os.path.exists(path) for path, _ in made[name]), name
+
+
+def many_words(spark, rows):
+    words = "array_join(transform(sequence(1, 900), x -> concat('w', abs(hash(id, x)) % 5000)), ' ')"
+    return spark.range(0, rows, 1, 1).select(F.col("id").alias("doc_id"), F.expr(words).alias("text"))
+
+
+def test_scores_send_a_block_at_a_time(spark, monkeypatch):
+    frame = type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def watched(self, func, schema, *more):
+        def sized(batches):
+            for batch in batches:
+                assert batch.nbytes < 6 << 20, (batch.num_rows, batch.nbytes)  # 1 MB and a block of 4 MB at most
+                yield batch
+
+        return plain(self, lambda batches: func(sized(batches)), schema, *more)
+
+    monkeypatch.setattr(frame, "mapInArrow", watched)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = spark.conf.get(name, None)
+    docs = many_words(spark, 2500)
+    got = lm_score.score_texts(docs, docs["doc_id"] % 10 != 0).agg(F.count("score"), F.sum("n_tokens")).first()
+    assert tuple(got) == (2500, 2500 * 901) and spark.conf.get(name, None) == size
+
+
+def test_text_blocks_are_packed_over_batches_a_page_each(spark):
+    docs = many_words(spark, 2500).withColumn("train", F.lit(True))  # 13 MB
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    spark.conf.set(rows, "100")
+    try:
+        blocks = lm_score.text_table(docs.unionByName(docs.limit(3).withColumn("text", F.lit(None).cast("string"))).coalesce(1))
+        size = [r["size"] for r in blocks.select("size").collect()]
+        assert len(size) == 4 and max(size) <= 2 * lm_score.BLOCK_BYTES
+        assert sum(size) == docs.agg(F.sum(F.octet_length("text"))).first()[0]
+        assert blocks.select(F.explode("ids")).count() == 2503 and blocks.select(F.explode("texts").alias("t")).where("t is null").count() == 3
+    finally:
+        spark.conf.set(rows, before)
+    jvm, (name,) = spark._jvm, blocks.inputFiles()
+    parquet = jvm.org.apache.parquet
+    file = parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(name), spark._jsc.hadoopConfiguration())
+    reader = parquet.hadoop.ParquetFileReader.open(file)
+    columns = {c.getPath().toDotString(): c for c in reader.getFooter().getBlocks().get(0).getColumns()}
+    reader.close()
+    stats = next(c for path, c in columns.items() if path.startswith("texts.")).getEncodingStats()
+    assert sum(stats.getNumDataPagesEncodedAs(e) for e in parquet.column.Encoding.values()) == 4
+
+
+def test_grams_of_a_block_take_little_memory():
+    import tracemalloc
+
+    rng = random.Random(8)
+    texts = pa.array([" ".join(f"w{rng.randint(0, 9999)}" for _ in range(600)) for _ in range(1200)])
+    lm_score.BlockGrams(texts[:1])  # tables that are built once
+    tracemalloc.start()
+    grams = lm_score.BlockGrams(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert grams.texts == 1200 and len(grams.own) == 1200 * 601
+    assert peak < 90e6, peak
